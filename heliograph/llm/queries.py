@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, topk_search
+from . import chat_format, language_id, minhash_dedup, packing, secrets, topk_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    spans = lambda x: F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["s"].cast("string"), s["e"].cast("string"))), ",")
+    out = chat_format.preferences(turns, chat_format.neighbours(turns))
+    return out.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs)
@@ -30,14 +45,44 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
-QUERIES = {f.__name__: f for f in (op8_language_id, op9_packing, op10_topk_search)}
-ORACLE = {"op10_topk_search": OP10_SQL}
+def _rendered(side: str) -> str:
+    """SQL: a side's turns after the common prefix, rendered, and the spans learnt from."""
+    return f"""(SELECT p.chosen_id, coalesce(string_agg('<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10), '' ORDER BY t.i), '') AS {side}
+  FROM p LEFT JOIN t ON t.conv_id = p.{side}_id AND t.i > p.n GROUP BY 1)"""
+
+
+def _spans(side: str) -> str:
+    return f"""(SELECT chosen_id, coalesce(string_agg(CASE WHEN role = 'assistant' THEN (e - length(text) - 8) || ':' || e END, ',' ORDER BY i), '') AS {side}_spans FROM (
+    SELECT p.chosen_id, t.role, t.text, t.i, sum(length(t.role) + length(t.text) + 13) OVER (PARTITION BY p.chosen_id ORDER BY t.i) AS e
+    FROM p LEFT JOIN t ON t.conv_id = p.{side}_id AND t.i > p.n) GROUP BY 1)"""
+
+
+OP4_SQL = f"""
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
+), h AS (
+  SELECT min(conv_id) AS chosen_id, max(conv_id) AS rejected_id FROM (SELECT DISTINCT conv_id FROM t) GROUP BY conv_id // 2 HAVING count(*) = 2
+), m AS (
+  SELECT h.chosen_id, h.rejected_id, c.i, coalesce(c.role = r.role AND c.text = r.text, false) AS same
+  FROM h JOIN t c ON c.conv_id = h.chosen_id LEFT JOIN t r ON r.conv_id = h.rejected_id AND r.i = c.i
+), p AS (
+  SELECT chosen_id, rejected_id, coalesce(min(CASE WHEN NOT same THEN i END) - 1, max(i)) AS n FROM m GROUP BY 1, 2
+)
+SELECT p.chosen_id, p.rejected_id, CAST(p.n AS INTEGER) AS n_prompt_turns,
+  coalesce((SELECT string_agg('<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10), '' ORDER BY t.i) FROM t WHERE t.conv_id = p.chosen_id AND t.i <= p.n), '') AS prompt,
+  c.chosen, cs.chosen_spans, r.rejected, rs.rejected_spans
+FROM p JOIN {_rendered("chosen")} c USING (chosen_id) JOIN {_rendered("rejected")} r USING (chosen_id) JOIN {_spans("chosen")} cs USING (chosen_id) JOIN {_spans("rejected")} rs USING (chosen_id)
+"""
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op4_chat_format, op8_language_id, op9_packing, op10_topk_search)}
+ORACLE = {"op4_chat_format": OP4_SQL, "op10_topk_search": OP10_SQL}
