@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, minhash_dedup, packing, secrets, topk_search
+from . import chat_format, decontaminate, language_id, minhash_dedup, packing, secrets, topk_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs)
@@ -84,5 +88,5 @@ SELECT p.chosen_id, p.rejected_id, CAST(p.n AS INTEGER) AS n_prompt_turns,
 FROM p JOIN {_rendered("chosen")} c USING (chosen_id) JOIN {_rendered("rejected")} r USING (chosen_id) JOIN {_spans("chosen")} cs USING (chosen_id) JOIN {_spans("rejected")} rs USING (chosen_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op4_chat_format, op8_language_id, op9_packing, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op4_chat_format, op7_decontaminate, op8_language_id, op9_packing, op10_topk_search)}
 ORACLE = {"op4_chat_format": OP4_SQL, "op10_topk_search": OP10_SQL}
