@@ -69,20 +69,24 @@ def _f(c: Column) -> Column:
 
 def best_entropy(s: Column, width: int = WINDOW) -> Column:
     """The highest Shannon entropy of a window of `width` characters of s (at least that long)."""
-    chars = F.split(s, "")
-    count = lambda a, x: F.size(F.filter(a, lambda y: y == x))
-    head = F.slice(chars, 1, width)
-    whole = F.aggregate(F.array_distinct(head), F.lit(0.0), lambda acc, x: acc + _f(count(head, x)))
-    init = F.struct(whole.alias("sum"), whole.alias("least"))
-
-    def step(acc: Column, i: Column) -> Column:
-        rest = F.slice(chars, i - width + 1, width - 1)
-        out, into = count(rest, F.element_at(chars, i - width)), count(rest, F.element_at(chars, i))
-        now = acc["sum"] + _f(out) - _f(out + 1) + _f(into + 1) - _f(into)
-        return F.struct(now.alias("sum"), F.least(acc["least"], now).alias("least"))
-
-    steps = F.when(F.length(s) > width, F.sequence(F.lit(width + 1), F.length(s))).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, init, step, lambda acc: F.lit(math.log2(width)) - acc["least"] / F.lit(float(width)))
+    count = lambda chars, lo, hi, x: F.size(F.filter(F.sequence(lo, hi), lambda j: F.element_at(chars, j) == x))
+
+    def scan_(chars: Column) -> Column:
+        n, one = F.size(chars), F.lit(1)
+        whole = F.aggregate(F.array_distinct(F.slice(chars, 1, width)), F.lit(0.0), lambda acc, x: acc + _f(count(chars, one, F.lit(width), x)))
+
+        def step(acc: Column, i: Column) -> Column:
+            leaves, enters = F.element_at(chars, i - width), F.element_at(chars, i)
+            out, into = count(chars, i - width + 1, i - 1, leaves), count(chars, i - width + 1, i - 1, enters)
+            now = acc["sum"] + _f(out) - _f(out + 1) + _f(into + 1) - _f(into)
+            return F.struct(now.alias("sum"), F.least(acc["least"], now).alias("least"))
+
+        steps = F.when(n > width, F.sequence(F.lit(width + 1), n)).otherwise(F.array().cast("array<int>"))
+        # the first window once, as a variable of its own
+        best = F.transform(F.array(whole), lambda w: F.aggregate(steps, F.struct(w.alias("sum"), w.alias("least")), step, lambda acc: acc["least"]))
+        return F.lit(math.log2(width)) - F.element_at(best, 1) / F.lit(float(width))
+
+    return F.element_at(F.transform(F.array(F.split(s, "")), scan_), 1)
 
 
 def suspicious(s: Column, allow: tuple[str, ...] = ALLOW) -> Column:
