@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, minhash_dedup, packing, secrets, topk_search
+from . import chat_format, decontaminate, language_id, line_dedup, minhash_dedup, packing, quality, secrets, suffix_dedup, topk_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep="none")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     spans = lambda x: F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["s"].cast("string"), s["e"].cast("string"))), ",")
@@ -27,6 +32,15 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", F.size("lines_removed").alias("n_removed"), "lines_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -88,5 +102,5 @@ SELECT p.chosen_id, p.rejected_id, CAST(p.n AS INTEGER) AS n_prompt_turns,
 FROM p JOIN {_rendered("chosen")} c USING (chosen_id) JOIN {_rendered("rejected")} r USING (chosen_id) JOIN {_spans("chosen")} cs USING (chosen_id) JOIN {_spans("rejected")} rs USING (chosen_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op4_chat_format, op7_decontaminate, op8_language_id, op9_packing, op10_topk_search)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op3_suffix_dedup, op4_chat_format, op5_quality, op6_line_dedup, op7_decontaminate, op8_language_id, op9_packing, op10_topk_search)}
 ORACLE = {"op4_chat_format": OP4_SQL, "op10_topk_search": OP10_SQL}
