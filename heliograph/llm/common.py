@@ -25,10 +25,17 @@ def shared_dir(spark: SparkSession) -> str:
     return set_to.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of texts are bounded by bytes and rows, so that Python workers' memory doesn't grow with texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 class Spool:
     """Tables written to the shared folder to cut lineage; drop() removes those no longer needed."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        bounded_batches(spark)
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
 
     def write(self, df: DataFrame) -> DataFrame:
@@ -45,6 +52,30 @@ class Spool:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def maybe_in(df: DataFrame, key: str, keys: DataFrame, most_bits: int = 1 << 24, negate: bool = False) -> DataFrame:
+    """df without most of the rows whose key (a SQL expression, a long) is not among keys (one long column).
+
+    A bitmap of hashes, at most 2 MB whatever the number of keys, is a scalar of the scan, so that a join with the keys shuffles
+    little else; with very many keys it lets more through, and the join still decides. negate: the other rows, none of
+    which has its key among keys.
+    """
+    spark, column = df.sparkSession, keys.columns[0]
+    n = keys.count()
+    bits = 1 << min(most_bits.bit_length() - 1, max(12, (16 * n).bit_length()))
+    slot = f"CAST(pmod(xxhash64({{}}), {bits}) AS INT)"
+    h = slot.format(column)
+    by = keys.filter(F.col(column).isNotNull()).select(F.expr(f"shiftright({h}, 6)").alias("w"), F.expr(f"shiftleft(1L, {h} & 63)").alias("b")).groupBy("w").agg(F.expr("bit_or(b)").alias("b"))
+    dense = spark.range(bits // 64).select(F.col("id").cast("int").alias("w")).join(by, "w", "left").select("w", F.coalesce("b", F.lit(0).cast("long")).alias("b"))
+    names = [f"_heliograph_{uuid.uuid4().hex[:12]}" for _ in range(2)]
+    dense.agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("x")).select(F.col("x.b").alias("m")).createOrReplaceTempView(names[0])
+    df.createOrReplaceTempView(names[1])
+    at = slot.format(key)
+    out = spark.sql(f"SELECT * FROM {names[1]} WHERE {key} IS NOT NULL AND {'NOT' if negate else ''} (shiftrightunsigned(element_at((SELECT m FROM {names[0]}), shiftright({at}, 6) + 1), {at} & 63) & 1L) = 1L")
+    for x in names:
+        spark.catalog.dropTempView(x)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

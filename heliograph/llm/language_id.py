@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import bounded_batches
+
 BUCKETS, DIM, GRAMS = 1 << 15, 16, (2, 3, 4)
 UND = "und"
 _K = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
@@ -134,6 +136,7 @@ def held_out(folds: int = 5):
 
 def fit(docs: DataFrame, per_language: int = 400, languages: int = 200, folds: int = 5, precision: float = 0.99) -> Model | None:
     """Learns from the documented bounded sample; runs at once and brings only the model (4 * buckets bytes a language) to the driver."""
+    bounded_batches(docs.sparkSession)
     can = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(folds))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = can.select("doc_id", "lang").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_language).groupBy("lang").agg(F.collect_set("doc_id").alias("ids")).orderBy("lang").limit(languages)
@@ -151,6 +154,7 @@ def fit(docs: DataFrame, per_language: int = 400, languages: int = 200, folds: i
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs with lang_pred, lang_score and lang_rejected."""
+    bounded_batches(docs.sparkSession)
     data = model.dump() if model else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,7 +5,8 @@
 2. Classes that share a band key are candidates. Every member of a bucket is first paired with the bucket's smallest
    member, which is linear in the bucket; the links found join classes into components.
 3. Only buckets that still hold several components are compared further: they are dealt into blocks of bounded size,
-   and pairs of different components meet block by block, as arrays and not as rows.
+   and pairs of different components meet block by block, as arrays and not as rows; first each member's best partners,
+   then everything that is still apart. Bottom sketches (whole sets, where these are small) thin out what signatures leave.
 4. A candidate pair's signatures are compared batch by batch; it is dropped once the posterior probability (uniform prior)
    that its similarity reaches the threshold is below `miss`. What is left is verified exactly on full sets.
 
@@ -27,10 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, SIMILARITY, Spool, WordHashes, mix64, shingle_hashes, texts
+from .common import SHINGLE, SIMILARITY, Spool, WordHashes, maybe_in, mix64, shingle_hashes, texts
 from .components import components
 
 BANDS, ROWS, SIGNATURE, BATCH, BLOCK = 32, 4, 128, 32, 256
+#: Size of the bottom sketches that settle pairs within open buckets; a set of fewer shingles is held whole.
+BOTTOM = 512
 MISS = 1e-6
 
 
@@ -100,6 +103,26 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_shingles long, class_key binary, bands array<long>, sig binary")
 
 
+def bottom(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """doc_id, low: the BOTTOM smallest shingle hashes (32 bits) of the documents in ids."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for pdf, tx in texts(batches):
+            low = [(shingle_hashes(t, hashes, k) >> np.uint64(32)).astype(np.uint32)[:BOTTOM].tobytes() for t in tx]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "low": low})
+
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return maybe_in(d, "doc_id", ids).mapInPandas(run, "doc_id long, low binary").filter("length(low) > 0")
+
+
+def may_reach(x: np.ndarray, y: np.ndarray, least: int) -> bool:
+    """Whether two bottom sketches leave the similarity possible: by the matches among the smallest BOTTOM of the union."""
+    both = np.intersect1d(x, y)
+    union = np.union1d(x, y)
+    return len(union) < BOTTOM or int((both <= union[BOTTOM - 1]).sum()) >= least
+
+
 def _matrix(sigs) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), np.uint32).reshape(len(sigs), -1)
 
@@ -142,41 +165,67 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, similarity: float) -> Da
                 ok.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pdf.loc[ok, ["a", "b"]]
 
-    return pairs.join(t("b"), "b").join(t("a"), "a").select("a", "b", "text_a", "text_b").filter("text_a is not null and text_b is not null").mapInPandas(run, "a long, b long")
+    tb, ta = (maybe_in(t(x), x, pairs.select(x).distinct()) for x in ("b", "a"))
+    return pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b").filter("text_a is not null and text_b is not null").mapInPandas(run, "a long, b long")
 
 
-def _across(open_rows: DataFrame, least: dict[int, int]) -> DataFrame:
-    """Pairs (a < b) of different components within open buckets that survive the signatures.
+def _across(open_rows: DataFrame, least: dict[int, int], best: int | None, percent: int, few: int) -> DataFrame:
+    """Pairs (a < b) of different components within open buckets that survive the signatures and the bottom sketches.
 
-    open_rows: key, size, doc_id, comp, sig. Members are dealt into blocks of about BLOCK rows; each pair of blocks is a group.
+    best: only so many partners of each member, those that agree most; None: all.
+    open_rows: key, size, doc_id, comp, sig, low. Members are dealt into blocks of about BLOCK rows; each pair of blocks is a group.
     """
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("long")
     own = F.pmod(F.xxhash64("doc_id"), blocks)
     dealt = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "doc_id", "comp", "sig")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "doc_id", "comp", "sig", "low")
+    seen_most = 500_000
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, rows = None, []
+        group, rows, seen = None, [], set()
 
         def out() -> Iterator[pd.DataFrame]:
             ids, comp = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
             if len(rows) < 2 or (comp == comp[0]).all():
                 return
+            sets: dict[int, set] = {}
+
+            def low_set(r: int) -> set:
+                if r not in sets:
+                    sets[r] = set(np.frombuffer(rows[r][4], np.uint32).tolist())
+                return sets[r]
+
             sig, first, same = _matrix([r[2] for r in rows]), np.array([r[3] for r in rows]), group[1] == group[2]
             for r in range(len(rows)):
                 c = np.flatnonzero((comp != comp[r]) & ((np.arange(len(rows)) > r) if same else (~first)))
                 if (same or first[r]) and len(c):
                     c = c[survivors(np.broadcast_to(sig[r], (len(c), sig.shape[1])), sig[c], least)]
-                    if len(c):
-                        yield pd.DataFrame({"a": np.minimum(ids[r], ids[c]), "b": np.maximum(ids[r], ids[c])})
+                    if best is not None and len(c) > best:
+                        c = c[np.argsort(-(sig[c] == sig[r]).sum(1), kind="stable")[:best]]
+                    x, mine = np.frombuffer(rows[r][4], np.uint32), low_set(r)
+                    ok = []
+                    for q in c.tolist():
+                        pair = (min(ids[r], ids[q]), max(ids[r], ids[q]))
+                        if pair not in seen:  # another band's bucket may have shown the pair
+                            if len(seen) < seen_most:
+                                seen.add(pair)
+                            y = low_set(q)
+                            if len(mine) < BOTTOM and len(y) < BOTTOM:  # whole sets; room for one collision of 32-bit hashes
+                                both = len(mine & y)
+                                if 100 * (both + 1) >= percent * (len(mine) + len(y) - both - 1):
+                                    ok.append(pair)
+                            elif may_reach(x, np.frombuffer(rows[q][4], np.uint32), few):
+                                ok.append(pair)
+                    if ok:
+                        yield pd.DataFrame(ok, columns=["a", "b"])
 
         for pdf in batches:
-            for key, i, j, first, doc, comp, sig in zip(*(pdf[c].tolist() for c in ("key", "i", "j", "first", "doc_id", "comp", "sig"))):
+            for key, i, j, first, doc, comp, sig, low in zip(*(pdf[c].tolist() for c in ("key", "i", "j", "first", "doc_id", "comp", "sig", "low"))):
                 if group != (key, i, j):
                     if rows:
                         yield from out()
                     group, rows = (key, i, j), []
-                rows.append((doc, comp, sig, first))
+                rows.append((doc, comp, sig, first, low))
         if rows:
             yield from out()
 
@@ -199,13 +248,21 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMIL
     pairs = placed.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     links = spool.write(verified(spool.write(pruned(pairs, reps, least)), docs, k, similarity))
 
-    comp = components(links)
-    wide = placed.filter("size > 2").join(comp.select(F.col("v").alias("doc_id"), "root"), "doc_id", "left").select("key", "size", "doc_id", F.coalesce("root", "doc_id").alias("comp"))
-    wide = spool.write(wide)
-    open_ = wide.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    across = spool.write(_across(wide.join(open_, "key").join(reps.select("doc_id", "sig"), "doc_id"), least))
-    more = verified(across, docs, k, similarity)
-    root = components(links.unionByName(more).unionByName(members))
+    # First each member's best partners, which joins what belongs together; then all that is still apart.
+    percent, few = round(100 * similarity), least_matches(similarity, miss, BOTTOM, BOTTOM)[BOTTOM]
+    low = None
+    for best in (3, None):
+        comp = components(links)
+        wide = placed.filter("size > 2").join(comp.select(F.col("v").alias("doc_id"), "root"), "doc_id", "left").select("key", "size", "doc_id", F.coalesce("root", "doc_id").alias("comp"))
+        wide = spool.write(wide)
+        open_ = wide.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+        rest = spool.write(wide.join(open_, "key"))
+        if low is None:
+            low = spool.write(bottom(docs, rest.select("doc_id").distinct(), k))
+        across = spool.write(_across(rest.join(reps.select("doc_id", "sig"), "doc_id").join(low, "doc_id"), least, best, percent, few))
+        links = links.unionByName(spool.write(verified(across, docs, k, similarity)))
+        spool.drop(wide, rest, across)
+    root = components(links.unionByName(members))
     out = all_.select("doc_id", "n_shingles").join(root.select(F.col("v").alias("doc_id"), "root"), "doc_id", "left")
     c = F.coalesce("root", "doc_id")
     return out.select("doc_id", "n_shingles", c.alias("component_id"), F.coalesce(c == F.col("doc_id"), F.lit(True)).alias("kept"))

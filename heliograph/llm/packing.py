@@ -21,6 +21,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import bounded_batches
+
 WINDOW = 1024
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -182,4 +184,5 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 0, path: str | Non
                     yield from flush()
         yield from flush()
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInPandas(run, SCHEMA + (", ids array<long>" if with_ids else ""))
