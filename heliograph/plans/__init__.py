@@ -1 +1 @@
-
+"""Composed plans, the driver tables' views and the query catalog."""
