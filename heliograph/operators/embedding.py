@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heliograph.operators.cut import cut
+
 
 def truncated_svd(fact: DataFrame, feature: str, k: int = 50) -> DataFrame:
     """cell, x: array of k scores, u * s of the uncentred matrix.
@@ -111,13 +113,14 @@ def clusters(edges: DataFrame, rounds: int = 8) -> DataFrame:
 
     Of neighbours' labels the heaviest wins, ties to the smaller; a vertex counts for its own label with half its weight, which damps oscillation.
     """
+    edges = cut(edges)
     total = edges.groupBy("src").agg((F.sum("weight") / 2).alias("w"))
     labels = total.select(F.col("src").alias("id"), F.col("src").alias("label"))
     for _ in range(rounds):
         votes = edges.join(labels.withColumnRenamed("id", "dst"), "dst").select(F.col("src").alias("id"), "label", F.col("weight").alias("w"))
         own = labels.join(total.withColumnRenamed("src", "id"), "id").select("id", "label", "w")
         sums = votes.unionByName(own).groupBy("id", "label").agg(F.round(F.sum("w"), 9).alias("w"))
-        labels = sums.groupBy("id").agg(F.max_by("label", F.struct("w", -F.col("label"))).alias("label"))
+        labels = cut(sums.groupBy("id").agg(F.max_by("label", F.struct("w", -F.col("label"))).alias("label")))
     order = labels.groupBy("label").agg(F.count("*").alias("n")).withColumn("cluster", F.row_number().over(Window.partitionBy().orderBy(F.desc("n"), "label")) - 1)
     return labels.join(F.broadcast(order), "label").select("id", F.col("cluster").cast("string").alias("cluster"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.stats import normal_two_sided, t_two_sided
+from heliograph.operators.cut import cut
 
 
 def average_rank(value: str, *by: str) -> Column:
@@ -56,7 +57,7 @@ def benjamini_hochberg(df: DataFrame, p: str = "pvalue", q: str = "qvalue_bh", b
     carried over from a table with one row a bucket (at most 16 k), so no window holds all rows.
     """
     b = [*by, "_b"]
-    x = df.withColumn("_b", F.floor(-F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 16))
+    x = cut(df).withColumn("_b", F.floor(-F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 16))
     n = x.filter(F.col(p).isNotNull())
     up = Window.partitionBy(*by)
     sizes = n.groupBy(*b).agg(F.count("*").alias("_c"))

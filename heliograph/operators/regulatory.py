@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from heliograph.functions.scores import active_score, weighted_score
 from heliograph.operators import pseudobulk, ranks
+from heliograph.operators.cut import cut
 
 
 @dataclass(frozen=True)
@@ -30,9 +31,10 @@ def peak_gene_links(rna: DataFrame, atac: DataFrame, cells: DataFrame, candidate
     groups = pseudobulk.replicate_parts(pseudobulk.groups_of(cells, t.min_pseudobulk_cells))
     assigned = pseudobulk.assign(cells, groups, seed)
     n, mode = groups.agg(F.sum("parts"), F.max("pseudobulk_mode")).first()
-    x = pseudobulk.group_means(atac.join(candidates.select("peak").distinct(), "peak", "left_semi"), assigned, "peak")
-    y = pseudobulk.group_means(rna.join(candidates.select("gene").distinct(), "gene", "left_semi"), assigned, "gene")
-    r = ranks.spearman(candidates.select("peak", "gene").distinct(), x, y, "peak", "gene", n or 0)
+    candidates = candidates.select("peak", "gene").distinct()
+    x = cut(pseudobulk.group_means(atac.join(candidates.select("peak").distinct(), "peak", "left_semi"), assigned, "peak"))
+    y = cut(pseudobulk.group_means(rna.join(candidates.select("gene").distinct(), "gene", "left_semi"), assigned, "gene"))
+    r = ranks.spearman(candidates, x, y, "peak", "gene", n or 0)
     q = ranks.benjamini_hochberg(ranks.with_p_values(r, n or 0))
     return q.select("peak", "gene", F.col("rho").alias("spearman"), "pvalue", "qvalue_bh", F.lit(n).cast("long").alias("n_pseudobulks"), F.lit(mode).alias("pseudobulk_mode"))
 
@@ -59,10 +61,10 @@ def triplets(links: DataFrame, hits: DataFrame, rna: DataFrame, cells: DataFrame
     assigned = pseudobulk.assign(cells, groups, seed)
     n, mode = groups.agg(F.sum("parts"), F.max("pseudobulk_mode")).first()
     n = n or 0
-    means = pseudobulk.group_means(rna, assigned, "gene")
+    means = cut(pseudobulk.group_means(rna, assigned, "gene"))
     tfs = eligible_tfs(means, n, t.tf_pseudobulk_mean, t.tf_pseudobulk_max)
     motifs = best_motifs(hits.filter(F.col("motif_pvalue") < t.motif_pvalue).join(tfs.select("tf"), "tf", "left_semi"))
-    j = select_links(links, t).drop("pseudobulk_mode", "n_pseudobulks").join(motifs, "peak").join(F.broadcast(tfs), "tf")
+    j = cut(select_links(links, t).drop("pseudobulk_mode", "n_pseudobulks").join(motifs, "peak").join(tfs, "tf"))
     pairs = j.select("tf", "gene").distinct()
     r = ranks.spearman(pairs, means.withColumnRenamed("gene", "tf"), means, "tf", "gene", n)
     r = ranks.benjamini_hochberg(ranks.with_p_values(r, n, p="tf_gene_pvalue"), "tf_gene_pvalue", "tf_gene_qvalue_bh").withColumnRenamed("rho", "tf_gene_spearman")
