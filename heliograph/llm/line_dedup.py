@@ -1,10 +1,10 @@
 """Line de-duplication by an exact set-similarity join, with DataFrame functions only.
 
-A line's tokens are its distinct words (A-Z in lower case). Each token is one long: a rarity class above, 56 bits of
+A line's tokens are its distinct words (in lower case). Each token is one long: a rarity class above, 56 bits of
 its hash below, so sorting puts rare tokens first. Rarity counts cover all documents, in RARITY buckets of token hashes.
 Two lines with Jaccard >= t share a token among the first size - ceil(t*size) + 1 of each (prefix filter), at positions
 that leave room for the overlap they need (positional filter), and t*size <= other size <= size/t (length filter).
-A 64-bit parity sketch (each token flips a bit) bounds the symmetric difference from below and drops nearly all
+A 256-bit parity sketch (each token flips a bit) bounds the symmetric difference from below and drops nearly all
 other pairs within the join. What is left is verified on the tokens.
 
 A line goes if an earlier line (by doc_id, then line number) matches it, judged on the input. Lines with the same
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, Spool
+from .common import BLANKS, Spool, maybe_in
 
 PERCENT = 75
 RARITY = 1 << 14
@@ -33,13 +33,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
 
 
-_WORDS = f"split(translate(text, '{UPPER}', '{LOWER}'), r'{BLANKS}')"
+#: Words in lower case; the split at one character is the fast one, so only lines with other blanks take the pattern.
+_WORDS = f"array_remove(IF(text RLIKE '[\\\\x09-\\\\x0D]', split(lower(text), r'{BLANKS}'), split(lower(text), ' ')), '')"
 
 
 def _rarity(docs: DataFrame) -> DataFrame:
     """One row, m: the class (0 to 127, four to a doubling of its count) of each bucket of token hashes."""
     spark = docs.sparkSession
-    w = docs.select(F.explode(F.expr(_WORDS)).alias("w")).filter("w <> ''").groupBy(F.expr(f"CAST(pmod(xxhash64(w), {RARITY}) AS INT)").alias("b")).agg(F.count("*").alias("n"))
+    w = docs.select(F.explode(F.expr(_WORDS)).alias("w")).groupBy(F.expr(f"CAST(pmod(xxhash64(w), {RARITY}) AS INT)").alias("b")).agg(F.count("*").alias("n"))
     dense = spark.range(RARITY).select(F.col("id").cast("int").alias("b")).join(w, "b", "left").select("b", F.expr("CAST(least(127, floor(4 * log2(1 + coalesce(n, 0)))) AS BIGINT)").alias("c"))
     return dense.agg(F.sort_array(F.collect_list(F.struct("b", "c"))).alias("x")).select(F.col("x.c").alias("m"))
 
@@ -52,37 +53,45 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     _lines(docs).createOrReplaceTempView("_heliograph_lines")
     key = f"shiftleft(element_at(m, CAST(pmod(h, {RARITY}) AS INT) + 1), 56) | (h & 72057594037927935L)"
     spark.sql(f"""
-      SELECT doc_id, line, sort_array(array_distinct(transform(transform(filter({_WORDS}, w -> w <> ''), w -> xxhash64(w)), h -> {key}))) AS t
+      SELECT doc_id, line, sort_array(array_distinct(transform(transform({_WORDS}, w -> xxhash64(w)), h -> {key}))) AS t
       FROM (SELECT *, (SELECT m FROM _heliograph_rarity) AS m FROM _heliograph_lines)""").createOrReplaceTempView("_heliograph_tokens")
     prefix = f"size(t) - CAST(ceil(size(t) * {percent} / 100) AS INT) + 1"
-    parity = "aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
+    # four words of 64 bits, by two more bits of the hash
+    parity = lambda half: f"aggregate(filter(t, x -> (shiftright(x, 6) & 3L) = {half}L), 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
     # one row per class: its first occurrence, prefix and sketch
     lines = spark.sql(f"""
-      SELECT k1, k2, n, min(struct(doc_id, line)) AS f, max(p) AS p, max(y) AS y
-      FROM (SELECT doc_id, line, size(t) AS n, xxhash64(t) AS k1, hash(t) AS k2, slice(t, 1, {prefix}) AS p, {parity} AS y FROM _heliograph_tokens)
+      SELECT k1, k2, n, min(struct(doc_id, line)) AS f, max(p) AS p, max(y) AS y, max(v) AS v, max(w) AS w, max(x) AS x
+      FROM (SELECT doc_id, line, size(t) AS n, xxhash64(t) AS k1, hash(t) AS k2, transform(slice(t, 1, {prefix}), x -> CAST((x & 4294967295L) - 2147483648L AS INT)) AS p, {parity(0)} AS y, {parity(1)} AS v, {parity(2)} AS w, {parity(3)} AS x FROM _heliograph_tokens)
       WHERE n > 0 GROUP BY k1, k2, n""")
-    lines = spool.write(lines.select("k1", "k2", "n", F.col("f.doc_id").alias("doc_id"), F.col("f.line").alias("line"), "p", "y"))
+    lines = spool.write(lines.select("k1", "k2", "n", F.col("f.doc_id").alias("doc_id"), F.col("f.line").alias("line"), "p", "y", "v", "w", "x"))
     lines.createOrReplaceTempView("_heliograph_classes")
-    close = f"""bit_count(a.y ^ b.y) * {100 + percent} <= (a.n + b.n) * {100 - percent} AND a.n * 100 >= b.n * {percent} AND b.n * 100 >= a.n * {percent}
+    close = f"""(bit_count(a.y ^ b.y) + bit_count(a.v ^ b.v) + bit_count(a.w ^ b.w) + bit_count(a.x ^ b.x)) * {100 + percent} <= (a.n + b.n) * {100 - percent} AND a.n * 100 >= b.n * {percent} AND b.n * 100 >= a.n * {percent}
       AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.line < b.line))"""
     # round 1: the earliest line of each pair of neighbouring prefix tokens
     pairs = spark.sql("""
-      SELECT doc_id, line, n, y, explode(transform(sequence(0, least(3, size(p) - 2)), i -> xxhash64(p[i], p[i + 1]))) AS s FROM _heliograph_classes WHERE size(p) > 1""")
+      SELECT doc_id, line, n, y, v, w, x, explode(transform(sequence(0, least(3, size(p) - 2)), i -> xxhash64(get(p, i), get(p, i + 1)))) AS s FROM _heliograph_classes WHERE size(p) > 1""")
     pairs.createOrReplaceTempView("_heliograph_pairs")
-    first = spark.sql("SELECT s, min(struct(doc_id, line, n, y)) AS f, count(*) AS c FROM _heliograph_pairs GROUP BY s HAVING c > 1")
+    first = spark.sql("SELECT s, min(struct(doc_id, line, n, y, v, w, x)) AS f, count(*) AS c FROM _heliograph_pairs GROUP BY s HAVING c > 1")
     first.select("s", "f.*").createOrReplaceTempView("_heliograph_first")
     one = spark.sql(f"SELECT DISTINCT a.doc_id AS a_doc, a.line AS a_line, b.doc_id AS b_doc, b.line AS b_line FROM _heliograph_pairs b JOIN _heliograph_first a ON a.s = b.s AND {close}")
     settled = spool.write(_verified(docs, one, percent, spool))
     # round 2: lines not settled against all earlier ones that share a prefix token
     settled.createOrReplaceTempView("_heliograph_settled")
+    # Both sides of the join read one and the same shuffle: size, position and openness travel in one number, and openness
+    # is asked for in a condition on both sides, which the optimizer cannot push below the shuffle of one.
     rows = spark.sql("""
-      SELECT l.doc_id, l.line, l.n, l.y, s.doc_id IS NULL AS open, posexplode(l.p) AS (i, s)
-      FROM _heliograph_classes l LEFT JOIN _heliograph_settled s ON l.doc_id = s.doc_id AND l.line = s.line""")
+      SELECT doc_id, line, y, v, w, x, (n * 2 + open) * 4294967296L + i AS z, s FROM (
+        SELECT l.doc_id, l.line, l.n, l.y, l.v, l.w, l.x, IF(s.doc_id IS NULL, 1, 0) AS open, posexplode(l.p) AS (i, s)
+        FROM _heliograph_classes l LEFT JOIN _heliograph_settled s ON l.doc_id = s.doc_id AND l.line = s.line)""")
     rows.createOrReplaceTempView("_heliograph_prefixes")
-    room = f"(1 + least(a.n - a.i, b.n - b.i) - 1) * {100 + percent} >= (a.n + b.n) * {percent}"
+    n, i = (lambda x: f"shiftright({x}.z, 33)"), (lambda x: f"({x}.z & 4294967295L)")
+    an, bn = n("a"), n("b")
+    room = f"least({an} - {i('a')}, {bn} - {i('b')}) * {100 + percent} >= ({an} + {bn}) * {percent}"
+    close2 = close.replace("a.n", an).replace("b.n", bn)
     two = spark.sql(f"""
       SELECT DISTINCT a.doc_id AS a_doc, a.line AS a_line, b.doc_id AS b_doc, b.line AS b_line
-      FROM _heliograph_prefixes b JOIN _heliograph_prefixes a ON a.s = b.s AND b.open AND {room} AND {close}""")
+      FROM _heliograph_prefixes b JOIN _heliograph_prefixes a ON a.s = b.s
+        AND CASE WHEN shiftright(b.z, 32) & 1L = 1L THEN {close2} AND {room} ELSE a.z < 0 END""")
     more = _verified(docs, two, percent, spool)
     copies = spark.sql("SELECT doc_id, line, xxhash64(t) AS k1, hash(t) AS k2, size(t) AS n FROM _heliograph_tokens").join(lines.select("k1", "k2", "n", F.col("doc_id").alias("fd"), F.col("line").alias("fl")), ["k1", "k2", "n"]).filter("doc_id <> fd OR line <> fl").select("doc_id", "line")
     return copies.unionByName(settled).unionByName(more).distinct()
@@ -93,10 +102,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, spool: Spool) ->
     pairs = spool.write(pairs)
     ends = pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line")).unionByName(pairs.select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"))).distinct()
     of = ends.groupBy("doc_id").agg(F.collect_set("line").alias("at"))
-    split = F.split("text", "\n")
-    got = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(of, "doc_id")
-    got = got.select("doc_id", F.explode(F.transform("at", lambda i: F.struct(i.alias("line"), F.get(split, i).alias("text")))).alias("x")).select("doc_id", "x.line", F.expr("filter(array_distinct(split(translate(x.text, '%s', '%s'), r'%s')), w -> w <> '')" % (UPPER, LOWER, BLANKS)).alias("w"))
-    got = spool.write(got.filter("w is not null"))
+    of = spool.write(of)
+    got = maybe_in(docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", of.select("doc_id")).join(of, "doc_id")
+    got = got.select("doc_id", F.expr("explode(filter(transform(split(text, '\\n'), (x, i) -> struct(i AS line, x AS text)), y -> array_contains(at, y.line)))").alias("x")).select("doc_id", "x.line", "x.text")
+    got = spool.write(got.select("doc_id", "line", F.expr(f"array_distinct(transform({_WORDS}, w -> xxhash64(w)))").alias("w")))
     side = lambda x: got.select(F.col("doc_id").alias(f"{x}_doc"), F.col("line").alias(f"{x}_line"), F.col("w").alias(f"{x}w"))
     both = F.size(F.array_intersect("aw", "bw"))
     full = pairs.join(side("b"), ["b_doc", "b_line"]).join(side("a"), ["a_doc", "a_line"])
