@@ -10,8 +10,9 @@ array is the runs and their smallest positions; they come from ranks (64-bit has
 2. Every window of `length` bytes selects its smallest-hash GRAM-byte string (the rightmost of equals), so equal windows
    select equal strings at equal offsets. Windows that select the same place form an interval with one anchor. Only
    anchors seen twice go on.
-3. An interval is cut into blocks of BLOCK offsets. What all windows of a block have in common (its core) must occur
-   twice; blocks that agree in all their bytes are decided at once, and one of them stands for the rest.
+3. An interval is cut into blocks of offsets. What all windows of a block have in common (its core) must occur
+   twice; blocks that agree in all their bytes are decided at once, and one of them stands for the rest. Blocks still
+   undecided are cut into smaller ones.
 4. Only windows of blocks still undecided are ranked one by one.
 
 All groupings are counts and minima with partial aggregation. `keep="first"` removes what has an earlier match (by doc_id, then
@@ -32,9 +33,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spool, mix64
+from .common import Spool, maybe_in, mix64
 
-LENGTH, GRAM, BLOCK = 400, 128, 64
+LENGTH, GRAM = 400, 128
+#: Offsets in a block, level by level.
+BLOCKS = (64, 8)
 PIECE = 1 << 19
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -129,31 +132,31 @@ def _pieces(b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.
         i = j
 
 
-def _block_rows(texts: DataFrame, length: int) -> DataFrame:
-    """A row per block of each anchor's windows: its windows [lo, hi], the core's hash and the hash of all its bytes.
+def _block_rows(texts: DataFrame, length: int, block: int) -> DataFrame:
+    """A row per block of each of the windows a to z of an anchor at p in `places`: its windows [lo, hi], the core's hash and the hash of all its bytes.
 
     Where the interval ends within the block, `whole` is a number of its own, as the block agrees with no other as a whole.
     """
-    need = BLOCK + length - 1
+    need = block + length - 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for doc, th, t, places in zip(pdf["doc_id"].tolist(), pdf["th"].tolist(), pdf["text"].tolist(), pdf["places"].tolist()):
                 b = _bytes(t)
                 r = np.array([(x["fp"], x["p"], x["a"], x["z"]) for x in places], np.int64)
-                first, last = (r[:, 1] - r[:, 3]) // BLOCK, (r[:, 1] - r[:, 2]) // BLOCK
+                first, last = (r[:, 1] - r[:, 3]) // block, (r[:, 1] - r[:, 2]) // block
                 n = last - first + 1
                 row = np.repeat(np.arange(len(r)), n)
                 blk = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[row]
                 fp, p, a, z = r[row].T
-                # windows of the block start in [p - blk*BLOCK - BLOCK + 1, p - blk*BLOCK]
-                hi_full, lo_full = p - blk * BLOCK, p - blk * BLOCK - BLOCK + 1
+                # windows of the block start in [p - blk*block - block + 1, p - blk*block]
+                hi_full, lo_full = p - blk * block, p - blk * block - block + 1
                 lo, hi = np.maximum(lo_full, a), np.minimum(hi_full, z)
                 full = (lo == lo_full) & (hi == hi_full)
                 core, whole = np.zeros(len(row), np.uint64), np.zeros(len(row), np.uint64)
                 # the core [hi_full, lo_full + length) lies within every window of the block
                 for k, roll, at in _pieces(b, np.minimum(lo, hi_full), np.maximum(hi + length, lo_full + length)):
-                    core[k] = roll(hi_full[k] - at, length - BLOCK + 1)
+                    core[k] = roll(hi_full[k] - at, length - block + 1)
                     f = k[full[k]]
                     whole[f] = roll(lo_full[f] - at, need)
                 own = mix64(np.uint64(th & (2**64 - 1)) + mix64(np.uint64((doc or 0) & (2**64 - 1)) + lo.astype(np.uint64)))
@@ -170,7 +173,7 @@ def _window_rows(texts: DataFrame, length: int) -> DataFrame:
         for pdf in batches:
             for doc, th, t, places in zip(pdf["doc_id"].tolist(), pdf["th"].tolist(), pdf["text"].tolist(), pdf["places"].tolist()):
                 b = _bytes(t)
-                r = np.array([(x["fp"], x["p"], x["lo"], x["hi"]) for x in places], np.int64)
+                r = np.array([(x["fp"], x["p"], x["a"], x["z"]) for x in places], np.int64)
                 n = r[:, 3] - r[:, 2] + 1
                 row = np.repeat(np.arange(len(r)), n)
                 s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + r[row, 2]
@@ -229,31 +232,36 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
     texts = d.filter(F.col("n_bytes") >= length).select("doc_id", "th", "text")
     others = small.join(same.select("md5", "th", "rep"), ["md5", "th"]).filter(F.coalesce("doc_id", F.lit(-(2**63))) != F.col("rep")).select("doc_id", "th").distinct()
 
+    others = spool.write(others)
     all_ = spool.write(_anchor_rows(texts, length))
-    lone = _on(all_, others, "left_anti").distinct()
-    seen = lone.groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1").select("fp")
-    hot = lone.join(seen, "fp")
-    t = spool.write(_on(texts.dropDuplicates(["doc_id", "th"]), _listed(hot, "places", "fp", "p", "a", "z")))
-    spool.drop(all_)
-
-    blocks = spool.write(_block_rows(t, length))
-    at = ["fp", "blk", "core"]
-    place = F.struct("doc_id", "lo", "th")
-    classes = blocks.groupBy(*at, "whole").agg(F.count("*").alias("c"), F.min(place).alias("rep"))
-    versions = classes.groupBy(*at).agg(F.count("*").alias("versions"), F.max("c").alias("most")).filter("versions > 1 or most > 1").select(*at, "versions")
-    decided = spool.write(blocks.join(versions, at).join(classes, [*at, "whole"]).withColumn("is_rep", place.eqNullSafe(F.col("rep"))))
-    whole = decided.filter("c > 1 and not is_rep" if first else "c > 1").select("doc_id", "th", "lo", "hi")
-    open_ = decided.filter("versions > 1 and is_rep").select("doc_id", "th", "fp", "p", "lo", "hi")
-
-    windows = spool.write(_window_rows(_on(t.drop("places"), _listed(open_, "places", "fp", "p", "lo", "hi")), length))
+    # only the anchors that may be a copy's are held against the copies
+    lone = maybe_in(all_, "th", others.select("th"), negate=True).unionByName(_on(maybe_in(all_, "th", others.select("th")), others, "left_anti"))
+    seen = spool.write(lone.groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1").select("fp"))
+    places = spool.write(_listed(maybe_in(lone, "fp", seen).join(seen, "fp"), "places", "fp", "p", "a", "z"))
+    t = spool.write(_on(maybe_in(texts, "th", places.select("th")), places))
+    spool.drop(all_, seen, places)
+
+    at, place = ["fp", "blk", "core"], F.struct("doc_id", "lo", "th")
+    source, decided, plain = t, [], t.drop("places")
+    for block in BLOCKS:
+        blocks = spool.write(_block_rows(source, length, block))
+        classes = blocks.groupBy(*at, "whole").agg(F.count("*").alias("c"), F.min(place).alias("rep"))
+        versions = classes.groupBy(*at).agg(F.count("*").alias("versions"), F.max("c").alias("most")).filter("versions > 1 or most > 1").select(*at, "versions")
+        rest = blocks.join(versions, at).join(classes, [*at, "whole"]).withColumn("is_rep", place.eqNullSafe(F.col("rep")))
+        rest = rest.select("doc_id", "th", "fp", "p", "lo", "hi", F.expr("c > 1 and not is_rep" if first else "c > 1").alias("whole"), F.expr("versions > 1 and is_rep").alias("open"))
+        rest = spool.write(rest.filter("whole or open"))
+        spool.drop(blocks)
+        decided.append(rest.filter("whole").select("doc_id", "th", "lo", "hi"))
+        source = _on(plain, _listed(rest.filter("open").select("doc_id", "th", "fp", "p", F.col("lo").alias("a"), F.col("hi").alias("z")), "places", "fp", "p", "a", "z"))
+    windows = spool.write(_window_rows(source, length))
     run = ["fp", "o", "rank"]
     w = F.struct("doc_id", "s", "th")
     runs = windows.groupBy(*run).agg(F.count("*").alias("c"), F.min(w).alias("least")).filter("c > 1")
     single = windows.join(runs, run)
     if first:
         single = single.filter(~w.eqNullSafe(F.col("least")))
-    covered = whole.unionByName(single.select("doc_id", "th", F.col("s").alias("lo"), F.col("s").alias("hi")))
-    cut = spool.write(_cut(_on(t.drop("places"), _listed(covered, "covered", "lo", "hi")), length))
+    covered = decided[0].unionByName(decided[1]).unionByName(single.select("doc_id", "th", F.col("s").alias("lo"), F.col("s").alias("hi")))
+    cut = spool.write(_cut(_on(plain, _listed(covered, "covered", "lo", "hi")), length))
 
     copy = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
     if first:  # of equal rows with equal doc_ids, which one stays is not told apart: all take the first one's result
