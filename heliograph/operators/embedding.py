@@ -111,10 +111,10 @@ def connectivities(edges: DataFrame) -> DataFrame:
 def clusters(edges: DataFrame, rounds: int = 8) -> DataFrame:
     """id, cluster: weighted label propagation with a fixed number of rounds; labels are numbered by size.
 
-    Of neighbours' labels the heaviest wins, ties to the smaller; a vertex counts for its own label with half its weight, which damps oscillation.
+    Of neighbours' labels the heaviest wins, ties to the smaller; a vertex counts for its own label with half its mean weight, which damps oscillation.
     """
     edges = cut(edges)
-    total = edges.groupBy("src").agg((F.sum("weight") / 2).alias("w"))
+    total = edges.groupBy("src").agg((F.avg("weight") / 2).alias("w"))
     labels = total.select(F.col("src").alias("id"), F.col("src").alias("label"))
     for _ in range(rounds):
         votes = edges.join(labels.withColumnRenamed("id", "dst"), "dst").select(F.col("src").alias("id"), "label", F.col("weight").alias("w"))
