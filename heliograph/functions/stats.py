@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def _beta_cf(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
+def _beta_cf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Continued fraction of the incomplete beta function (modified Lentz)."""
     tiny = 1e-300
-    c, d = np.ones_like(x), 1 - (a + b) * x / (a + 1)
-    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+    safe = lambda v: np.where(np.abs(v) < tiny, tiny, v)
+    c, d = np.ones_like(x), 1 / safe(1 - (a + b) * x / (a + 1))
     h = d.copy()
     for m in range(1, 300):
         for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 + top * d
-            d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-            c = 1 + top / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
+            d = 1 / safe(1 + top * d)
+            c = safe(1 + top / c)
             h = h * c * d
+        if np.abs(c * d - 1).max(initial=0) < 1e-15:
+            break
     return h
 
 
@@ -34,13 +34,11 @@ def incomplete_beta(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     x = np.clip(x, 0.0, 1.0)
     with np.errstate(divide="ignore", invalid="ignore"):
         front = lambda p, q, y: np.exp(_lgamma(p + q) - _lgamma(p) - _lgamma(q) + p * np.log(y) + q * np.log1p(-y)) / p
-        bb = np.full_like(a, b)
-        direct = front(a, bb, x) * _beta_cf(a, b, x)
-        y, swap = 1 - x, x > (a + 1) / (a + b + 2)
-        other = np.empty_like(x)
-        for i in np.flatnonzero(swap):
-            other[i] = 1 - (front(bb[i : i + 1], a[i : i + 1], y[i : i + 1]) * _beta_cf(bb[i : i + 1], float(a[i]), y[i : i + 1]))[0]
-    out = np.where(swap, other, direct)
+        bb, swap = np.full_like(a, b), x > (a + 1) / (a + b + 2)
+        # whichever side converges fast: I_x(a, b) = 1 - I_{1-x}(b, a)
+        p, q, y = np.where(swap, bb, a), np.where(swap, a, bb), np.where(swap, 1 - x, x)
+        got = front(p, q, y) * _beta_cf(p, q, y)
+    out = np.where(swap, 1 - got, got)
     return np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, out))
 
 
