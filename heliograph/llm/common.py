@@ -97,7 +97,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """Word -> uint64 with a bounded memo."""
 
-    def __init__(self, most: int = 400_000) -> None:
+    def __init__(self, most: int = 150_000) -> None:
         self.memo: dict[bytes, int] = {}
         self.most = most
 

@@ -179,7 +179,7 @@ def _across(open_rows: DataFrame, least: dict[int, int], best: int | None, perce
     own = F.pmod(F.xxhash64("doc_id"), blocks)
     dealt = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "doc_id", "comp", "sig", "low")
-    seen_most = 500_000
+    seen_most = 100_000
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, rows, seen = None, [], set()
