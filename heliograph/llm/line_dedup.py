@@ -4,7 +4,7 @@ A line's tokens are its distinct words (in lower case). Each token is one long:
 its hash below, so sorting puts rare tokens first. Rarity counts cover all documents, in RARITY buckets of token hashes.
 Two lines with Jaccard >= t share a token among the first size - ceil(t*size) + 1 of each (prefix filter), at positions
 that leave room for the overlap they need (positional filter), and t*size <= other size <= size/t (length filter).
-A 256-bit parity sketch (each token flips a bit) bounds the symmetric difference from below and drops nearly all
+A 128-bit parity sketch (each token flips a bit) bounds the symmetric difference from below and drops nearly all
 other pairs within the join. What is left is verified on the tokens.
 
 A line goes if an earlier line (by doc_id, then line number) matches it, judged on the input. Lines with the same
@@ -56,22 +56,22 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
       SELECT doc_id, line, sort_array(array_distinct(transform(transform({_WORDS}, w -> xxhash64(w)), h -> {key}))) AS t
       FROM (SELECT *, (SELECT m FROM _heliograph_rarity) AS m FROM _heliograph_lines)""").createOrReplaceTempView("_heliograph_tokens")
     prefix = f"size(t) - CAST(ceil(size(t) * {percent} / 100) AS INT) + 1"
-    # four words of 64 bits, by two more bits of the hash
-    parity = lambda half: f"aggregate(filter(t, x -> (shiftright(x, 6) & 3L) = {half}L), 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
+    # two words of 64 bits each: low and high, by one more bit of the hash
+    parity = lambda half: f"aggregate(filter(t, x -> (shiftright(x, 6) & 1L) = {half}L), 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
     # one row per class: its first occurrence, prefix and sketch
     lines = spark.sql(f"""
-      SELECT k1, k2, n, min(struct(doc_id, line)) AS f, max(p) AS p, max(y) AS y, max(v) AS v, max(w) AS w, max(x) AS x
-      FROM (SELECT doc_id, line, size(t) AS n, xxhash64(t) AS k1, hash(t) AS k2, transform(slice(t, 1, {prefix}), x -> CAST((x & 4294967295L) - 2147483648L AS INT)) AS p, {parity(0)} AS y, {parity(1)} AS v, {parity(2)} AS w, {parity(3)} AS x FROM _heliograph_tokens)
+      SELECT k1, k2, n, min(struct(doc_id, line)) AS f, max(p) AS p, max(y) AS y, max(v) AS v
+      FROM (SELECT doc_id, line, size(t) AS n, xxhash64(t) AS k1, hash(t) AS k2, transform(slice(t, 1, {prefix}), x -> CAST((x & 4294967295L) - 2147483648L AS INT)) AS p, {parity(0)} AS y, {parity(1)} AS v FROM _heliograph_tokens)
       WHERE n > 0 GROUP BY k1, k2, n""")
-    lines = spool.write(lines.select("k1", "k2", "n", F.col("f.doc_id").alias("doc_id"), F.col("f.line").alias("line"), "p", "y", "v", "w", "x"))
+    lines = spool.write(lines.select("k1", "k2", "n", F.col("f.doc_id").alias("doc_id"), F.col("f.line").alias("line"), "p", "y", "v"))
     lines.createOrReplaceTempView("_heliograph_classes")
-    close = f"""(bit_count(a.y ^ b.y) + bit_count(a.v ^ b.v) + bit_count(a.w ^ b.w) + bit_count(a.x ^ b.x)) * {100 + percent} <= (a.n + b.n) * {100 - percent} AND a.n * 100 >= b.n * {percent} AND b.n * 100 >= a.n * {percent}
+    close = f"""(bit_count(a.y ^ b.y) + bit_count(a.v ^ b.v)) * {100 + percent} <= (a.n + b.n) * {100 - percent} AND a.n * 100 >= b.n * {percent} AND b.n * 100 >= a.n * {percent}
       AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.line < b.line))"""
     # round 1: the earliest line of each pair of neighbouring prefix tokens
     pairs = spark.sql("""
-      SELECT doc_id, line, n, y, v, w, x, explode(transform(sequence(0, least(3, size(p) - 2)), i -> xxhash64(get(p, i), get(p, i + 1)))) AS s FROM _heliograph_classes WHERE size(p) > 1""")
+      SELECT doc_id, line, n, y, v, explode(transform(sequence(0, least(3, size(p) - 2)), i -> xxhash64(get(p, i), get(p, i + 1)))) AS s FROM _heliograph_classes WHERE size(p) > 1""")
     pairs.createOrReplaceTempView("_heliograph_pairs")
-    first = spark.sql("SELECT s, min(struct(doc_id, line, n, y, v, w, x)) AS f, count(*) AS c FROM _heliograph_pairs GROUP BY s HAVING c > 1")
+    first = spark.sql("SELECT s, min(struct(doc_id, line, n, y, v)) AS f, count(*) AS c FROM _heliograph_pairs GROUP BY s HAVING c > 1")
     first.select("s", "f.*").createOrReplaceTempView("_heliograph_first")
     one = spark.sql(f"SELECT DISTINCT a.doc_id AS a_doc, a.line AS a_line, b.doc_id AS b_doc, b.line AS b_line FROM _heliograph_pairs b JOIN _heliograph_first a ON a.s = b.s AND {close}")
     settled = spool.write(_verified(docs, one, percent, spool))
@@ -80,8 +80,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Both sides of the join read one and the same shuffle: size, position and openness travel in one number, and openness
     # is asked for in a condition on both sides, which the optimizer cannot push below the shuffle of one.
     rows = spark.sql("""
-      SELECT doc_id, line, y, v, w, x, (n * 2 + open) * 4294967296L + i AS z, s FROM (
-        SELECT l.doc_id, l.line, l.n, l.y, l.v, l.w, l.x, IF(s.doc_id IS NULL, 1, 0) AS open, posexplode(l.p) AS (i, s)
+      SELECT doc_id, line, y, v, (n * 2 + open) * 4294967296L + i AS z, s FROM (
+        SELECT l.doc_id, l.line, l.n, l.y, l.v, IF(s.doc_id IS NULL, 1, 0) AS open, posexplode(l.p) AS (i, s)
         FROM _heliograph_classes l LEFT JOIN _heliograph_settled s ON l.doc_id = s.doc_id AND l.line = s.line)""")
     rows.createOrReplaceTempView("_heliograph_prefixes")
     n, i = (lambda x: f"shiftright({x}.z, 33)"), (lambda x: f"({x}.z & 4294967295L)")
