@@ -1,11 +1,14 @@
 """Benchmark decontamination with DataFrame functions only.
 
-A window as long as a benchmark item (in words) is taken wherever one of the item's shingles lies in a text, at the
-place the item would have there. Windows and items get 64-bit SimHashes of their weighted shingles (a shingle that
+Windows as long as a benchmark item (in words) begin at each of its shingles in a text, and at the place the item would
+have around that shingle; near the end of a text they are its last window. Windows and items get 64-bit SimHashes of their weighted shingles (a shingle that
 occurs c times weighs c). Two fingerprints within `RADIUS` bits agree on one of RADIUS + 1 blocks at least, so an equi-join
 on (length, block number, block value) finds every pair within the radius; the exact weighted similarity
-sum(min)/sum(max) of those pairs decides. A window that shares no shingle with an item has similarity 0, so looking
-only where shingles lie loses nothing.
+sum(min)/sum(max) of those pairs decides. Any window can be moved right until it begins at its first shingle of the item
+(or ends with the text) without losing a shared shingle, so these windows find every item that any window finds, in
+whatever order its words stand. Before windows are made, those that begin at shingles are held against the number of shared
+shingles that the similarity takes: too few places of shingles of items of that length mean too low a similarity.
+`start` and `n_windows` are of the windows taken.
 
 Shingles of whole texts are held against a bitmap of the items' shingles (a scalar of at most 8 MB, at least 64
 bits a shingle up to a million) before anything is exploded. The join that follows broadcasts the items' shingles
@@ -66,8 +69,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     items = _fingerprinted(benchmark.filter("item_id is not null").select("item_id", words(F.col("text")).alias("iw")).filter("size(iw) > 0"), "iw")
     items = spool.write(items.select("item_id", F.size("iw").alias("n"), "_s", "elements", "fingerprint"))
     places = items.select("item_id", "n", F.posexplode("_s").alias("j", "s"))
-    size = places.agg(F.count("*"), F.max("n"), F.collect_set(F.least(F.col("n"), F.lit(SHINGLE)))).first()
-    n_places, longest, widths = size[0], size[1] or 1, sorted(size[2])
+    size = places.agg(F.count("*"), F.collect_set(F.least(F.col("n"), F.lit(SHINGLE)))).first()
+    n_places, widths = size[0], sorted(size[1])
     empty = spark.createDataFrame([], "doc_id long, item_id long, start int, n_words int, similarity double, n_windows long")
     if not n_places:
         return empty
@@ -85,14 +88,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     for k in widths:
         at = f"CASE WHEN size(h) >= {k} THEN transform(sequence(0, size(h) - {k}), i -> struct(i AS i, {shingle_at('h', 'i', k)} AS s)) ELSE array() END"
         hit = f"filter({at}, x -> {test.replace('(s,', '(x.s,')})"
-        found.append(f"transform({hit}, x -> struct(x.i AS i, x.s AS s, {k} AS k, greatest(0, x.i - {longest}) AS c, transform(sequence(greatest(0, x.i - {longest}), least(size(w) - 1, x.i + {longest})), j -> get(w, j)) AS ctx))")
+        found.append(f"transform({hit}, x -> struct(x.i AS i, x.s AS s, {k} AS k))")
     d.createOrReplaceTempView("_heliograph_docs")
-    seeds = spark.sql(f"SELECT doc_id, nw, p.* FROM (SELECT doc_id, size(w) AS nw, explode({found[0] if len(found) == 1 else 'concat(' + ', '.join(found) + ')'}) AS p FROM (SELECT *, (SELECT m FROM _heliograph_bitmap) AS m FROM _heliograph_docs))")
+    # an array of one or no array: a filter on its size would be pushed below, with all that hits are made of inside its lambdas
+    hits = spark.sql(f"SELECT doc_id, w, explode(filter(array({found[0] if len(found) == 1 else 'concat(' + ', '.join(found) + ')'}), x -> size(x) > 0)) AS hits FROM (SELECT *, (SELECT m FROM _heliograph_bitmap) AS m FROM _heliograph_docs)")
+    hits = spool.write(hits.withColumn("t", F.md5(F.concat_ws(" ", "w"))))
     side = places.withColumn("k", F.least(F.col("n"), F.lit(SHINGLE))).select("s", "k", "j", "n").distinct()
     if n_places <= BROADCAST:
         side = F.broadcast(side)
-    start = F.greatest(F.lit(0), F.least(F.col("i") - F.col("j"), F.col("nw") - F.col("n")))
-    windows = seeds.join(side, ["s", "k"]).withColumn("start", start).select("doc_id", "start", "n", F.expr("slice(ctx, start - c + 1, n)").alias("ww"))
+    seeds = hits.select("doc_id", "t", F.size("w").alias("nw"), F.explode("hits").alias("p")).select("doc_id", "t", "nw", "p.*").join(side, ["s", "k"])
+    last = F.greatest(F.lit(0), F.col("nw") - F.col("n"))
+    start = F.greatest(F.lit(0), F.least(F.col("i") - F.col("j"), last))
+    by = seeds.groupBy("doc_id", "t", "nw", "n", "k").agg(F.sort_array(F.collect_set("i")).alias("a"), F.collect_set(start).alias("d")).withColumn("last", last)
+    by = spool.write(by)  # else the sort is repeated inside the lambda below
+    # shingles of a window and of an item, and how many of them must be shared
+    by = by.withColumn("ws", F.expr("least(n, nw) - k + 1")).withColumn("least", F.expr(f"CAST(greatest(1, ({percent} * (ws + n - k + 1) + {99 + percent}) div {100 + percent}) AS INT)"))
+    by = by.withColumn("b", F.expr("transform(filter(a, (x, p) -> get(a, p + least - 1) - x < ws), x -> least(x, last))")).filter("size(b) > 0")
+    starts = by.select("doc_id", "t", "n", F.explode(F.array_union("b", "d")).alias("start"))
+    windows = hits.select("doc_id", "t", "w").join(starts, ["doc_id", "t"]).select("doc_id", "start", "n", F.expr("slice(w, start + 1, n)").alias("ww"))
     windows = spool.write(windows.withColumn("key", F.md5(F.concat_ws(" ", "ww"))).groupBy("doc_id", "start", "n", "key").agg(F.first("ww").alias("ww")))
     distinct = spool.write(_fingerprinted(windows.groupBy("n", "key").agg(F.first("ww").alias("ww")), "ww").select("n", "key", "elements", "fingerprint"))
     probe = distinct.select("n", "key", "elements", "fingerprint", F.explode(blocks("fingerprint")).alias("x")).select("n", "key", "elements", "fingerprint", "x.*")

@@ -221,6 +221,27 @@ def test_decontaminate(spark):
     assert decontaminate.matches(d.limit(0), b).count() == decontaminate.matches(d, b.limit(0)).count() == 0
 
 
+def test_decontaminate_reordered(spark):
+    """Items whose words stand in another order: the best window begins on no diagonal of the item."""
+    w = [f"r{i}" for i in range(60)]
+    moved = {1: w[30:] + w[:30], 2: w[50:] + w[:50], 3: w[20:40] + w[:20] + w[40:], 4: [x for i in range(0, 60, 6) for x in w[54 - i : 60 - i]]}
+    pads = {k: [f"p{k}_{i}" for i in range(80)] for k in moved}
+    rows = [(k + 10 * e, " ".join([*pads[k], *v, *pads[k][: 0 if e else 80]])) for k, v in moved.items() for e in (0, 1)]
+    rows += [(30, " ".join(moved[1])), (31, " ".join(["q", *moved[2][:-1]])), (32, " ".join(moved[1][:50])), (33, " ".join(moved[1] + pads[1] + w))]
+    item = collections.Counter(tuple(w[k : k + 5]) for k in range(56))
+    want = {}
+    for i, t in rows:
+        v = t.split(" ")
+        for s in range(max(1, len(v) - 59)):
+            a = collections.Counter(tuple(v[s : s + 60][k : k + 5]) for k in range(len(v[s : s + 60]) - 4))
+            x = sum((a & item).values()) / sum((a | item).values())
+            if x >= 0.75:
+                want[i] = max(x, want.get(i, 0))
+    got = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(w))], "item_id long, text string")).collect()
+    assert {r["doc_id"]: round(r["similarity"], 9) for r in got} == {k: round(x, 9) for k, x in want.items()}
+    assert {1, 2, 11, 12, 30, 33} <= set(want) and not {4, 14} & set(want)
+
+
 def test_language_id(spark):
     words = {"aa": ["tion", "ing", "the", "and"], "bb": ["ung", "sch", "der", "und"], "cc": ["eau", "oux", "les", "que"]}
     rows = [(i, " ".join(RNG.choice(words[k], 30)), k) for i, k in enumerate(list(words) * 120)]
