@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heliograph.operators.order import numbered
+
 from heliograph.functions.names import is_missing
 
 GROUP = ("project_id", "sample_id", "gpt_cell_type")
@@ -33,12 +35,15 @@ def replicate_parts(groups: DataFrame, min_cells: int = 50, target: int = 5) ->
 def assign(cells: DataFrame, groups: DataFrame, seed: int = 0, keys: tuple[str, ...] = GROUP) -> DataFrame:
     """Cells of kept groups with group_id and part, dealt in hash order to parts whose sizes differ by one at most."""
     x = cells.join(F.broadcast(groups), list(keys)) if "parts" in groups.columns else cells.join(F.broadcast(groups.withColumn("parts", F.lit(1))), list(keys))
-    order = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(seed), "cell"), "cell")
     base, extra = F.floor(F.col("n_cells") / F.col("parts")), F.col("n_cells") % F.col("parts")
-    i = F.row_number().over(order) - 1
+    i = F.col("_n") - 1
     wide = (base + 1) * extra
-    part = F.when(F.col("parts") == 1, F.lit(0)).when(i < wide, F.floor(i / (base + 1))).otherwise(extra + F.floor((i - wide) / base)).cast("int")
-    return x.withColumn("part", part).withColumn("group_id", F.concat_ws("\x1f", *keys, F.col("part").cast("string")))
+    part = F.when(i < wide, F.floor(i / (base + 1))).otherwise(extra + F.floor((i - wide) / base)).cast("int")
+    whole = x.filter("parts = 1").withColumn("part", F.lit(0))
+    if "parts" in groups.columns:
+        split = numbered(x.filter("parts > 1"), [F.xxhash64(F.lit(seed), "cell"), "cell"], keys, "_n")
+        whole = whole.unionByName(split.withColumn("part", part).drop("_n"))
+    return whole.withColumn("group_id", F.concat_ws("\x1f", *keys, F.col("part").cast("string")))
 
 
 def group_means(fact: DataFrame, assigned: DataFrame, feature: str) -> DataFrame:

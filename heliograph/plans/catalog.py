@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions import names, scores
-from heliograph.operators import activity, cells, embedding, guards, intervals, metadata, motif, pseudobulk, ranks, regulatory, sampling
+from heliograph.operators import activity, cells, embedding, guards, intervals, metadata, motif, order, pseudobulk, ranks, regulatory, sampling
 from heliograph.plans import batch, views
 from heliograph.sources import readers
 
@@ -211,8 +211,17 @@ def jn3_star_join(s, d):
 @query("SELECT DISTINCT p_type AS motif_id, p_brand AS tf, l_suppkey AS peak FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1", base=False)
 def jn5_motif_to_tf(s, d):
     """Many hits of a motif, many TFs of a motif."""
-    p = T(s, d, "part")
-    x = T(s, d, "lineitem").filter("l_linenumber = 1").join(p, F.col("l_partkey") == F.col("p_partkey"))
+    return _motif_to_tf(s, d, T(s, d, "lineitem").filter("l_linenumber = 1"))
+
+
+@query("SELECT DISTINCT p_type AS motif_id, p_brand AS tf, l_suppkey AS peak FROM lineitem JOIN part ON l_partkey = p_partkey", base=False)
+def jn5_motif_to_tf_whole(s, d):
+    """All lines."""
+    return _motif_to_tf(s, d, T(s, d, "lineitem"))
+
+
+def _motif_to_tf(s, d, lines):
+    x = lines.join(T(s, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return x.select(F.col("p_type").alias("motif_id"), F.col("p_brand").alias("tf"), F.col("l_suppkey").alias("peak")).distinct()
 
 
@@ -476,8 +485,18 @@ def wn9_percentiles(s, d):
 
 @query("SELECT l_orderkey, l_linenumber, 'peak_' || lpad(CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS VARCHAR), 9, '0') AS id FROM lineitem WHERE l_quantity = 1", base=False)
 def wn10_sequential_id(s, d):
-    x = T(s, d, "lineitem").filter("l_quantity = 1")
-    return x.select("l_orderkey", "l_linenumber", F.format_string("peak_%09d", F.row_number().over(Window.orderBy("l_orderkey", "l_linenumber", "l_partkey"))).alias("id"))
+    return _sequential_id(T(s, d, "lineitem").filter("l_quantity = 1"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 'peak_' || lpad(CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS VARCHAR), 9, '0') AS id FROM lineitem", base=False)
+def wn10_sequential_id_whole(s, d):
+    """All lines."""
+    return _sequential_id(T(s, d, "lineitem"))
+
+
+def _sequential_id(x):
+    x = x.select("l_orderkey", "l_linenumber", "l_partkey")
+    return order.numbered(x, ["l_orderkey", "l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", F.format_string("peak_%09d", "n").alias("id"))
 
 
 @query("""WITH t AS (SELECT count(*) AS n FROM cells), s AS (SELECT gpt_cell_type, count(*) AS n1 FROM cells GROUP BY 1),
@@ -521,8 +540,9 @@ def sm1_stratified_sample(s, d):
 
 @query()
 def sm2_pseudo_replicates(s, d):
-    """Two groups split in parts: part sizes."""
-    c = views.cells(s, d).filter("sample_id in ('NATION_1', 'NATION_2') and gpt_cell_type = 'BUILDING'")
+    """All cells as two groups, split in parts: part sizes."""
+    pair = F.when(F.col("cell") % 2 == 0, "even").otherwise("odd")
+    c = views.cells(s, d).withColumns({"project_id": F.lit("all"), "sample_id": pair, "gpt_cell_type": F.lit("all")})
     g = pseudobulk.replicate_parts(pseudobulk.groups_of(c, 10))
     return pseudobulk.assign(c, g).groupBy("sample_id", "part").agg(F.count("*").alias("n"))
 

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliograph.functions import names, scores, stats
-from heliograph.operators import cells, embedding, guards, intervals, metadata, motif, pseudobulk, ranks, sampling
-from heliograph.plans import batch
+from heliograph.operators import cells, embedding, guards, intervals, metadata, motif, order, pseudobulk, ranks, sampling
+from heliograph.plans import batch, catalog
 from heliograph.sources import readers, sinks
 
 
@@ -161,3 +161,23 @@ def test_variance_of_sparse(spark):
     f = spark.createDataFrame([(1, "a", 2.0), (2, "a", 4.0)], "cell int, gene string, value double")
     r = cells.variance_stats(f, "gene", 4).first()
     assert r["mean"] == 1.5 and r["variance"] == pytest.approx(np.var([2, 4, 0, 0], ddof=1))
+
+
+def test_numbered_in_ranges(spark):
+    x = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("g"), F.xxhash64("id").alias("h"))
+    rows = sorted((r["h"], r["id"], r["g"]) for r in x.collect())
+    assert {r["id"]: r["n"] for r in order.numbered(x, ["h", "id"]).collect()} == {k: i + 1 for i, (_, k, _) in enumerate(rows)}
+    want = {k: i + 1 for g in (None, 0, 1, 2) for i, k in enumerate(k for _, k, v in rows if v == g)}
+    assert {r["id"]: r["n"] for r in order.numbered(x, ["h", "id"], ("g",)).collect()} == want
+    assert order.numbered(x.limit(0), ["h", "id"]).count() == 0
+
+
+def test_whole_tables(spark):
+    d = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    assert catalog.QUERIES["wn10_sequential_id_whole"](spark, d).count() == lines.count()
+    assert {r["peak"] for r in catalog.QUERIES["jn5_motif_to_tf_whole"](spark, d).collect()} == {r[0] for r in lines.select("l_suppkey").distinct().collect()}
+    got = catalog.QUERIES["sm2_pseudo_replicates"](spark, d).collect()
+    assert sum(r["n"] for r in got) == spark.read.parquet(f"{d}/orders.parquet").count() and len(got) > 2
+    plan = catalog.QUERIES["wn10_sequential_id_whole"](spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number() windowspecdefinition(_range" in plan
