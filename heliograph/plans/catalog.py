@@ -277,8 +277,11 @@ j AS (SELECT t.*, g.*, coalesce(c.n, 0) AS active_cell_count, coalesce(c.n, 0) /
 """
 
 
-def _joint(s, d):
-    trip = views.hits(s, d).filter("motif_pvalue < 0.01 AND peak % 10 = 1").join(views.links(s, d), "peak")
+_JOINT_WHOLE = _JOINT.replace("peak % 10 = 1 AND ", "")
+
+
+def _joint(s, d, peaks="peak % 10 = 1"):
+    trip = views.hits(s, d).filter(f"motif_pvalue < 0.01 AND {peaks}").join(views.links(s, d), "peak")
     return activity.joint_counts(trip, views.rna(s, d), views.atac(s, d), views.cells(s, d))
 
 
@@ -307,6 +310,27 @@ def ag10_filter_summary(s, d):
     return activity.filter_summary(w, activity.dataset_filter(w, 0.001, 2)).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
 
 
+@query(_JOINT_WHOLE + "SELECT tf, peak, gene, project_id, sample_id, gpt_cell_type, group_total_cells, active_cell_count, round(active_cell_fraction, 6) AS active_cell_fraction FROM j")
+def jn17_joint_detection_whole(s, d):
+    """Of all peaks."""
+    return _joint(s, d, "true").withColumns(r6("active_cell_fraction"))
+
+
+@query(_JOINT_WHOLE + _POOL + "SELECT dataset, tf, peak, gene, project_id, sample_id, gpt_cell_type, active_cell_count, dataset_active_cell_count, dataset_group_total_cells, round(dataset_active_cell_fraction, 6) AS dataset_active_cell_fraction FROM w JOIN q USING (dataset, tf, peak, gene, gpt_cell_type)")
+def jn7_dataset_filter_whole(s, d):
+    """Of all peaks."""
+    out = activity.dataset_filter(_joint(s, d, "true").withColumn("dataset", F.lit("ds")), 0.001, 2)
+    return out.withColumns(r6("dataset_active_cell_fraction")).drop("group_total_cells", "active_cell_fraction")
+
+
+@query(_JOINT_WHOLE + _POOL + """, k AS (SELECT w.* FROM w JOIN q USING (dataset, tf, peak, gene, gpt_cell_type))
+SELECT a.n AS source_rows, a.k AS source_keys, b.n AS kept_rows, b.k AS kept_keys, round(b.n / a.n, 6) AS kept_rows_fraction, round(b.k / a.k, 6) AS kept_keys_fraction FROM (SELECT count(*) AS n, count(DISTINCT (dataset, tf, peak, gene, gpt_cell_type)) AS k FROM w) a, (SELECT count(*) AS n, count(DISTINCT (dataset, tf, peak, gene, gpt_cell_type)) AS k FROM k) b""")
+def ag10_filter_summary_whole(s, d):
+    """Of all peaks."""
+    w = _joint(s, d, "true").withColumn("dataset", F.lit("ds"))
+    return activity.filter_summary(w, activity.dataset_filter(w, 0.001, 2)).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
+
+
 @query("SELECT chrom, contig FROM (VALUES ('1', 'chr1'), ('chr2', '2'), ('chrX', 'chrX'), ('M', NULL), ('chr9', NULL)) t(chrom, contig)", base=False)
 def jn19_contigs(s, d):
     one = T(s, d, "region").limit(1)

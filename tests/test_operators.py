@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heliograph.functions import names, scores, stats
 from heliograph.operators import cells, embedding, guards, intervals, metadata, motif, order, pseudobulk, ranks, sampling
-from heliograph.plans import batch, catalog
+from heliograph.plans import batch, catalog, views
 from heliograph.sources import readers, sinks
 
 
@@ -181,3 +181,10 @@ def test_whole_tables(spark):
     assert sum(r["n"] for r in got) == spark.read.parquet(f"{d}/orders.parquet").count() and len(got) > 2
     plan = catalog.QUERIES["wn10_sequential_id_whole"](spark, d)._jdf.queryExecution().executedPlan().toString()
     assert "Window [row_number() windowspecdefinition(_range" in plan
+
+
+def test_joint_detection_of_all_peaks(spark):
+    d = "/root/testdata/sf0.001"
+    want = {r["peak"] for r in views.hits(spark, d).filter("motif_pvalue < 0.01").join(views.links(spark, d), "peak").select("peak").distinct().collect()}
+    got = {r["peak"] for r in catalog.QUERIES["jn17_joint_detection_whole"](spark, d).select("peak").distinct().collect()}
+    assert got == want and any(p % 10 != 1 for p in got)
