@@ -17,10 +17,10 @@ SHINGLE, SIMILARITY = 5, 0.75
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one beside the warehouse's tables where that is unset."""
     set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not set_to:
-        set_to = "file:///tmp/checkpoints/heliograph"
+        set_to = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_heliograph"
         spark.sparkContext.setCheckpointDir(set_to)
     return set_to.rstrip("/")
 
@@ -31,8 +31,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+#: Lets Spark remove a statement's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Spool:
-    """Tables written to the shared folder to cut lineage; drop() removes those no longer needed."""
+    """Tables written to the shared folder to cut lineage; drop() removes those no longer needed, close() all of them.
+
+    Once a table is written its shuffle files serve nothing, so they go at once.
+    """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         bounded_batches(spark)
@@ -41,15 +48,32 @@ class Spool:
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._spool_path = path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(t._spool_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(t._spool_path)
+
+    def close(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def shares(df: DataFrame, keys: DataFrame, on: list[str], name: str) -> DataFrame:
+    """df with a boolean: whether the row's columns `on` are among the rows of keys."""
+    marks = keys.select(*on).distinct().withColumn(name, F.lit(True))
+    return df.join(marks, on, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def maybe_in(df: DataFrame, key: str, keys: DataFrame, most_bits: int = 1 << 24, negate: bool = False) -> DataFrame:

@@ -200,6 +200,19 @@ def test_line_dedup(spark):
     assert got[3]["text"].split("\n")[0] == "" and line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_repeated_ids(spark):
+    dup = "this line is a dup of another one"
+    long_text = "\n".join(f"w{i} w{i + 1} w{i + 2} w{i + 3}" for i in range(0, 20_000, 4)) + "\r\n" + "z" * 300_000
+    rows = [(0, dup, "a"), (1, "alpha beta gamma delta unique words", "b"), (1, dup, "c"), (2, "exact repeat row here now\n\nits end", "d"), (2, "exact repeat row here now\n\nits end", "e"), (3, long_text, "f"), (4, None, "g"), (4, "tab\tsplit  words\x0bhere and there", "h"), (5, "tab split words here and there", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    got = {r["mark"]: r for r in line_dedup.dedup_lines(df).collect()}
+    assert len(got) == len(rows)
+    assert got["a"]["text"] == dup and got["b"]["text"] == rows[1][1] and got["c"]["text"] == ""
+    assert sorted((got["d"]["text"], got["e"]["text"])) == ["", rows[3][1]] and sorted(map(len, (got["d"]["lines_removed"], got["e"]["lines_removed"]))) == [0, 2]
+    assert got["f"]["text"] == long_text and got["g"]["text"] is None and got["g"]["n_lines"] == 0
+    assert got["h"]["lines_removed"] == [] and got["i"]["lines_removed"] == [0] and got["i"]["text"] == ""
+
+
 def test_decontaminate(spark):
     items = [(i, prose(n)) for i, n in enumerate((20, 40, 5, 3))] + [(4, ""), (5, None), (None, "q")]
     rows = [(1, prose(50) + " " + items[0][1] + " " + prose(50)), (2, prose(30) + " " + edited(items[1][1], 1)), (3, prose(80)), (4, items[2][1].upper()), (5, "a " + items[3][1] + " b"), (6, None), (7, ""), (8, edited(items[0][1], 6))]
