@@ -78,11 +78,10 @@ def _tokens(rows: DataFrame, percent: int, spool: Spool) -> DataFrame:
     keys = _lines(rows).withColumn("m", rarity.scalar())
     keys = keys.select(*LINE, F.expr(f"sort_array(transform({_TOKENS}, h -> m[h & {RARITY - 1}L] | (h & {HASH}L)))").alias("t")).withColumn("n", F.size("t"))
     prefix = f"transform(slice(t, 1, greatest(0, n - CAST(ceil(n * {percent} / 100) AS INT) + 1)), x -> CAST((x & 4294967295L) - 2147483648L AS INT))"
-    word = "aggregate(filter(t, x -> (x & 192L) = {}L), 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
-    wide = keys.select(*LINE, "n", F.expr("xxhash64(t)").alias("k1"), F.expr("hash(t)").alias("k2"), F.expr(prefix).alias("p"), *[F.expr(word.format(64 * i)).alias(y) for i, y in enumerate(SKETCH)])
-    short = F.col("n") < WIDE
-    folded = {"y0": F.when(short, F.expr("y0 ^ y2")).otherwise(F.col("y0")), "y1": F.when(short, F.expr("y1 ^ y3")).otherwise(F.col("y1"))}
-    return spool.write(wide.withColumns(folded | {y: F.when(short, F.lit(0).cast("long")).otherwise(F.col(y)) for y in SKETCH[2:]})).filter("n > 0")
+    word = "aggregate(filter(t, x -> (x & {}L) = {}L), 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
+    words = [f"IF(n < {WIDE}, {word.format(64, 64 * i) if i < 2 else '0L'}, {word.format(192, 64 * i)})" for i in range(4)]
+    wide = keys.select(*LINE, "n", F.expr("xxhash64(t)").alias("k1"), F.expr("hash(t)").alias("k2"), F.expr(prefix).alias("p"), *[F.expr(x).alias(y) for x, y in zip(words, SKETCH, strict=True)])
+    return spool.write(wide).filter("n > 0")
 
 
 def _close(an: str, bn: str, percent: int) -> str:
@@ -106,10 +105,13 @@ def removed_lines(rows: DataFrame, percent: int, spool: Spool) -> DataFrame:
     many = spool.write(maybe_in(lines, "k1", classes.select("k1")).join(classes, ["k1", "k2", "n"], "left").withColumn("copy", F.coalesce(F.struct(*LINE) != F.col("f"), F.lit(False))).drop("f"))
     copies = many.filter("copy").select(*LINE)
     once = maybe_in(lines, "k1", classes.select("k1"), negate=True).unionByName(many.filter("not copy").drop("copy")).select(*LINE, "n", "p", *SKETCH)
-    # round 1: the earliest line of each pair of neighbouring prefix tokens
-    keys = F.array(*[F.expr(f"IF(size(p) > {i + 1}, xxhash64(p[{i}], p[{i + 1}]), NULL)") for i in range(4)])
-    pairs = once.filter("size(p) > 1").select(*LINE, "n", *SKETCH, F.explode(keys).alias("s")).filter("s is not null")
-    first = pairs.groupBy("s").agg(F.count("*").alias("c"), F.min(F.struct(*LINE, "n", *SKETCH)).alias("f")).filter("c > 1").select("s", "f.*")
+    # Round 1: the earliest line of each pair of neighbouring prefix tokens, by the four pairs of least hash of each line. Pairs
+    # that one line alone has are found by their counts, so that few rows carry sketches.
+    keys = F.expr("slice(sort_array(transform(sequence(0, size(p) - 2), i -> xxhash64(p[i], p[i + 1]))), 1, 4)")
+    pairs = once.filter("size(p) > 1").select(*LINE, "n", *SKETCH, F.explode(keys).alias("s"))
+    shared = spool.write(pairs.groupBy("s").count().filter("count > 1").select("s"))
+    pairs = spool.write(maybe_in(pairs, "s", shared))
+    first = pairs.groupBy("s").agg(F.min(F.struct(*LINE, "n", *SKETCH)).alias("f")).select("s", "f.*")
     one = pairs.alias("b").join(first.alias("a"), F.expr(f"a.s = b.s AND {_close('a.n', 'b.n', percent)}"))
     settled = _verified(rows, one.selectExpr(*_PAIR).distinct(), percent, spool)
     # Round 2: lines not settled against all earlier ones that share a prefix token. Both sides of the join read one and the same
