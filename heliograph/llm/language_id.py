@@ -3,12 +3,14 @@
 Byte n-grams (2 to 4, word boundaries included) of the lower-cased whole text are hashed to rows of an embedding
 table; a text is the mean of its rows, and a linear softmax gives a probability per language. Table and softmax are
 trained together by stochastic gradient descent in numpy, in one task, on a bounded sample (`per_language` labelled
-rows of each language, the lowest by a hash of doc_id, of at most `languages` languages). A part of the sample, not trained on,
-calibrates: a temperature by likelihood, then the lowest confidence from which accepted texts reach `precision`.
+rows of each language, the lowest by a hash of doc_id, `most` rows in all, every language among them). A part of the sample, not
+trained on, calibrates: a temperature by likelihood, then the lowest confidence from which accepted texts reach `precision`, though
+never above CEILING, so that wrong labels cannot reject texts that are told with confidence.
 As the model is linear, scoring needs only table @ softmax, one row of logits per hashed n-gram.
 
 Defined cases: a text that is null, empty or without a letter is `und` with score 0 and rejected; where nothing can
-be learned from (no labelled row), every text is; a null doc_id is never learned from; repeated rows are scored each; other columns are ignored.
+be learned from (no labelled row), every text is; a null doc_id is never learned from; repeated rows are scored each; texts of any
+length are read whole; columns named like a result are replaced, others kept.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches
+from .common import Spool, bounded_batches, maybe_in
 
 BUCKETS, DIM, GRAMS = 1 << 15, 16, (2, 3, 4)
 UND = "und"
+#: The highest confidence that may be asked for, and the parts in which a language's rows are ranked.
+CEILING, SALTS = 0.6, 256
 _K = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
 
 
@@ -126,7 +130,8 @@ def train(rows: list[tuple[str, str]], epochs: int = 6, rate: float = 0.5, preci
     order = np.argsort(-sure, kind="stable")
     good = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= precision
     threshold = 0.0 if good[-1] else float(sure[order][np.flatnonzero(good)[-1]]) if good.any() else 1.0
-    return Model(names, (logits * t).astype(np.float32), (b * t).astype(np.float32), max(threshold, 1.2 / len(names) if len(names) > 1 else 0.0))
+    least = 1.2 / len(names) if len(names) > 1 else 0.0
+    return Model(names, (logits * t).astype(np.float32), (b * t).astype(np.float32), min(max(threshold, least), CEILING))
 
 
 def held_out(folds: int = 5):
@@ -134,14 +139,22 @@ def held_out(folds: int = 5):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == 0
 
 
-def fit(docs: DataFrame, per_language: int = 400, languages: int = 200, folds: int = 5, precision: float = 0.99) -> Model | None:
-    """Learns from the documented bounded sample; runs at once and brings only the model (4 * buckets bytes a language) to the driver."""
+def fit(docs: DataFrame, per_language: int = 400, most: int = 80_000, folds: int = 5, precision: float = 0.99) -> Model | None:
+    """Learns every lang value from a bounded sample of its rows; brings only the model (4 * buckets bytes a language) to the driver.
+
+    The sample is the rows of least hash of doc_id, at most per_language a language and `most` in all, but one a language at least.
+    """
     bounded_batches(docs.sparkSession)
     can = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(folds))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = can.select("doc_id", "lang").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_language).groupBy("lang").agg(F.collect_set("doc_id").alias("ids")).orderBy("lang").limit(languages)
-    ids = chosen.select(F.explode("ids").alias("doc_id")).distinct()
-    rows = can.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id")  # at most per_language * languages ids
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    part = Window.partitionBy("lang", F.pmod(order[0], F.lit(SALTS))).orderBy(*order)
+    first = Window.partitionBy("lang").orderBy(*order)
+    some = can.select("doc_id", "lang").distinct().withColumn("_n", F.row_number().over(part)).filter(F.col("_n") <= per_language).drop("_n")
+    some = some.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_language)
+    some = Spool(docs.sparkSession, "language").write(some)
+    quota = max(1, most // max(1, some.select("lang").distinct().count()))
+    chosen = some.filter(F.col("_n") <= quota)
+    rows = maybe_in(can.select("doc_id", "lang", "text"), "CAST(doc_id AS BIGINT)", chosen.select(F.col("doc_id").cast("long").alias("doc_id"))).join(chosen.select("doc_id", "lang"), ["doc_id", "lang"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = sorted((str(i), y, t) for pdf in batches for i, y, t in zip(pdf["doc_id"].tolist(), pdf["lang"].tolist(), pdf["text"].tolist()))
