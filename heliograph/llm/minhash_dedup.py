@@ -13,8 +13,9 @@
 A link is missed only if no band agrees - (1 - s**rows)**bands, under 6e-6 at 0.75 - or by the chosen miss probability.
 
 Defined cases: a null, empty or blank text has an empty set and links with nothing; a text of fewer words than a shingle is one
-shingle; rows that repeat a doc_id are one document, with the links of each of its texts; a null doc_id is kept, with
-no component; an empty table gives no rows; other columns are ignored.
+shingle; rows that repeat a doc_id are one document, with the links of each of its texts, and n_shingles of each row's own; a null
+doc_id is kept, with no component; an empty table gives no rows; other columns are ignored, whatever their names; texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -28,13 +29,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, SIMILARITY, Spool, WordHashes, maybe_in, mix64, shingle_hashes, texts
+from .common import SHINGLE, SIMILARITY, Spool, WordHashes, maybe_in, mix64, shares, shingle_hashes, texts
 from .components import components
 
 BANDS, ROWS, SIGNATURE, BATCH, BLOCK = 32, 4, 128, 32, 256
 #: Size of the bottom sketches that settle pairs within open buckets; a set of fewer shingles is held whole.
 BOTTOM = 512
 MISS = 1e-6
+#: From here on are the numbers of texts that share their doc_id with others.
+OWN = 1 << 62
 
 
 def hash_family(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,9 +235,26 @@ def _across(open_rows: DataFrame, least: dict[int, int], best: int | None, perce
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(run, "a long, b long").distinct()
 
 
+def _vertices(docs: DataFrame, spool: Spool) -> tuple[DataFrame, DataFrame | None]:
+    """docs (doc_id, text) with texts that share a doc_id under numbers of their own, and (a: doc_id, b: number) of those, if any.
+
+    Such numbers lie above OWN, so the smallest vertex of a component is a doc_id; doc_ids are held to be below OWN.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    several = spool.write(docs.filter("doc_id is not null and text is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if several.isEmpty():
+        return docs, None
+    rest = docs.filter("doc_id is null").unionByName(maybe_in(docs, "doc_id", several, negate=True))
+    number = F.when(F.col("_several") & F.col("text").isNotNull(), F.expr(f"{OWN}L | shiftrightunsigned(xxhash64(doc_id, text), 2)")).otherwise(F.col("doc_id"))
+    own = spool.write(shares(maybe_in(docs, "doc_id", several), several, ["doc_id"], "_several").select("doc_id", number.alias("b"), "text"))
+    ties = spool.write(own.filter("b <> doc_id").select(F.col("doc_id").alias("a"), "b").distinct())
+    return rest.unionByName(own.select(F.col("b").alias("doc_id"), "text")), ties
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
     """A row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (whether it is that one)."""
     spool = Spool(docs.sparkSession, "minhash")
+    docs, ties = _vertices(docs, spool)
     least = least_matches(similarity, miss)
     all_ = spool.write(sketches(docs, k))
     sets = all_.filter("class_key is not null and doc_id is not null")
@@ -262,7 +282,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMIL
         across = spool.write(_across(rest.join(reps.select("doc_id", "sig"), "doc_id").join(low, "doc_id"), least, best, percent, few))
         links = links.unionByName(spool.write(verified(across, docs, k, similarity)))
         spool.drop(wide, rest, across)
-    root = components(links.unionByName(members))
+    root = components(links.unionByName(members) if ties is None else links.unionByName(members).unionByName(ties))
     out = all_.select("doc_id", "n_shingles").join(root.select(F.col("v").alias("doc_id"), "root"), "doc_id", "left")
+    if ties is not None:
+        out = out.join(ties.select(F.col("a").alias("_a"), F.col("b").alias("doc_id")), "doc_id", "left").withColumn("doc_id", F.coalesce("_a", "doc_id"))
     c = F.coalesce("root", "doc_id")
     return out.select("doc_id", "n_shingles", c.alias("component_id"), F.coalesce(c == F.col("doc_id"), F.lit(True)).alias("kept"))

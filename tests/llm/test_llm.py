@@ -89,6 +89,34 @@ def test_repeated_ids_and_open_buckets(spark):
     assert all(mine[i] == mine[want[i][1]] for i in want)
 
 
+def test_repeated_ids_with_other_texts(spark):
+    rows = []
+    for f in range(3):
+        base = prose(200)
+        rows += [(100 * f + i, edited(base, 7 + f)) for i in range(30)] + [(100 * f + 50, prose(150)), (100 * f + 50, base), (100 * f + 60, edited(base, 3))]
+    rows += [(50, None), (400, " ".join(f"w{i}" for i in range(60_000))), (401, " ".join(f"w{i}" for i in range(60_100)))]
+    RNG.shuffle(order := list(range(len(rows))))
+    rows = [rows[i] for i in order]
+    sets = []
+    for _, t in rows:
+        w = t.split() if t else []
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for m in range(len(rows)):
+        for n in range(m):
+            if sets[m] and 100 * len(sets[m] & sets[n]) >= 75 * len(sets[m] | sets[n]):
+                x, y = sorted((find(rows[m][0]), find(rows[n][0])))
+                root[y] = x
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["n_shingles"]) for r in got) == sorted((i, find(i), len(s)) for (i, _), s in zip(rows, sets))
+
+
 def test_sequential_bounds():
     least = minhash_dedup.least_matches(0.75, 1e-6)
     assert list(least) == [32, 64, 96, 128] and least[128] > 64
@@ -128,6 +156,23 @@ def test_secrets(spark):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+def test_secrets_in_long_texts(spark):
+    n = 12_000
+    many = " ".join(f"password=abcdef{i}" for i in range(n))
+    key = "".join(RNG.choice(list(secrets.ALPHABET[:62]), 3000))
+    lower, upper = "k3x9q7m2w8z5t1r6y4p0h7d3", "QX7M2W8Z5T1R6Y4P0H7D3KJ9"
+    rows = [(0, many, "x"), (1, f"see {key} there", "x"), (2, many, "x"), (2, many, "x"), (3, f"{lower} and {upper}", None)]
+    got = collections.defaultdict(list)
+    for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string, all_spans string")).collect():
+        got[r["doc_id"]].append(r)
+    want = [(m.start(), m.end()) for m in re.finditer(r"password=\w+", many)]
+    assert got[0][0]["spans"] == ",".join(f"assign:{s}:{e}" for s, e in want) and len(got[2]) == 2
+    assert got[1][0]["spans"] == "entropy:4:3004"
+    assert got[3][0]["n_entropy"] == 2
+    text = " ".join(prose(40) for _ in range(200))
+    assert secrets.report(spark.createDataFrame([(0, text)], "doc_id long, text string")).first()["spans"] == ""
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 def test_suffix_dedup(spark, keep):
     p = "".join(RNG.choice(list("abcdefgh éß"), 900))
@@ -266,6 +311,10 @@ def test_language_id(spark):
     assert np.mean([got[i]["lang_pred"] == rows[i][2] for i in held]) > 0.98
     assert got[9000]["lang_pred"] == got[9001]["lang_pred"] == "und" and got[9002]["lang_pred"] == "aa"
     assert all(0 <= r["lang_score"] <= 1 for r in got.values())
+    many = spark.range(1500).selectExpr("id AS doc_id", "concat('word', id % 300, ' letters') AS text", "concat('l', id % 300) AS lang", "1 AS lang_pred")
+    m = language_id.fit(many, most=900)
+    assert len(m.languages) == 300 and m.threshold <= language_id.CEILING
+    assert language_id.identify(many, m).count() == 1500 and language_id.identify(many, m).schema["lang_pred"].dataType.simpleString() == "string"
     assert language_id.fit(d.limit(0)) is None and language_id.identify(d, None).filter("lang_pred <> 'und'").count() == 0
 
 
@@ -273,9 +322,8 @@ def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    rows = [(i, prose(int(n))) for i, n in enumerate(RNG.integers(1, 900, 80))] + [(500, None), (501, ""), (501, ""), (502, "naïve 😀 <|endoftext|> \x00 end")]
+    rows = [(i, prose(int(n))) for i, n in enumerate(RNG.integers(1, 900, 80))] + [(500, None), (501, ""), (501, ""), (502, "naïve 😀 <|endoftext|> \x00 end"), (503, "<|endoftext|><|endoftext|>a <|endoftext|> b<|end|>"), (504, prose(5000))]
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     ids = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), with_ids=True).collect()
     by_doc, by_seq = collections.defaultdict(list), collections.defaultdict(list)
