@@ -25,8 +25,11 @@ def normalize_chrom(chrom: Column) -> Column:
 
 
 def normalize_peak(name: Column) -> Column:
-    p = parse_peak(name)
-    return F.when(p.isNotNull(), F.concat(normalize_chrom(p["chrom"]), F.lit(":"), p["start"].cast("string"), F.lit("-"), p["end"].cast("string"))).otherwise(name)
+    """The trimmed name with its chromosome normalised; null stays null, another form than `chrom:start-end` raises."""
+    trimmed = F.trim(name)
+    part = lambda i: F.regexp_extract(trimmed, PEAK, i)
+    wrong = F.raise_error(F.concat(F.lit("invalid peak name (expected chrom:start-end): "), name))
+    return F.when(name.isNull(), F.lit(None).cast("string")).when(trimmed.rlike(PEAK), F.concat(normalize_chrom(part(1)), F.lit(":"), part(2), F.lit("-"), part(3))).otherwise(wrong)
 
 
 def prefixed_cell(cell: Column, sample: Column) -> Column:

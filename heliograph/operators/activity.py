@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliograph.operators.cut import cut
 from heliograph.operators.guards import many_to_one
 from heliograph.operators.pseudobulk import GROUP
 
@@ -17,21 +18,23 @@ def gene_activity(atac: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def joint_counts(trip: DataFrame, rna: DataFrame, atac: DataFrame, cells: DataFrame) -> DataFrame:
-    """Of each triplet and group: how many cells have all three above 0; groups and triplets without any included."""
+    """Of each triplet and group with such cells: how many have all three above 0, and their share of the group's."""
     on = lambda fact, f: fact.filter("value > 0").select("cell", f)
     t = trip.select("tf", "peak", "gene").distinct()
     tf = on(rna, "gene").withColumnRenamed("gene", "tf")
     j = t.join(on(atac, "peak"), "peak").join(tf, ["tf", "cell"], "left_semi").join(on(rna, "gene"), ["gene", "cell"], "left_semi")
     counted = j.join(cells.select("cell", *GROUP), "cell").groupBy("tf", "peak", "gene", *GROUP).agg(F.count("*").alias("active_cell_count"))
     groups = cells.groupBy(*GROUP).agg(F.count("*").alias("group_total_cells"))
-    full = t.crossJoin(groups).join(counted, ["tf", "peak", "gene", *GROUP], "left")
-    n = F.coalesce("active_cell_count", F.lit(0).cast("long"))
-    return full.withColumn("active_cell_count", n).withColumn("active_cell_fraction", F.col("active_cell_count") / F.col("group_total_cells"))
+    return counted.join(groups, list(GROUP)).withColumn("active_cell_fraction", F.col("active_cell_count") / F.col("group_total_cells"))
 
 
 def add_active_fraction(scores: DataFrame, rna: DataFrame, atac: DataFrame, cells: DataFrame) -> DataFrame:
-    """scores with the three joint detection columns; every row must find its group."""
-    return many_to_one(scores, joint_counts(scores, rna, atac, cells), ["tf", "peak", "gene", *GROUP])
+    """scores with the three joint detection columns, 0 where no cell has all three; every row must find its group."""
+    groups = cut(cells.groupBy(*GROUP).agg(F.count("*").alias("group_total_cells")))
+    counts = joint_counts(scores, rna, atac, cells).select("tf", "peak", "gene", *GROUP, "active_cell_count")
+    x = many_to_one(scores, groups, list(GROUP)).join(counts, ["tf", "peak", "gene", *GROUP], "left")
+    n = F.coalesce("active_cell_count", F.lit(0).cast("long"))
+    return x.withColumn("active_cell_count", n).withColumn("active_cell_fraction", F.col("active_cell_count") / F.col("group_total_cells"))
 
 
 def pooled(scores: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heliograph.operators.order import running
+
 
 def qc_metrics(fact: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]:
     """By cell: n_features, total. By feature: n_cells. Zero values don't count."""
@@ -41,10 +43,21 @@ def detected_in_all(fact: DataFrame, cells: DataFrame, feature: str, sample: str
 def normalize(fact: DataFrame) -> DataFrame:
     """log1p(value * median cell total / cell total)."""
     totals = fact.groupBy("cell").agg(F.sum("value").alias("total")).filter("total > 0")
-    target = totals.agg(F.percentile("total", 0.5)).first()[0] or 1.0
+    target = median(totals.groupBy("total").agg(F.count("*").alias("n")), "total", "n") or 1.0
     return fact.join(totals, "cell").withColumn("value", F.log1p(F.col("value") * F.lit(target) / F.col("total"))).drop("total")
 
 
+def median(counts: DataFrame, value: str, n: str) -> float | None:
+    """The median of values with their counts, by running counts over ranges of distinct values."""
+    total = counts.agg(F.sum(n).alias("t")).first()["t"]
+    if not total:
+        return None
+    run = running(counts.select(value, n), n, [value], name="_upto")
+    at = [(total - 1) // 2, total // 2]  # from 0
+    got = run.select(*[F.min(F.when(F.col("_upto") > i, F.col(value))).alias(f"m{k}") for k, i in enumerate(at)]).first()
+    return (got["m0"] + got["m1"]) / 2
+
+
 def collapse(fact: DataFrame, feature: str, renamed) -> DataFrame:
     """Features renamed; those that then share a name are summed."""
     return fact.withColumn(feature, renamed).groupBy("cell", feature).agg(F.sum("value").alias("value"))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that executors share (spark.checkpoint.dir; one of our own where that is unset)."""
+    """A reliable checkpoint in the folder that executors share (spark.checkpoint.dir; one beside the warehouse's tables where that is unset)."""
     spark = df.sparkSession
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir("file:///tmp/checkpoints/heliograph")
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_heliograph")
     return df.checkpoint()

@@ -122,7 +122,7 @@ def clusters(edges: DataFrame, rounds: int = 8) -> DataFrame:
         sums = votes.unionByName(own).groupBy("id", "label").agg(F.round(F.sum("w"), 9).alias("w"))
         labels = cut(sums.groupBy("id").agg(F.max_by("label", F.struct("w", -F.col("label"))).alias("label")))
     order = labels.groupBy("label").agg(F.count("*").alias("n")).withColumn("cluster", F.row_number().over(Window.partitionBy().orderBy(F.desc("n"), "label")) - 1)
-    return labels.join(F.broadcast(order), "label").select("id", F.col("cluster").cast("string").alias("cluster"))
+    return labels.join(order, "label").select("id", F.col("cluster").cast("string").alias("cluster"))
 
 
 def layout(vectors: DataFrame, edges: DataFrame, epochs: int = 100, seed: int = 0, most: int = 200_000) -> DataFrame:

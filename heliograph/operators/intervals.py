@@ -64,7 +64,8 @@ def nearest_join(peaks: DataFrame, points: DataFrame, within: int, width: int |
 
 
 def annotate(peaks: DataFrame, genes: DataFrame, bodies: DataFrame, upstream: int = 1000, downstream: int = 100, within: int = 200_000, width: int = 10_000) -> DataFrame:
-    """chrom, start, end, gene, distance, peak_type: promoter, else distal (nearest start site), else gene body.
+    """chrom, start, end, gene, distance, peak_type: promoter (distance 0), else distal: the nearest start site's signed distance, or
+    0 in a gene's body.
 
     genes: gene, chrom, tss, strand. bodies: gene, chrom, start, end. A (peak, gene) is taken with its best type; promoter rows
     are all kept.
@@ -72,9 +73,9 @@ def annotate(peaks: DataFrame, genes: DataFrame, bodies: DataFrame, upstream: in
     p = peaks.select("chrom", "start", "end").distinct()
     lo, hi = promoter(F.col("tss"), F.col("strand"), upstream, downstream)
     windows = genes.select("gene", "chrom", "tss", lo.alias("start"), hi.alias("end")).filter("start < end")
-    near = overlap_join(p, windows, width).withColumn("distance", signed_distance(F.col("start"), F.col("end"), F.col("tss"))).select("chrom", "start", "end", "gene", "distance", F.lit("promoter").alias("peak_type"), F.lit(0).alias("_o"))
+    near = overlap_join(p, windows, width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("promoter").alias("peak_type"), F.lit(0).alias("_o"))
     far = nearest_join(p, genes.select("gene", "chrom", "tss"), within).select("chrom", "start", "end", "gene", "distance", F.lit("distal").alias("peak_type"), F.lit(1).alias("_o"))
-    body = overlap_join(p, bodies.select("gene", "chrom", "start", "end"), width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("gene_body").alias("peak_type"), F.lit(2).alias("_o"))
+    body = overlap_join(p, bodies.select("gene", "chrom", "start", "end"), width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("distal").alias("peak_type"), F.lit(2).alias("_o"))
     every = near.unionByName(far).unionByName(body)
     w = Window.partitionBy("chrom", "start", "end", "gene").orderBy("_o", F.abs("distance"))
     first = F.row_number().over(w)

@@ -49,7 +49,7 @@ def join_metadata(cells: DataFrame, meta: DataFrame) -> DataFrame:
     a, b = cells.select("sample_name").distinct(), meta.select("sample_name")
     require_none(a.join(b, "sample_name", "left_anti"), "samples without metadata")
     require_none(b.join(a, "sample_name", "left_anti"), "samples without cells")
-    return cells.join(F.broadcast(meta), "sample_name", "left")
+    return cells.join(meta, "sample_name", "left")
 
 
 def resolve_input(samples: DataFrame, paths: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def annotation_faults(annotations: DataFrame, clusters: DataFrame) -> DataFrame:
 def label_cells(cells: DataFrame, annotations: DataFrame) -> DataFrame:
     """cells (with old_cluster) with gpt_cell_type and its ontology id; every cluster must have its valid annotation."""
     require_none(annotation_faults(annotations, cells.select("old_cluster")), "annotation")
-    return cells.join(F.broadcast(annotations.select("old_cluster", F.col("cell_type").alias("gpt_cell_type"), F.col("cell_ontology_id").alias("gpt_cell_ontology_id"))), "old_cluster", "left")
+    return cells.join(annotations.select("old_cluster", F.col("cell_type").alias("gpt_cell_type"), F.col("cell_ontology_id").alias("gpt_cell_ontology_id")), "old_cluster", "left")
 
 
 def annotate_with_retries(cells: DataFrame, ask, attempts: int = 3) -> DataFrame:

@@ -50,7 +50,7 @@ def select_matrices(catalog: DataFrame, content: DataFrame, most: int | None = N
     x = x.withColumn("selected_rank", F.row_number().over(Window.partitionBy("tf").orderBy(*order)))
     if most is not None:
         x = x.filter(F.col("selected_rank") <= most)
-    name = F.element_at(F.array(*map(F.lit, ("direct", "inferred", "other"))), F.col("tier") + 1)
+    name = F.when(F.col("tier") == 0, "direct").otherwise("inferred")
     return x.select("tf", "motif_id", "source", "source_priority", "information_content", "selected_rank", name.alias("evidence_tier"))
 
 
@@ -61,7 +61,7 @@ def rungs(mean: float, maximum: float) -> list[tuple[float, float]]:
 def ladder(summary: DataFrame, motifs: DataFrame, mean: float, maximum: float, forced: tuple[str, ...] = ()) -> DataFrame:
     """rung, mean, maximum, n_tfs of the chosen rung: the first with enough TFs that have a motif, else the last.
 
-    summary: tf, pseudobulk_expression_mean, pseudobulk_expression_max. All rungs are counted in one aggregate.
+    Where no rung leaves a TF with a motif, collecting the row raises. summary: tf, pseudobulk_expression_mean, pseudobulk_expression_max. All rungs are counted in one aggregate.
     """
     steps = rungs(mean, maximum)
     x = summary.join(motifs.select("tf").distinct(), "tf", "left_semi")
@@ -69,7 +69,8 @@ def ladder(summary: DataFrame, motifs: DataFrame, mean: float, maximum: float, f
     counts = x.agg(F.array(*[F.count_if(ok(m, h)) for m, h in steps]).alias("n"))
     table = F.array(*[F.struct(F.lit(i).alias("rung"), F.lit(m).alias("mean"), F.lit(h).alias("maximum"), F.element_at("n", i + 1).alias("n_tfs")) for i, (m, h) in enumerate(steps)])
     chosen = F.coalesce(F.try_element_at(F.filter(table, lambda s: s["n_tfs"] >= ENOUGH), F.lit(1)), F.element_at(table, -1))
-    return counts.select(chosen.alias("c")).select("c.*")
+    some = F.when(F.array_max("n") > 0, chosen).otherwise(F.raise_error(F.lit("no TF with a motif passes any expression threshold")))
+    return counts.select(some.alias("c")).select("c.*")
 
 
 def log_odds(p: np.ndarray, pseudo: float = 1e-3) -> np.ndarray:
@@ -129,4 +130,4 @@ def tf_peak_hits(hits: DataFrame, motifs: DataFrame) -> DataFrame:
     """tf, peak, motif_id, motif_pvalue: the best hit of each TF in each peak."""
     from heliograph.operators.regulatory import best_motifs
 
-    return best_motifs(hits.join(F.broadcast(motifs.select("tf", "motif_id")), "motif_id").select("tf", "peak", "motif_id", "motif_pvalue"))
+    return best_motifs(hits.join(motifs.select("tf", "motif_id"), "motif_id").select("tf", "peak", "motif_id", "motif_pvalue"))

@@ -8,19 +8,34 @@ from pyspark.sql import functions as F
 from heliograph.operators.cut import cut
 
 
-def numbered(df: DataFrame, order: list[str | Column], by: tuple[str, ...] = (), name: str = "n") -> DataFrame:
-    """df with name: the row's number from 1, within `by`, in an order without ties.
+def beside(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """a with b's other columns, by null-safe equality."""
+    x, y = a.alias("x"), b.alias("y")
+    cond = F.lit(True)
+    for k in on:
+        cond = cond & F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}"))
+    return x.join(y, cond).select("x.*", *[f"y.{c}" for c in b.columns if c not in on])
+
+
+def ranged(df: DataFrame, keys: list[str | Column]) -> DataFrame:
+    """df dealt by ranges of keys, with the range's number _range; written once, so that it can be read by several branches."""
+    return cut(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
+
 
-    Rows are dealt by ranges of (by, order); a row's number is its number in its range and the rows of ranges before.
+def running(df: DataFrame, amount: str | None, order: list[str | Column], by: tuple[str, ...] = (), name: str = "n") -> DataFrame:
+    """df with name: the sum of `amount` (of 1, if None) up to each row, within `by`, in an order without ties.
+
+    Rows are dealt by ranges of (by, order); what a row adds up to is its sum within its range and the sums of ranges before.
     """
-    keys = [F.col(k) if isinstance(k, str) else k for k in (*by, *order)]
-    x = cut(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
-    counts = x.groupBy("_range", *by).agg(F.count("*").alias("_rows"))
+    one = F.lit(1).cast("long") if amount is None else F.col(amount)
+    x = ranged(df, [F.col(k) if isinstance(k, str) else k for k in (*by, *order)])
+    sums = x.groupBy("_range", *by).agg(F.sum(one).alias("_rows"))
     before = F.sum("_rows").over(Window.partitionBy(*by).orderBy("_range")) - F.col("_rows")
-    counts = counts.select("_range", *by, before.alias("_before"))
-    on = F.col("x._range") == F.col("c._range")
-    for k in by:
-        on = on & F.col(f"x.{k}").eqNullSafe(F.col(f"c.{k}"))
-    local = F.row_number().over(Window.partitionBy("_range", *by).orderBy(*order))
-    x = x.withColumn(name, local).alias("x").join(F.broadcast(counts.alias("c")), on)
-    return x.select("x.*", "c._before").withColumn(name, F.col(name) + F.col("_before")).drop("_range", "_before")
+    local = F.sum(one).over(Window.partitionBy("_range", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = beside(x.withColumn(name, local), sums.select("_range", *by, before.alias("_before")), ["_range", *by])
+    return out.withColumn(name, F.col(name) + F.col("_before")).drop("_range", "_before")
+
+
+def numbered(df: DataFrame, order: list[str | Column], by: tuple[str, ...] = (), name: str = "n") -> DataFrame:
+    """df with name: the row's number from 1, within `by`, in an order without ties."""
+    return running(df, None, order, by, name)

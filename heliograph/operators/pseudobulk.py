@@ -29,12 +29,12 @@ def replicate_parts(groups: DataFrame, min_cells: int = 50, target: int = 5) ->
     x = groups.withColumn("_p", F.when(n < 3, parts).otherwise(F.lit(1)))
     total = F.sum("_p").over(every)
     split = (n < 3) & (total >= 3)
-    return x.withColumns({"parts": F.when(split, F.col("_p")).otherwise(F.lit(1)), "pseudobulk_mode": F.when(split, F.lit("pseudo_replicate")).otherwise(F.lit("biological"))}).drop("_p")
+    return x.withColumns({"parts": F.when(split, F.col("_p")).otherwise(F.lit(1)), "pseudobulk_mode": F.when(split, F.lit("within_sample_split")).otherwise(F.lit("biological"))}).drop("_p")
 
 
 def assign(cells: DataFrame, groups: DataFrame, seed: int = 0, keys: tuple[str, ...] = GROUP) -> DataFrame:
     """Cells of kept groups with group_id and part, dealt in hash order to parts whose sizes differ by one at most."""
-    x = cells.join(F.broadcast(groups), list(keys)) if "parts" in groups.columns else cells.join(F.broadcast(groups.withColumn("parts", F.lit(1))), list(keys))
+    x = cells.join(groups if "parts" in groups.columns else groups.withColumn("parts", F.lit(1)), list(keys))
     base, extra = F.floor(F.col("n_cells") / F.col("parts")), F.col("n_cells") % F.col("parts")
     i = F.col("_n") - 1
     wide = (base + 1) * extra
@@ -47,10 +47,10 @@ def assign(cells: DataFrame, groups: DataFrame, seed: int = 0, keys: tuple[str,
 
 
 def group_means(fact: DataFrame, assigned: DataFrame, feature: str) -> DataFrame:
-    """group_id, feature, value: sum over cells / number of cells of the group. Zero means are absent."""
+    """group_id, feature, value: sum over cells / number of cells of the group. Features without a value in a group are absent."""
     size = assigned.groupBy("group_id").agg(F.count("*").alias("n"))
     s = fact.join(assigned.select("cell", "group_id"), "cell").groupBy("group_id", feature).agg(F.sum("value").alias("s"))
-    return s.join(F.broadcast(size), "group_id").select("group_id", feature, F.round(F.col("s") / F.col("n"), 6).alias("value")).filter("value <> 0")
+    return s.filter("s <> 0").join(size, "group_id").select("group_id", feature, (F.col("s") / F.col("n")).alias("value"))
 
 
 def feature_summary(means: DataFrame, feature: str, n_groups: int) -> DataFrame:
@@ -61,10 +61,11 @@ def feature_summary(means: DataFrame, feature: str, n_groups: int) -> DataFrame:
 def context_means(fact: DataFrame, cells: DataFrame, feature: str, fields: list[str]) -> DataFrame:
     """context_name, context_value, feature, mean_value, n_cells, nnz; for labels that are not missing.
 
-    Cells are unpivoted to one row a field, so that all fields share one pass over the fact.
+    The fact is joined once with each cell's label set and summed by (label set, feature); only these sums are multiplied by fields.
     """
-    x = cells.select("cell", *[F.col(f).cast("string").alias(f) for f in fields]).unpivot(["cell"], fields, "context_name", "context_value")
-    x = x.filter(~is_missing(F.col("context_value"))).withColumn("context_value", F.trim("context_value"))
-    size = x.groupBy("context_name", "context_value").agg(F.count("*").alias("n_cells"))
-    s = fact.join(x, "cell").groupBy("context_name", "context_value", feature).agg(F.sum("value").alias("s"), F.count("*").alias("nnz"))
-    return s.join(F.broadcast(size), ["context_name", "context_value"]).select("context_name", "context_value", feature, (F.col("s") / F.col("n_cells")).alias("mean_value"), "n_cells", "nnz")
+    labels = cells.select("cell", *[F.col(f).cast("string").alias(f) for f in fields])
+    by = lambda df, *keep: df.unpivot(list(keep), fields, "context_name", "context_value").filter(~is_missing(F.col("context_value"))).withColumn("context_value", F.trim("context_value"))
+    size = by(labels.groupBy(*fields).agg(F.count("*").alias("n")), "n").groupBy("context_name", "context_value").agg(F.sum("n").alias("n_cells"))
+    sums = fact.join(labels, "cell").groupBy(*fields, feature).agg(F.sum("value").alias("s"), F.count("*").alias("nnz"))
+    s = by(sums, feature, "s", "nnz").groupBy("context_name", "context_value", feature).agg(F.sum("s").alias("s"), F.sum("nnz").alias("nnz"))
+    return s.join(size, ["context_name", "context_value"]).select("context_name", "context_value", feature, (F.col("s") / F.col("n_cells")).alias("mean_value"), "n_cells", "nnz")

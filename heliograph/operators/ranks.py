@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from heliograph.functions.stats import normal_two_sided, t_two_sided
 from heliograph.operators.cut import cut
+from heliograph.operators.order import beside, ranged, running
 
 
 def average_rank(value: str, *by: str) -> Column:
-    """Rank from 1 within `by`, ties averaged."""
-    w = Window.partitionBy(*by)
-    return F.rank().over(w.orderBy(value)) + (F.count("*").over(w.partitionBy(*by, value)) - 1) / 2.0
+    """Rank from 1 within `by`, ties averaged; values that are equal as floats tie, so the order of summation is of no account."""
+    w, v = Window.partitionBy(*by), F.col(value).cast("float")
+    return F.rank().over(w.orderBy(v)) + (F.count("*").over(w.partitionBy(*by, v)) - 1) / 2.0
 
 
 def sparse_ranks(means: DataFrame, feature: str, n_groups: int) -> tuple[DataFrame, DataFrame]:
@@ -53,22 +54,23 @@ def with_p_values(df: DataFrame, n_groups: int, rho: str = "rho", p: str = "pval
 def benjamini_hochberg(df: DataFrame, p: str = "pvalue", q: str = "qvalue_bh", by: tuple[str, ...] = ()) -> DataFrame:
     """q-values over all rows with a p-value (of each `by`); null p, null q.
 
-    Rows are dealt to buckets by the logarithm of p, sixteen to a factor of two. Ranks and running minima are taken within buckets, and
-    carried over from a table with one row a bucket (at most 16 k), so no window holds all rows.
+    Equal p are counted first, so that ties are one row. The distinct p are dealt by ranges; ranks and running minima are
+    taken within ranges and carried over from a table with one row a range, so no window holds all rows.
     """
-    b = [*by, "_b"]
-    x = cut(df).withColumn("_b", F.floor(-F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 16))
-    n = x.filter(F.col(p).isNotNull())
+    x = cut(df)
+    counts = x.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("_c"))
     up = Window.partitionBy(*by)
-    sizes = n.groupBy(*b).agg(F.count("*").alias("_c"))
-    sizes = sizes.withColumns({"_before": F.sum("_c").over(up.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c"), "_n": F.sum("_c").over(up)}).drop("_c")
-    at = Window.partitionBy(*b).orderBy(F.asc(p))
-    r = n.join(F.broadcast(sizes), b).withColumn("_v", F.col(p) * F.col("_n") / (F.col("_before") + F.row_number().over(at)))
+    r = running(counts, "_c", [p], by, "_rank")
+    r = ranged(beside(r, counts.groupBy(*by).agg(F.sum("_c").alias("_n")), list(by)), [*by, p])
+    r = r.withColumn("_v", F.col(p) * F.col("_n") / F.col("_rank"))
+    at = Window.partitionBy("_range", *by).orderBy(p)
+    least = r.groupBy("_range", *by).agg(F.min("_v").alias("_l"))
+    after = F.min("_l").over(up.orderBy("_range").rowsBetween(1, Window.unboundedFollowing))
     r = r.withColumn("_m", F.min("_v").over(at.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    least = r.groupBy(*b).agg(F.min("_v").alias("_l")).withColumn("_after", F.min("_l").over(up.orderBy(F.desc("_b")).rowsBetween(1, Window.unboundedFollowing))).drop("_l")
-    out = r.join(F.broadcast(least), b).withColumn(q, F.least(F.lit(1.0), "_m", F.coalesce("_after", F.lit(1.0))))
-    out = out.drop("_b", "_before", "_n", "_v", "_m", "_after")
-    return out.unionByName(x.filter(F.col(p).isNull()).drop("_b").withColumn(q, F.lit(None).cast("double")))
+    r = beside(r, least.select("_range", *by, after.alias("_after")), ["_range", *by])
+    r = r.select(*by, p, F.least(F.lit(1.0), "_m", F.coalesce("_after", F.lit(1.0))).alias(q))
+    told = beside(x.filter(F.col(p).isNotNull()), r, [*by, p])
+    return told.unionByName(x.filter(F.col(p).isNull()).withColumn(q, F.lit(None).cast("double")))
 
 
 def percentiles(means: DataFrame, feature: str, n_groups: int) -> DataFrame:
@@ -86,11 +88,16 @@ def rank_sum_markers(fact: DataFrame, cells: DataFrame, feature: str, group: str
     sizes = cells.groupBy(group).agg(F.count("*").cast("double").alias("n1"))
     total = cells.count()
     on = fact.filter("value > 0").join(cells.select("cell", group), "cell")
-    nnz = F.count("*").over(Window.partitionBy(feature))
-    r = on.withColumn("zero", (F.lit(float(total)) - nnz + 1) / 2).withColumn("d", average_rank("value", feature) + (F.lit(float(total)) - nnz) - F.col("zero")).withColumn("e", F.expm1("value"))
+    # equal values of a feature are one row, so a window holds a feature's distinct values and not its cells
+    same = on.groupBy(feature, F.col("value").cast("float").alias("v"), group).agg(F.count("*").alias("c"), F.sum(F.expm1("value")).alias("e"))
+    values = same.groupBy(feature, "v").agg(F.sum("c").alias("ties"))
+    upto = F.sum("ties").over(Window.partitionBy(feature).orderBy("v")) - F.col("ties")
+    nnz = F.sum("ties").over(Window.partitionBy(feature))
+    values = values.withColumns({"zero": (F.lit(float(total)) - nnz + 1) / 2, "rank": upto + (F.col("ties") + 1) / 2.0 + F.lit(float(total)) - nnz})
+    r = same.join(values, [feature, "v"]).withColumn("d", F.col("c") * (F.col("rank") - F.col("zero")))
     by = r.groupBy(feature, group).agg(F.sum("d").alias("d"), F.sum("e").alias("e"))
     every = r.groupBy(feature).agg(F.max("zero").alias("zero"), F.sum("e").alias("all_e"))
-    grid = every.crossJoin(F.broadcast(sizes))  # one row a feature and group: the result's own size
+    grid = every.crossJoin(sizes)  # one row a feature and group: the result's own size
     x = grid.join(by, [feature, group], "left").fillna(0.0, ["d", "e"])
     n1, n2 = F.col("n1"), F.lit(float(total)) - F.col("n1")
     mean = n1 * (total + 1) / 2

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 def allocation(sizes: DataFrame, most: int, minimum: int, keys: list[str]) -> DataFrame:
     """keys, size, allocated: how many rows each stratum gives.
 
-    Every stratum first has its size or the minimum; if that is over the cap, a share by size, at least 1. The rest
-    goes by remaining capacity, and what rounding leaves to the largest capacities, one row at a time. With more strata than
-    rows wanted the largest strata give one each. The table of strata is small: one row a stratum.
+    Every stratum first has its size or the minimum; if that is over the cap, a share by size, at least 1. What is left (or is too
+    much) goes by remaining capacity; what rounding leaves goes to the stratum of the largest capacity, as much as that holds, then
+    to the next. With more strata than rows wanted the largest strata give one each. The table of strata is small: one row a stratum.
     """
     every = Window.partitionBy()
     s = sizes.select(*keys, F.col("size").cast("long").alias("size")).withColumns({"total": F.sum("size").over(every), "strata": F.count("*").over(every)})
@@ -19,14 +19,14 @@ def allocation(sizes: DataFrame, most: int, minimum: int, keys: list[str]) -> Da
     s = s.withColumn("base", base).withColumn("over", F.sum("base").over(every) > most)
     s = s.withColumn("base", F.when(F.col("over"), F.greatest(F.lit(1), F.floor(F.col("size") / F.col("total") * most))).otherwise(F.col("base")).cast("long"))
     s = s.withColumn("room", F.col("size") - F.col("base")).withColumns({"rooms": F.sum("room").over(every), "left": F.lit(most) - F.sum("base").over(every)})
-    extra = F.when(F.col("rooms") > 0, F.floor(F.col("room") / F.col("rooms") * F.greatest(F.col("left"), F.lit(0)))).otherwise(F.lit(0)).cast("long")
-    s = s.withColumn("some", F.col("base") + F.least(extra, F.col("room"))).withColumn("left", F.lit(most) - F.sum("some").over(every))
-    # rows that rounding left: a stratum of capacity c offers c, c - 1, ...; the largest offers win
-    offers = s.select(*keys, F.explode(F.when((F.col("left") > 0) & (F.col("size") > F.col("some")), F.sequence(F.lit(0).cast("long"), F.least(F.col("size") - F.col("some"), "left") - 1)).otherwise(F.array().cast("array<bigint>"))).alias("i"), (F.col("size") - F.col("some")).alias("c"), "left")
-    won = offers.withColumn("n", F.row_number().over(every.orderBy(F.desc(F.col("c") - F.col("i")), *keys))).filter("n <= left").groupBy(*keys).agg(F.count("*").alias("won"))
+    extra = F.when(F.col("rooms") > 0, F.floor(F.col("room") / F.col("rooms") * F.col("left"))).otherwise(F.lit(0)).cast("long")
+    s = s.withColumn("some", F.greatest(F.lit(0), F.col("base") + F.least(extra, F.col("room")))).withColumn("left", F.lit(most) - F.sum("some").over(every))
+    cap = F.col("size") - F.col("some")
+    larger = F.coalesce(F.sum(cap).over(every.orderBy(F.desc(cap), *keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = F.greatest(F.lit(0), F.least(cap, F.col("left") - larger))
     few = F.row_number().over(every.orderBy(F.desc("size"), *keys)) <= most
-    out = s.join(won, keys, "left").withColumn("few", few)
-    return out.select(*keys, "size", F.when(F.col("total") <= most, F.col("size")).when(F.col("strata") > most, F.col("few").cast("long")).otherwise(F.col("some") + F.coalesce("won", F.lit(0).cast("long"))).alias("allocated"))
+    out = s.withColumns({"few": few, "won": won})
+    return out.select(*keys, "size", F.when(F.col("total") <= most, F.col("size")).when(F.col("strata") > most, F.col("few").cast("long")).otherwise(F.col("some") + F.col("won")).alias("allocated"))
 
 
 def stratified(cells: DataFrame, most: int, minimum: int, keys: list[str], seed: int = 0, order=None) -> DataFrame:
@@ -34,6 +34,6 @@ def stratified(cells: DataFrame, most: int, minimum: int, keys: list[str], seed:
     sizes = cells.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("size"))
     a = allocation(sizes, most, minimum, keys)
     o = [F.xxhash64(F.lit(seed), "cell"), F.col("cell")] if order is None else order
-    ranked = cells.dropna(subset=keys).withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*o))).join(F.broadcast(a), keys)
+    ranked = cells.dropna(subset=keys).withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*o))).join(a, keys)
     drawn = ranked.filter(F.col("_n") <= F.col("allocated")).select("cell", F.lit(True).alias("selected"))
     return cells.join(drawn, "cell", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))

@@ -170,7 +170,7 @@ def pf10_numeric_coercion(s, d):
 def pf12_hvg_peaks(s, d):
     """Peaks linked to one of the five genes of the highest totals."""
     top = views.rna(s, d).groupBy("gene").agg(F.sum("value").alias("t")).orderBy(F.desc("t"), "gene").limit(5)
-    return views.links(s, d).join(F.broadcast(top), "gene", "left_semi").select("peak").distinct()
+    return views.links(s, d).join(top, "gene", "left_semi").select("peak").distinct()
 
 
 @query("SELECT DISTINCT cell, gene FROM rna WHERE value > 30")
@@ -205,23 +205,13 @@ def jn3_star_join(s, d):
     """Links, motif hits and eligible TFs."""
     t = views.rna(s, d).groupBy("gene").agg(F.sum("value").alias("t"))
     tfs = t.filter(F.col("t") > t.agg(F.avg("t")).first()[0]).select(F.col("gene").alias("tf"))
-    return views.links(s, d).join(views.hits(s, d), "peak").join(F.broadcast(tfs), "tf").select("peak", "gene", "tf", "motif_pvalue")
+    return views.links(s, d).join(views.hits(s, d), "peak").join(tfs, "tf").select("peak", "gene", "tf", "motif_pvalue")
 
 
-@query("SELECT DISTINCT p_type AS motif_id, p_brand AS tf, l_suppkey AS peak FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1", base=False)
+@query("SELECT DISTINCT p_type AS motif_id, p_brand AS tf, l_suppkey AS peak FROM lineitem JOIN part ON l_partkey = p_partkey", base=False)
 def jn5_motif_to_tf(s, d):
     """Many hits of a motif, many TFs of a motif."""
-    return _motif_to_tf(s, d, T(s, d, "lineitem").filter("l_linenumber = 1"))
-
-
-@query("SELECT DISTINCT p_type AS motif_id, p_brand AS tf, l_suppkey AS peak FROM lineitem JOIN part ON l_partkey = p_partkey", base=False)
-def jn5_motif_to_tf_whole(s, d):
-    """All lines."""
-    return _motif_to_tf(s, d, T(s, d, "lineitem"))
-
-
-def _motif_to_tf(s, d, lines):
-    x = lines.join(T(s, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    x = T(s, d, "lineitem").join(T(s, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return x.select(F.col("p_type").alias("motif_id"), F.col("p_brand").alias("tf"), F.col("l_suppkey").alias("peak")).distinct()
 
 
@@ -260,34 +250,31 @@ def jn14_nearest(s, d):
 
 
 @query(f"""WITH p AS (SELECT DISTINCT * FROM peaks), w AS (SELECT gene, chrom, tss, greatest(CASE WHEN strand = '+' THEN tss - 100 ELSE tss - 10 END, 0) AS lo, CASE WHEN strand = '+' THEN tss + 10 ELSE tss + 100 END AS hi FROM genes),
-pr AS (SELECT a.*, gene, {_DIST} AS distance FROM p a JOIN w ON a.chrom = w.chrom AND a."start" < hi AND lo < a."end"),
+pr AS (SELECT a.*, gene, 0 AS distance FROM p a JOIN w ON a.chrom = w.chrom AND a."start" < hi AND lo < a."end"),
 nr AS (SELECT a.*, gene, {_DIST} AS distance, row_number() OVER (PARTITION BY a.chrom, a."start", a."end" ORDER BY abs({_DIST}), tss, gene) AS n FROM p a JOIN genes g ON a.chrom = g.chrom AND abs({_DIST}) <= 40),
 b AS (SELECT a.*, gene FROM p a JOIN {_BODY} g ON a.chrom = g.chrom AND a."start" < g.hi AND g.lo < a."end"),
-u AS (SELECT chrom, "start", "end", gene, distance, 'promoter' AS peak_type, 0 AS o FROM pr UNION ALL SELECT chrom, "start", "end", gene, distance, 'distal', 1 FROM nr WHERE n = 1 UNION ALL SELECT chrom, "start", "end", gene, 0, 'gene_body', 2 FROM b)
+u AS (SELECT chrom, "start", "end", gene, distance, 'promoter' AS peak_type, 0 AS o FROM pr UNION ALL SELECT chrom, "start", "end", gene, distance, 'distal', 1 FROM nr WHERE n = 1 UNION ALL SELECT chrom, "start", "end", gene, 0, 'distal', 2 FROM b)
 SELECT chrom, "start", "end", gene, distance, peak_type FROM (SELECT *, row_number() OVER (PARTITION BY chrom, "start", "end", gene ORDER BY o, abs(distance)) AS n FROM u) WHERE o = 0 OR n = 1""")
 def jn15_annotate(s, d):
-    """Promoter before distal before body."""
+    """Promoters at distance 0, then the nearest start site, then bodies as distal at 0."""
     return intervals.annotate(views.peaks(s, d), views.genes(s, d), views.bodies(s, d), 100, 10, 40, 64)
 
 
-_TRIP = "(SELECT tf, peak, gene FROM hits JOIN links USING (peak) WHERE peak % 10 = 1 AND motif_pvalue < 0.01)"
+_TRIP = "(SELECT tf, peak, gene FROM hits JOIN links USING (peak) WHERE motif_pvalue < 0.01)"
 _JOINT = f"""WITH t AS (SELECT DISTINCT * FROM {_TRIP}), g AS (SELECT project_id, sample_id, gpt_cell_type, count(*) AS group_total_cells FROM cells GROUP BY ALL),
 c AS (SELECT t.tf, t.peak, t.gene, project_id, sample_id, gpt_cell_type, count(*) AS n FROM t JOIN atac a ON a.peak = t.peak AND a.value > 0 JOIN rna f ON f.gene = t.tf AND f.cell = a.cell AND f.value > 0 JOIN rna r ON r.gene = t.gene AND r.cell = a.cell AND r.value > 0 JOIN cells ON cells.cell = a.cell GROUP BY ALL),
-j AS (SELECT t.*, g.*, coalesce(c.n, 0) AS active_cell_count, coalesce(c.n, 0) / group_total_cells AS active_cell_fraction FROM t CROSS JOIN g LEFT JOIN c USING (tf, peak, gene, project_id, sample_id, gpt_cell_type))
+j AS (SELECT tf, peak, gene, project_id, sample_id, gpt_cell_type, group_total_cells, n AS active_cell_count, n / group_total_cells AS active_cell_fraction FROM c JOIN g USING (project_id, sample_id, gpt_cell_type))
 """
 
 
-_JOINT_WHOLE = _JOINT.replace("peak % 10 = 1 AND ", "")
-
-
-def _joint(s, d, peaks="peak % 10 = 1"):
-    trip = views.hits(s, d).filter(f"motif_pvalue < 0.01 AND {peaks}").join(views.links(s, d), "peak")
+def _joint(s, d):
+    trip = views.hits(s, d).filter("motif_pvalue < 0.01").join(views.links(s, d), "peak")
     return activity.joint_counts(trip, views.rna(s, d), views.atac(s, d), views.cells(s, d))
 
 
 @query(_JOINT + "SELECT tf, peak, gene, project_id, sample_id, gpt_cell_type, group_total_cells, active_cell_count, round(active_cell_fraction, 6) AS active_cell_fraction FROM j")
 def jn17_joint_detection(s, d):
-    """JN16, JN17, ML15: cells with TF, gene and peak, of every group and triplet."""
+    """JN16, JN17, ML15: cells with TF, gene and peak, by triplet and group."""
     return _joint(s, d).withColumns(r6("active_cell_fraction"))
 
 
@@ -310,27 +297,6 @@ def ag10_filter_summary(s, d):
     return activity.filter_summary(w, activity.dataset_filter(w, 0.001, 2)).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
 
 
-@query(_JOINT_WHOLE + "SELECT tf, peak, gene, project_id, sample_id, gpt_cell_type, group_total_cells, active_cell_count, round(active_cell_fraction, 6) AS active_cell_fraction FROM j")
-def jn17_joint_detection_whole(s, d):
-    """Of all peaks."""
-    return _joint(s, d, "true").withColumns(r6("active_cell_fraction"))
-
-
-@query(_JOINT_WHOLE + _POOL + "SELECT dataset, tf, peak, gene, project_id, sample_id, gpt_cell_type, active_cell_count, dataset_active_cell_count, dataset_group_total_cells, round(dataset_active_cell_fraction, 6) AS dataset_active_cell_fraction FROM w JOIN q USING (dataset, tf, peak, gene, gpt_cell_type)")
-def jn7_dataset_filter_whole(s, d):
-    """Of all peaks."""
-    out = activity.dataset_filter(_joint(s, d, "true").withColumn("dataset", F.lit("ds")), 0.001, 2)
-    return out.withColumns(r6("dataset_active_cell_fraction")).drop("group_total_cells", "active_cell_fraction")
-
-
-@query(_JOINT_WHOLE + _POOL + """, k AS (SELECT w.* FROM w JOIN q USING (dataset, tf, peak, gene, gpt_cell_type))
-SELECT a.n AS source_rows, a.k AS source_keys, b.n AS kept_rows, b.k AS kept_keys, round(b.n / a.n, 6) AS kept_rows_fraction, round(b.k / a.k, 6) AS kept_keys_fraction FROM (SELECT count(*) AS n, count(DISTINCT (dataset, tf, peak, gene, gpt_cell_type)) AS k FROM w) a, (SELECT count(*) AS n, count(DISTINCT (dataset, tf, peak, gene, gpt_cell_type)) AS k FROM k) b""")
-def ag10_filter_summary_whole(s, d):
-    """Of all peaks."""
-    w = _joint(s, d, "true").withColumn("dataset", F.lit("ds"))
-    return activity.filter_summary(w, activity.dataset_filter(w, 0.001, 2)).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
-
-
 @query("SELECT chrom, contig FROM (VALUES ('1', 'chr1'), ('chr2', '2'), ('chrX', 'chrX'), ('M', NULL), ('chr9', NULL)) t(chrom, contig)", base=False)
 def jn19_contigs(s, d):
     one = T(s, d, "region").limit(1)
@@ -354,15 +320,15 @@ def jn21_label_write_back(s, d):
 
 _GROUPS = "g AS (SELECT project_id, sample_id, gpt_cell_type, count(*) AS n_cells FROM cells GROUP BY ALL HAVING count(*) >= 10)"
 _MEANS = _GROUPS + """, ng AS (SELECT count(*) AS n FROM g),
-mr AS (SELECT project_id, sample_id, gpt_cell_type, gene, round(sum(value) / any_value(n_cells), 6) AS value FROM rna JOIN cells USING (cell) JOIN g USING (project_id, sample_id, gpt_cell_type) GROUP BY 1, 2, 3, 4),
-ma AS (SELECT project_id, sample_id, gpt_cell_type, peak, round(sum(value) / any_value(n_cells), 6) AS value FROM atac JOIN cells USING (cell) JOIN g USING (project_id, sample_id, gpt_cell_type) GROUP BY 1, 2, 3, 4)"""
+mr AS (SELECT project_id, sample_id, gpt_cell_type, gene, sum(value) / any_value(n_cells) AS value FROM rna JOIN cells USING (cell) JOIN g USING (project_id, sample_id, gpt_cell_type) GROUP BY 1, 2, 3, 4),
+ma AS (SELECT project_id, sample_id, gpt_cell_type, peak, sum(value) / any_value(n_cells) AS value FROM atac JOIN cells USING (cell) JOIN g USING (project_id, sample_id, gpt_cell_type) GROUP BY 1, 2, 3, 4)"""
 
 
-@query(f"WITH {_MEANS} SELECT project_id || chr(31) || sample_id || chr(31) || gpt_cell_type || chr(31) || '0' AS group_id, gene, value FROM mr WHERE value <> 0")
+@query(f"WITH {_MEANS} SELECT project_id || chr(31) || sample_id || chr(31) || gpt_cell_type || chr(31) || '0' AS group_id, gene, round(value, 6) AS value FROM mr WHERE value <> 0")
 def ag2_pseudobulk_means(s, d):
     """AG2, AG11: means over all cells of groups with ten or more."""
     c = views.cells(s, d)
-    return pseudobulk.group_means(views.rna(s, d), pseudobulk.assign(c, pseudobulk.groups_of(c, 10)), "gene")
+    return pseudobulk.group_means(views.rna(s, d), pseudobulk.assign(c, pseudobulk.groups_of(c, 10)), "gene").withColumns(r6("value"))
 
 
 @query(f"WITH {_MEANS} SELECT gene, round(sum(value) / any_value(n), 6) AS pseudobulk_expression_mean, round(max(value), 6) AS pseudobulk_expression_max FROM mr, ng GROUP BY 1")
@@ -435,7 +401,7 @@ def ag16_information_content(s, d):
 
 # ---- ranks
 
-_RANKED = "rank() OVER (PARTITION BY {f} ORDER BY value) + (count(*) OVER (PARTITION BY {f}, value) - 1) / 2.0"
+_RANKED = "rank() OVER (PARTITION BY {f} ORDER BY CAST(value AS FLOAT)) + (count(*) OVER (PARTITION BY {f}, CAST(value AS FLOAT)) - 1) / 2.0"
 _DENSE = _MEANS + """, dr AS (SELECT gene, project_id, sample_id, gpt_cell_type, coalesce(value, 0) AS value FROM (SELECT DISTINCT gene FROM mr) CROSS JOIN g LEFT JOIN mr USING (gene, project_id, sample_id, gpt_cell_type)),
 da AS (SELECT peak, project_id, sample_id, gpt_cell_type, coalesce(value, 0) AS value FROM (SELECT DISTINCT peak FROM ma) CROSS JOIN g LEFT JOIN ma USING (peak, project_id, sample_id, gpt_cell_type)),
 kr AS (SELECT *, """ + _RANKED.format(f="gene") + " AS k FROM dr), ka AS (SELECT *, " + _RANKED.format(f="peak") + """ AS k FROM da),
@@ -490,7 +456,7 @@ i AS (SELECT p_type AS motif_id, round(sum(p_size), 0) AS information_content FR
 x AS (SELECT *, CASE status WHEN 'D' THEN 0 WHEN 'I' THEN 1 ELSE 2 END AS tier, CASE source WHEN 'ChIP-seq' THEN 1 WHEN 'SELEX' THEN 2 WHEN 'PBM' THEN 3 ELSE 9 END AS source_priority FROM c JOIN i USING (motif_id)),
 b AS (SELECT *, min(tier) OVER (PARTITION BY tf) AS best FROM x),
 u AS (SELECT *, row_number() OVER (PARTITION BY tf, motif_id ORDER BY source_priority, information_content DESC, source, status) AS dd FROM b WHERE tier = best)
-SELECT tf, motif_id, source, source_priority, information_content, CAST(n AS INTEGER) AS selected_rank, ['direct', 'inferred', 'other'][tier + 1] AS evidence_tier FROM (SELECT *, row_number() OVER (PARTITION BY tf ORDER BY source_priority, information_content DESC, motif_id) AS n FROM u WHERE dd = 1) WHERE n <= 4""", base=False)
+SELECT tf, motif_id, source, source_priority, information_content, CAST(n AS INTEGER) AS selected_rank, CASE tier WHEN 0 THEN 'direct' ELSE 'inferred' END AS evidence_tier FROM (SELECT *, row_number() OVER (PARTITION BY tf ORDER BY source_priority, information_content DESC, motif_id) AS n FROM u WHERE dd = 1) WHERE n <= 4""", base=False)
 def wn8_matrix_choice(s, d):
     """WN8, FN10."""
     p, z = T(s, d, "part"), F.col("p_size")
@@ -507,19 +473,9 @@ def wn9_percentiles(s, d):
     return ranks.percentiles(m, "gene", g.count()).drop("value").withColumns(r6("percentile"))
 
 
-@query("SELECT l_orderkey, l_linenumber, 'peak_' || lpad(CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS VARCHAR), 9, '0') AS id FROM lineitem WHERE l_quantity = 1", base=False)
-def wn10_sequential_id(s, d):
-    return _sequential_id(T(s, d, "lineitem").filter("l_quantity = 1"))
-
-
 @query("SELECT l_orderkey, l_linenumber, 'peak_' || lpad(CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS VARCHAR), 9, '0') AS id FROM lineitem", base=False)
-def wn10_sequential_id_whole(s, d):
-    """All lines."""
-    return _sequential_id(T(s, d, "lineitem"))
-
-
-def _sequential_id(x):
-    x = x.select("l_orderkey", "l_linenumber", "l_partkey")
+def wn10_sequential_id(s, d):
+    x = T(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return order.numbered(x, ["l_orderkey", "l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", F.format_string("peak_%09d", "n").alias("id"))
 
 
@@ -545,8 +501,8 @@ def so1_sorted(s, d):
 
 _ALLOC = """WITH z AS (SELECT sample_id, gpt_cell_type, count(*) AS size FROM cells GROUP BY ALL), y AS (SELECT *, sum(size) OVER () AS total, least(size, 10) AS b0, sum(least(size, 10)) OVER () AS sb FROM z),
 x AS (SELECT *, size - b0 AS room FROM y), w AS (SELECT *, sum(room) OVER () AS rooms, 5000 - sb AS lft FROM x), v AS (SELECT *, b0 + CAST(floor(room / rooms * lft) AS BIGINT) AS part FROM w), u AS (SELECT *, 5000 - sum(part) OVER () AS rest FROM v),
-o AS (SELECT sample_id, gpt_cell_type, rest, size - part - i AS offer FROM u, range(0, 1000) r(i) WHERE i < size - part AND i < rest), q AS (SELECT *, row_number() OVER (ORDER BY offer DESC, sample_id, gpt_cell_type) AS n FROM o), p AS (SELECT sample_id, gpt_cell_type, count(*) AS won FROM q WHERE n <= rest GROUP BY ALL)
-SELECT sample_id, gpt_cell_type, size, CASE WHEN total <= 5000 THEN size ELSE part + coalesce(won, 0) END AS allocated FROM u LEFT JOIN p USING (sample_id, gpt_cell_type)"""
+q AS (SELECT *, size - part AS capacity, coalesce(sum(size - part) OVER (ORDER BY size - part DESC, sample_id, gpt_cell_type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS larger FROM u)
+SELECT sample_id, gpt_cell_type, size, CASE WHEN total <= 5000 THEN size ELSE CAST(part + greatest(0, least(capacity, rest - larger)) AS BIGINT) END AS allocated FROM q"""
 
 
 @query(_ALLOC)
@@ -687,8 +643,9 @@ def ml12_active_scores(s, d):
     return out.select("tf", "peak", "gene", "project_id", "sample_id", "gpt_cell_type", F.round("active_score", 5).alias("active_score"), F.round("weighted_active_score", 5).alias("weighted_active_score"))
 
 
-@query("""WITH n AS (SELECT count(*) AS n FROM cells), st AS (SELECT gene, sum(value) / any_value(n) AS m, (sum(value * value) - any_value(n) * (sum(value) / any_value(n)) ** 2) / (any_value(n) - 1) AS v FROM rna, n GROUP BY 1)
-SELECT cell, gene, round(value / sqrt(v), 6) AS value FROM rna JOIN st USING (gene) WHERE v > 0""")
+@query("""WITH n AS MATERIALIZED (SELECT count(*) AS n FROM cells), x AS MATERIALIZED (SELECT * FROM rna), st AS MATERIALIZED (SELECT gene, sum(value) AS s, sum(value * value) AS q FROM x GROUP BY 1),
+v AS MATERIALIZED (SELECT gene, (q - s * s / (SELECT n FROM n)) / ((SELECT n FROM n) - 1) AS v FROM st)
+SELECT cell, gene, round(value / sqrt(v), 6) AS value FROM x JOIN v USING (gene) WHERE v > 0""")
 def ml2_scale(s, d):
     return cells.scale(views.rna(s, d), "gene", views.cells(s, d).count()).withColumns(r6("value"))
 

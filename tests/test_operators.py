@@ -37,7 +37,7 @@ def test_incomplete_beta():
     assert stats.incomplete_beta(np.array([df / 2]), 0.5, np.array([df / (df + t * t)]))[0] == pytest.approx(0.0733880, abs=1e-6)
 
 
-@pytest.mark.parametrize(("sizes", "most", "minimum", "want"), [([100, 30, 5], 50, 10, [31, 14, 5]), ([100, 30, 5], 20, 10, [15, 4, 1]), ([3, 3, 3], 2, 1, [1, 1, 0]), ([3, 4], 10, 1, [3, 4])])
+@pytest.mark.parametrize(("sizes", "most", "minimum", "want"), [([100, 30, 5], 50, 10, [31, 14, 5]), ([100, 100, 100], 50, 10, [18, 16, 16]), ([1000, 1, 1, 1], 5, 1, [2, 1, 1, 1]), ([100, 30, 5], 20, 10, [15, 4, 1]), ([3, 3, 3], 2, 1, [1, 1, 0]), ([3, 4], 10, 1, [3, 4])])
 def test_allocation(spark, sizes, most, minimum, want):
     df = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "k string, size long")
     got = [r["allocated"] for r in sampling.allocation(df, most, minimum, ["k"]).orderBy("k").collect()]
@@ -49,7 +49,7 @@ def test_replicates(spark, sizes, want):
     g = spark.createDataFrame([(f"p{i}", "s", "c", n) for i, n in enumerate(sizes)], "project_id string, sample_id string, gpt_cell_type string, n_cells long")
     out = pseudobulk.replicate_parts(g).orderBy("project_id").collect()
     assert [r["parts"] for r in out] == want
-    assert {r["pseudobulk_mode"] for r in out} == {"pseudo_replicate" if sum(want) > len(want) else "biological"}
+    assert {r["pseudobulk_mode"] for r in out} == {"within_sample_split" if sum(want) > len(want) else "biological"}
 
 
 def test_merge_is_idempotent_and_slack_counts(spark):
@@ -175,16 +175,16 @@ def test_numbered_in_ranges(spark):
 def test_whole_tables(spark):
     d = "/root/testdata/sf0.001"
     lines = spark.read.parquet(f"{d}/lineitem.parquet")
-    assert catalog.QUERIES["wn10_sequential_id_whole"](spark, d).count() == lines.count()
-    assert {r["peak"] for r in catalog.QUERIES["jn5_motif_to_tf_whole"](spark, d).collect()} == {r[0] for r in lines.select("l_suppkey").distinct().collect()}
+    assert catalog.QUERIES["wn10_sequential_id"](spark, d).count() == lines.count()
+    assert {r["peak"] for r in catalog.QUERIES["jn5_motif_to_tf"](spark, d).collect()} == {r[0] for r in lines.select("l_suppkey").distinct().collect()}
     got = catalog.QUERIES["sm2_pseudo_replicates"](spark, d).collect()
     assert sum(r["n"] for r in got) == spark.read.parquet(f"{d}/orders.parquet").count() and len(got) > 2
-    plan = catalog.QUERIES["wn10_sequential_id_whole"](spark, d)._jdf.queryExecution().executedPlan().toString()
-    assert "Window [row_number() windowspecdefinition(_range" in plan
+    plan = catalog.QUERIES["wn10_sequential_id"](spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(_range" in plan and "SinglePartition" not in plan.split("windowspecdefinition(_range")[0]
 
 
 def test_joint_detection_of_all_peaks(spark):
     d = "/root/testdata/sf0.001"
     want = {r["peak"] for r in views.hits(spark, d).filter("motif_pvalue < 0.01").join(views.links(spark, d), "peak").select("peak").distinct().collect()}
-    got = {r["peak"] for r in catalog.QUERIES["jn17_joint_detection_whole"](spark, d).select("peak").distinct().collect()}
+    got = {r["peak"] for r in catalog.QUERIES["jn17_joint_detection"](spark, d).select("peak").distinct().collect()}
     assert got == want and any(p % 10 != 1 for p in got)
