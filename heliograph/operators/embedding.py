@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.operators.cut import cut
+from heliograph.operators.guards import require_none, require_same_keys, require_unique
+from heliograph.operators.order import numbered
 
 
 def truncated_svd(fact: DataFrame, feature: str, k: int = 50) -> DataFrame:
@@ -125,36 +127,45 @@ def clusters(edges: DataFrame, rounds: int = 8) -> DataFrame:
     return labels.join(order, "label").select("id", F.col("cluster").cast("string").alias("cluster"))
 
 
-def layout(vectors: DataFrame, edges: DataFrame, epochs: int = 100, seed: int = 0, most: int = 200_000) -> DataFrame:
-    """id, x, y: attraction along edges and repulsion of random pairs, from the first two coordinates; in one task.
+def layout(vectors: DataFrame, edges: DataFrame, epochs: int = 30, seed: int = 0, others: int = 5) -> DataFrame:
+    """id, x, y: attraction along edges and repulsion of hash-chosen others, from the first two coordinates.
 
-    A picture is for at most `most` points; more is refused rather than sampled.
+    Positions are rows. An epoch joins the edges with both ends' positions and each point with `others` points by number, sums
+    the forces by point and moves it; lineage is cut after each. vectors: id, x (two coordinates or more).
     """
-    if vectors.limit(most + 1).count() > most:
-        raise ValueError(f"a layout is for at most {most} points")
-    one = vectors.select("id", "x").agg(F.collect_list(F.struct("id", "x")).alias("v")).crossJoin(edges.agg(F.collect_list(F.struct("src", "dst", "weight")).alias("e")))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for v, e in zip(pdf["v"].tolist(), pdf["e"].tolist()):
-                v = sorted(v, key=lambda r: r["id"])
-                ids = np.array([r["id"] for r in v])
-                y = np.array([list(r["x"])[:2] for r in v], float)
-                y = 10 * (y - y.mean(0)) / (y.std(0) + 1e-9)
-                a = np.searchsorted(ids, [r["src"] for r in e])
-                b = np.searchsorted(ids, [r["dst"] for r in e])
-                w = np.array([r["weight"] for r in e])
-                rng = np.random.default_rng(seed)
-                for t in range(epochs):
-                    lr = 1 - t / epochs
-                    d = y[a] - y[b]
-                    q = (d**2).sum(1)
-                    g = (-2 * w / (1 + q))[:, None] * d
-                    np.add.at(y, a, lr * np.clip(g, -4, 4) / 4)
-                    c = rng.integers(0, len(y), len(a))
-                    d = y[a] - y[c]
-                    q = (d**2).sum(1)
-                    np.add.at(y, a, lr * np.clip((2 / ((0.01 + q) * (1 + q)))[:, None] * d, -4, 4) / 4)
-                yield pd.DataFrame({"id": ids, "x": y[:, 0], "y": y[:, 1]})
-
-    return one.mapInPandas(run, "id long, x double, y double")
+    xy = vectors.select("id", F.get("x", F.lit(0)).alias("x"), F.get("x", F.lit(1)).alias("y"))
+    s = xy.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.avg, F.stddev_pop)], F.count("*").alias("n")).first()
+    n = s["n"]
+    if not n:
+        return xy
+    start = [(10 * (F.col(c) - s[f"avg_{c}"]) / (s[f"stddev_pop_{c}"] + 1e-9)).alias(c) for c in "xy"]
+    at = cut(numbered(xy.select("id", *start), ["id"]))
+    edges = cut(edges.select("src", "dst", "weight"))
+    strength = edges.count() / n / others  # one push for each pull
+    clip = lambda c: F.greatest(F.lit(-4.0), F.least(F.lit(4.0), c)) / 4
+    for t in range(epochs):
+        a = at.select(F.col("id").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+        b = at.select(F.col("id").alias("dst"), F.col("n").alias("m"), F.col("x").alias("bx"), F.col("y").alias("by"))
+        dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
+        q = dx * dx + dy * dy
+        force = lambda df, f: df.select(F.col("src").alias("id"), clip(f * dx).alias("fx"), clip(f * dy).alias("fy"))  # noqa: B023,E731
+        pull = force(edges.join(a, "src").join(b, "dst"), -2 * F.col("weight") / (1 + q))
+        other = F.pmod(F.xxhash64("src", "k", F.lit(seed * epochs + t)), F.lit(n)) + 1
+        met = a.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(others)))).withColumn("m", other).join(b, "m")
+        push = force(met, 2 / ((0.01 + q) * (1 + q))).withColumns({c: F.col(c) * strength for c in ("fx", "fy")})
+        moves = pull.unionByName(push).groupBy("id").agg(F.sum("fx").alias("fx"), F.sum("fy").alias("fy"))
+        step = 1 - t / epochs
+        move = lambda c: F.round(F.col(c) + step * F.coalesce(f"f{c}", F.lit(0.0)), 9).alias(c)  # noqa: B023,E731
+        at = cut(at.join(moves, "id", "left").select("id", "n", move("x"), move("y")))
+    return at.select("id", "x", "y")
+
+
+def require_embedding(points: DataFrame, cells: DataFrame, columns: tuple[str, ...] = ("x", "y")) -> DataFrame:
+    """points, if each cell has one row and every coordinate is finite; else ContractError."""
+    require_unique(points, "cell")
+    require_same_keys(points, cells, "cell")
+    finite = F.lit(True)
+    for c in columns:
+        finite = finite & F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+    require_none(points.filter(~finite).select("cell"), "cells without finite coordinates")
+    return points

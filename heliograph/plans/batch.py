@@ -21,25 +21,37 @@ from heliograph.operators.regulatory import Thresholds
 from heliograph.sources import readers, sinks
 
 LOG = logging.getLogger("heliograph")
-ANNOTATION_MODES = ("file", "callable")
+#: Keys of a configuration for programs and services that have no part here; they are read and passed over. Fixed values.
+OUTSIDE = ("fimo_jobs", "fimo_sequences_per_chunk", "fimo_executable", "bedtools_executable", "annotation_mode", "annotation_model", "annotation_base_url", "annotation_api_key_env", "codex_executable", "run_rapids", "rapids_env", "gpu_ids")
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
+    """The keys that users of such configurations write. min_genes, min_cells and min_atac_counts are the limits of cells and features."""
+
     data_root: str
     datasets: list[str]
-    output_root: str = "./output"
     metadata: str | None = None
     sample_file_map: str | None = None
+    output_root: str = "./output"
+    work_root: str = "./work"
     workers: int = 1
-    annotation_mode: str = "file"
-    max_cells: int = 100_000
-    min_cells_per_stratum: int = 10
-    resume: bool = True
     gtf_by_organism: dict[str, str] = field(default_factory=dict)
-    genome_by_organism: dict[str, str] = field(default_factory=dict)
-    gtf_override: str | None = None
-    genome_override: str | None = None
+    gtf_by_dataset: dict[str, str] = field(default_factory=dict)
+    genome_fasta_by_organism: dict[str, str] = field(default_factory=dict)
+    genome_fasta_by_dataset: dict[str, str] = field(default_factory=dict)
+    cisdb_by_organism: dict[str, str] = field(default_factory=dict)
+    motif_hits: dict[str, str] = field(default_factory=dict)
+    top_markers: int = 30
+    annotation_response: str | None = None
+    resume: bool = True
+    export_max_cells: int = 100_000
+    export_min_per_stratum: int = 20
+    random_seed: int = 0
+    log_level: str = "INFO"
+    min_genes: int = 200
+    min_cells: int = 3
+    min_atac_counts: int = 100
     thresholds: Thresholds = field(default_factory=Thresholds)
 
     def __post_init__(self) -> None:
@@ -47,22 +59,20 @@ class PipelineConfig:
             raise ValueError("no datasets")
         if self.workers < 1:
             raise ValueError("workers must be 1 or more")
-        if self.annotation_mode not in ANNOTATION_MODES:
-            raise ValueError(f"annotation_mode must be one of {', '.join(ANNOTATION_MODES)}")
 
     @classmethod
     def from_json(cls, path: str) -> PipelineConfig:
-        raw = json.loads(Path(path).read_text())
+        raw = {k: v for k, v in json.loads(Path(path).read_text()).items() if k not in OUTSIDE}
         return cls(**raw | {"thresholds": Thresholds(**raw.get("thresholds", {}))})
 
     def to_dict(self) -> dict:
         return asdict(self)
 
-    def gtf(self, organism: str) -> str:
-        return self.gtf_override or self.gtf_by_organism[organism]
+    def gtf(self, dataset: str, organism: str) -> str:
+        return self.gtf_by_dataset.get(dataset) or self.gtf_by_organism[organism]
 
-    def genome(self, organism: str) -> str:
-        return self.genome_override or self.genome_by_organism[organism]
+    def genome(self, dataset: str, organism: str) -> str:
+        return self.genome_fasta_by_dataset.get(dataset) or self.genome_fasta_by_organism[organism]
 
 
 def run_datasets(datasets: list[str], work: Callable[[str], str | None], on_row: Callable[[list[dict]], None] | None = None) -> list[dict]:
@@ -108,9 +118,18 @@ def main(args: list[str] | None = None) -> int:
     f.add_argument("--score-threshold", type=float, default=0.10)
     f.add_argument("--count-threshold", type=int, default=20)
     f.add_argument("--output-name", default="triplet_active_scores.dataset_active.parquet")
+    r = sub.add_parser("pipeline")
+    r.add_argument("--config", required=True)
+    r.add_argument("--datasets", nargs="*", help="some of the configuration's datasets")
     o = p.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
-    if o.command == "active-fraction":
+    if o.command == "pipeline":
+        from heliograph.plans import run
+
+        config = PipelineConfig.from_json(o.config)
+        LOG.setLevel(config.log_level)
+        rows = run.run(spark, config, o.datasets or None)
+    elif o.command == "active-fraction":
         names = readers.names_in(spark, o.backend_root)
         if o.coverage_tsv:
             good = {r[0] for r in covered_datasets(readers.read_strings(spark, o.coverage_tsv, "\t"), o.minimum_pairs).collect()}

@@ -686,7 +686,7 @@ def ml5_clusters(s, d):
 @query()
 def ml6_layout(s, d):
     v = _vectors(s, d)
-    return embedding.layout(v, embedding.connectivities(embedding.knn(v, 10)), 20)
+    return embedding.layout(v, embedding.connectivities(embedding.knn(v, 10)), 10)
 
 
 @query("SELECT page_id, substr(h, page_id % 50 + 1, 20) AS sequence FROM (SELECT page_id, repeat('ACGTTGCA', 20) AS h FROM pages)", base=False)

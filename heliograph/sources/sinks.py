@@ -19,18 +19,27 @@ def _fs(spark: SparkSession, path: str):
 
 
 def publish(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), allow_empty: bool = True) -> None:
-    """Written beside the target, then renamed over it; a failure leaves the target as it was."""
+    """Written beside the target, which is then set aside, replaced and deleted; a failure puts it back."""
     spark = df.sparkSession
     fs, target = _fs(spark, path)
-    staging = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex}")
+    beside = lambda kind: spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{kind}-{uuid.uuid4().hex}")
+    staging, aside = beside("tmp"), beside("old")
     try:
         w = df.write.option("compression", "zstd")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(staging.toString())
         if not allow_empty and not spark.read.schema(df.schema).parquet(staging.toString()).take(1):
             raise EmptyOutput(path)
-        fs.delete(target, True)
-        if not fs.rename(staging, target):
-            raise OSError(f"{staging} could not be renamed")
+        there = fs.exists(target)
+        if there and not fs.rename(target, aside):
+            raise OSError(f"{target} could not be set aside")
+        try:
+            if not fs.rename(staging, target):
+                raise OSError(f"{staging} could not be renamed")
+        except Exception:
+            if there:
+                fs.rename(aside, target)
+            raise
+        fs.delete(aside, True)
     finally:
         fs.delete(staging, True)
 
@@ -41,10 +50,10 @@ def is_complete(spark: SparkSession, path: str, columns: tuple[str, ...] = ()) -
     return fs.exists(p) and set(columns) <= set(spark.read.parquet(path).columns)
 
 
-def write_sparse(fact: DataFrame, feature: str, values: str, index: str) -> None:
-    """The fact by cell, and its inverted index (feature, cell) by feature; nothing stored is an error."""
-    publish(fact.select("cell", feature, F.col("value").cast("float").alias("value")), values, allow_empty=False)
-    publish(fact.select(feature, "cell").repartitionByRange(feature).sortWithinPartitions(feature, "cell"), index)
+def write_sparse(fact: DataFrame, feature: str, values: str, index: str, cell: str = "cell") -> None:
+    """The fact by cell, and its inverted index (feature, cell) by feature; nothing stored is an error. cell: the column's name there."""
+    publish(fact.select(F.col("cell").alias(cell), feature, F.col("value").cast("float").alias("value")), values, allow_empty=False)
+    publish(fact.select(feature, F.col("cell").alias(cell)).repartitionByRange(feature).sortWithinPartitions(feature, cell), index)
 
 
 def write_small(df: DataFrame, path: str, kind: str = "csv", sep: str = ",") -> None:
@@ -53,10 +62,18 @@ def write_small(df: DataFrame, path: str, kind: str = "csv", sep: str = ",") ->
     one.json(path) if kind == "json" else one.csv(path, header=True, sep=sep)
 
 
-def write_report(spark: SparkSession, rows: list[dict], path: str) -> None:
+def write_report(spark: SparkSession, rows: list | dict, path: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     try:
         out.write(bytearray(json.dumps(rows, indent=2, default=str).encode()))
     finally:
         out.close()
+
+
+def read_report(spark: SparkSession, path: str) -> list | dict | None:
+    """What write_report wrote; None where nothing is."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])

@@ -150,9 +150,9 @@ def test_batch_and_config(tmp_path):
         return "no input" if d == "c" else None
 
     assert [r["status"] for r in batch.run_datasets(["a", "b", "c"], work)] == ["ok", "failed", "skipped"]
-    (tmp_path / "c.json").write_text('{"data_root": "d", "datasets": ["x"], "thresholds": {"motif_pvalue": 0.1}, "gtf_override": "o"}')
+    (tmp_path / "c.json").write_text('{"data_root": "d", "datasets": ["x"], "thresholds": {"motif_pvalue": 0.1}, "gtf_by_dataset": {"x": "o"}, "gtf_by_organism": {"any": "p"}, "fimo_jobs": 4}')
     c = batch.PipelineConfig.from_json(str(tmp_path / "c.json"))
-    assert c.thresholds.motif_pvalue == 0.1 and c.gtf("any") == "o"
+    assert c.thresholds.motif_pvalue == 0.1 and c.gtf("x", "any") == "o" and c.gtf("y", "any") == "p"
     with pytest.raises(ValueError):
         batch.PipelineConfig(data_root="d", datasets=[])
 
