@@ -52,12 +52,10 @@ def read_mtx(spark: SparkSession, path: str) -> DataFrame:
     parts = F.split("line", "\t")
     features = numbered("features").select(F.col("i").alias("f"), F.coalesce(F.get(parts, 1), F.get(parts, 0)).alias("feature"), F.get(parts, 2).alias("feature_type"))
     row = F.split(F.trim("value"), r"\s+")
-    lines = spark.read.text(of("matrix")).filter(~F.startswith("value", F.lit("%")) & (F.size(row) == 3))
-    entries = lines.select(row[0].cast("int").alias("f"), row[1].cast("int").alias("c"), row[2].cast("double").alias("value"))
-    # the first line that is no comment holds the dimensions
-    size = spark.read.text(of("matrix")).filter(~F.startswith("value", F.lit("%"))).limit(1).select(row[0].cast("int"), row[1].cast("int"), row[2].cast("double")).first()
-    first = entries.filter((F.col("f") == size[0]) & (F.col("c") == size[1]) & (F.col("value") == size[2])).limit(1)
-    body = entries.exceptAll(first)
+    # the first line that is no comment holds the dimensions; lines are numbered as they stand in the file
+    lines = spark.read.text(of("matrix")).withColumn("line", F.monotonically_increasing_id()).filter(~F.startswith("value", F.lit("%")) & (F.size(row) == 3))
+    head = lines.agg(F.min("line")).first()[0]
+    body = lines.filter(F.col("line") != F.lit(head)).select(row[0].cast("int").alias("f"), row[1].cast("int").alias("c"), row[2].cast("double").alias("value"))
     return body.filter("value <> 0").join(cells, "c").join(features, "f").select("cell", "feature", "feature_type", F.col("f").alias("position"), "value")
 
 
