@@ -6,11 +6,14 @@ in the first bin that they share, so no distinct is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.scores import promoter, signed_distance
 
+#: Bases in a piece of a contig.
+CHUNK = 1 << 16
+
 
 def _islands(df: DataFrame, by: list[str], slack: int) -> DataFrame:
     w = Window.partitionBy(*by).orderBy("start", "end")
@@ -92,9 +95,41 @@ def resolve_contigs(wanted: DataFrame, contigs: DataFrame) -> DataFrame:
     return exact.join(other, "chrom", "left").select("chrom", F.coalesce("exact", F.when(F.col("n") == 1, F.col("form"))).alias("contig"))
 
 
+def chunked(sequences: DataFrame) -> DataFrame:
+    """contig, at, sequence in pieces that begin at multiples of CHUNK and, but for a contig's last one, have CHUNK bases.
+
+    sequences: contig, sequence and at, the place of its first base (0 where there is no such column); a contig's rows of any length
+    follow each other without gaps.
+    """
+    x = sequences.filter("sequence <> ''").withColumn("at", F.col("at") if "at" in sequences.columns else F.lit(0)).withColumn("at", F.col("at").cast("long"))
+    chunk = F.col("_chunk") * CHUNK
+    until = F.col("at") + F.length("sequence")
+    x = x.withColumn("_chunk", F.explode(F.sequence(F.expr(f"at div {CHUNK}"), F.expr(f"(at + length(sequence) - 1) div {CHUNK}"))))
+    start, end = F.greatest("at", chunk), F.least(until, chunk + CHUNK)
+    part = F.substring(F.col("sequence"), (start - F.col("at") + 1).cast("int"), (end - start).cast("int"))
+    whole = x.select("contig", "_chunk", start.alias("s"), part.alias("x")).groupBy("contig", "_chunk")
+    return whole.agg(_in_order(F.struct("s", "x")).alias("sequence")).select("contig", chunk.alias("at"), "sequence")
+
+
+def _in_order(piece: Column) -> Column:
+    """The strings x of a group's pieces (struct<s, x>), by s, as one."""
+    return F.array_join(F.transform(F.sort_array(F.collect_list(piece)), lambda p: p["x"]), "")
+
+
 def extract_sequences(peaks: DataFrame, contigs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(peaks with their sequence, peaks dropped as their contig lacks them). contigs: contig, sequence."""
-    j = peaks.join(contigs.withColumnRenamed("contig", "chrom"), "chrom", "left")
-    ok = F.col("sequence").isNotNull() & (F.col("start") >= 0) & (F.col("end") <= F.length("sequence"))
-    got = j.filter(ok).withColumn("sequence", F.substring(F.col("sequence"), (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")))
-    return got, j.filter(~F.coalesce(ok, F.lit(False))).drop("sequence")
+    """(peaks with their sequence, peaks dropped as their contig lacks them). contigs: contig, sequence, and at where they come in pieces.
+
+    A peak meets only the pieces that it touches, and equal places are read once.
+    """
+    pieces = chunked(contigs).withColumnRenamed("contig", "chrom").withColumn("_chunk", F.expr(f"at div {CHUNK}"))
+    sizes = pieces.groupBy("chrom").agg(F.max(F.col("at") + F.length("sequence")).alias("_size"))
+    located = peaks.join(sizes, "chrom", "left")
+    ok = F.coalesce((F.col("start") >= 0) & (F.col("end") <= F.col("_size")), F.lit(False))
+    places = located.filter(ok & (F.col("end") > F.col("start"))).select("chrom", "start", "end").distinct()
+    touched = F.explode(F.sequence(F.expr(f"CAST(start AS BIGINT) div {CHUNK}"), F.expr(f"(CAST(end AS BIGINT) - 1) div {CHUNK}")))
+    met = places.withColumn("_chunk", touched).join(pieces, ["chrom", "_chunk"])
+    start, end = F.greatest(F.col("start").cast("long"), "at"), F.least(F.col("end").cast("long"), F.col("at") + CHUNK)
+    part = F.substring(F.col("sequence"), (start - F.col("at") + 1).cast("int"), (end - start).cast("int"))
+    found = met.select("chrom", "start", "end", F.struct(F.col("at").alias("s"), part.alias("x")).alias("p")).groupBy("chrom", "start", "end").agg(_in_order(F.col("p")).alias("sequence"))
+    got = located.filter(ok).drop("_size").join(found, ["chrom", "start", "end"], "left")
+    return got.withColumn("sequence", F.coalesce("sequence", F.lit(""))), located.filter(~ok).drop("_size")

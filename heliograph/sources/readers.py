@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,14 +105,24 @@ def fai_contigs(lines: DataFrame) -> DataFrame:
 
 
 def parse_fasta(lines: DataFrame) -> DataFrame:
-    """contig, sequence. lines: line_no, value. One contig's lines meet in one row."""
-    heads = lines.filter(F.startswith("value", F.lit(">"))).select("line_no", F.regexp_extract("value", r"^>(\S+)", 1).alias("contig"), F.lead("line_no").over(Window.orderBy("line_no")).alias("until"))
-    body = lines.filter(~F.startswith("value", F.lit(">")))
-    j = body.join(F.broadcast(heads.withColumnRenamed("line_no", "from")), (F.col("line_no") > F.col("from")) & (F.col("until").isNull() | (F.col("line_no") < F.col("until"))))
-    return j.groupBy("contig").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda r: F.trim(r["value"])), "").alias("sequence"))
+    """contig, at, sequence: contigs in pieces of CHUNK bases, each with the place of its first base. lines: line_no, value.
+
+    Lines of one name follow each other, in the order of their numbers; a contig without bases gives no row. Names and places
+    are running sums over ranges of lines, so no row or task holds a contig.
+    """
+    from heliograph.operators.intervals import chunked
+    from heliograph.operators.order import running
+
+    head = F.startswith("value", F.lit(">"))
+    marked = running(lines.select("line_no", F.trim("value").alias("value"), head.cast("long").alias("_head")), "_head", ["line_no"], name="_part")
+    names = marked.filter("_head = 1").select("_part", F.regexp_extract("value", r"^>(\S+)", 1).alias("contig"))
+    body = marked.filter("_head = 0 AND value <> ''").withColumn("_bases", F.length("value").cast("long")).join(names, "_part")
+    placed = running(body, "_bases", ["line_no"], by=("contig",), name="_end")
+    return chunked(placed.select("contig", (F.col("_end") - F.col("_bases")).alias("at"), F.col("value").alias("sequence")))
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """contig, at, sequence, in pieces as parse_fasta() gives them."""
     return parse_fasta(spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id()))
 
 

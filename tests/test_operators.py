@@ -116,6 +116,27 @@ def test_gtf_and_fasta(spark, tmp_path):
     assert {r["contig"]: r["sequence"] for r in readers.read_fasta(spark, f"file://{tmp_path}/a.fa").collect()} == {"c1": "ACGTAC", "c2": "TT"}
 
 
+def test_sequences_across_pieces(spark, tmp_path):
+    n = intervals.CHUNK
+    rng = np.random.default_rng(7)
+    bases = {"a": "".join(rng.choice(list("ACGT"), 2 * n + 90)), "b": "".join(rng.choice(list("ACGT"), n)), "c": "ACGT"}
+    folded = lambda s, width: "\n".join(s[i : i + width] for i in range(0, len(s), width))
+    (tmp_path / "g.fa").write_text(f">a one\n{folded(bases['a'], 61)}\n\n>b\n{bases['b']}\n>none\n>c\n{folded(bases['c'], 3)}\n")
+    genome = readers.read_fasta(spark, f"file://{tmp_path}/g.fa").cache()
+    rows = sorted((r["contig"], r["at"], r["sequence"]) for r in genome.collect())
+    assert rows == sorted((c, i, s[i : i + n]) for c, s in bases.items() for i in range(0, len(s), n))
+    places = [("a", 0, 5), ("a", n - 3, n + 4), ("a", n - 3, n + 4), ("a", n - 1, 2 * n + 90), ("a", n, n), ("b", n - 2, n), ("c", 1, 4)]
+    wrong = [("a", 5, 2 * n + 91), ("a", -1, 4), ("none", 0, 1), ("z", 0, 1), (None, 0, 1), ("a", None, 4)]
+    peaks = spark.createDataFrame([(i, *x) for i, x in enumerate(places + wrong)], "peak int, chrom string, start long, end long")
+    whole = spark.createDataFrame(list(bases.items()), "contig string, sequence string")
+    for contigs in (genome, whole):
+        got, lost = intervals.extract_sequences(peaks, contigs)
+        assert {r["peak"]: r["sequence"] for r in got.collect()} == {i: bases[c][s:e] for i, (c, s, e) in enumerate(places)}
+        assert sorted(r["peak"] for r in lost.collect()) == list(range(len(places), len(places) + len(wrong)))
+        assert set(got.columns) == {*peaks.columns, "sequence"} and lost.columns and "sequence" not in lost.columns
+    assert intervals.extract_sequences(peaks.limit(0), genome)[0].count() == 0 and readers.parse_fasta(spark.createDataFrame([], "line_no long, value string")).count() == 0
+
+
 def test_motif_scan(spark):
     p = np.full((6, 4), 0.01)
     p[np.arange(6), [0, 1, 2, 3, 0, 2]] = 0.97
