@@ -160,6 +160,15 @@ def shingle_hashes(text: str | None, hashes: WordHashes, k: int = SHINGLE) -> np
     return np.unique(mix64(acc + np.uint64(width)))
 
 
+def id_sent(column: str) -> Column:
+    """An id column as strings, for Python: a batch of longs with a null in it would come as floats, which round ids over 2**53."""
+    return F.col(column).cast("long").cast("string").alias(column)
+
+
+def id_received(column: str) -> Column:
+    return F.col(column).cast("long").alias(column)
+
+
 def texts(batches: Iterator, column: str = "text") -> Iterator:
     """Rows of pandas batches, with null text as None."""
     for pdf in batches:

@@ -1,11 +1,11 @@
-"""The queries of this subpackage: op1_ to op10_ over whole tables of sf_dir, and their SQL where SQL can express them."""
+"""The queries of this subpackage: op1_ to op13_ over whole tables of sf_dir, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, line_dedup, minhash_dedup, packing, quality, secrets, suffix_dedup, topk_search
+from . import ann_search, chat_format, decontaminate, fill_in_middle, language_id, line_dedup, minhash_dedup, packing, quality, secrets, suffix_dedup, token_alignment, topk_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,21 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(e, e.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(fill_in_middle.restore(F.col("output"), F.col("form")), 256)}
+    return out.withColumns(digests).drop("output")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return ann_search.nearest(e, e.filter(F.col("vec_id") % 20 == 0))
+
+
 OP10_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
@@ -102,5 +117,23 @@ SELECT p.chosen_id, p.rejected_id, CAST(p.n AS INTEGER) AS n_prompt_turns,
 FROM p JOIN {_rendered("chosen")} c USING (chosen_id) JOIN {_rendered("rejected")} r USING (chosen_id) JOIN {_spans("chosen")} cs USING (chosen_id) JOIN {_spans("rejected")} rs USING (chosen_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op3_suffix_dedup, op4_chat_format, op5_quality, op6_line_dedup, op7_decontaminate, op8_language_id, op9_packing, op10_topk_search)}
-ORACLE = {"op4_chat_format": OP4_SQL, "op10_topk_search": OP10_SQL}
+OP11_SQL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents
+), d AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+    CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), p AS (
+  SELECT *, array_to_string(u[1:lo], '') AS a, array_to_string(u[lo + 1:hi], '') AS m, array_to_string(u[hi + 1:], '') AS s FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || a || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || a || '<M>' || m ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_secrets, op3_suffix_dedup, op4_chat_format, op5_quality, op6_line_dedup, op7_decontaminate, op8_language_id, op9_packing, op10_topk_search, op11_fill_in_middle, op12_token_alignment, op13_ann_search)}
+ORACLE = {"op4_chat_format": OP4_SQL, "op10_topk_search": OP10_SQL, "op11_fill_in_middle": OP11_SQL}
