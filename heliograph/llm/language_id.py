@@ -16,6 +16,7 @@ length are read whole; columns named like a result are replaced, others kept.
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -170,13 +171,14 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     bounded_batches(docs.sparkSession)
     data = model.dump() if model else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, lang_score double, lang_rejected boolean")
+    def told(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = Model.load(data) if data else None
-        for pdf in batches:
-            text = [None if t is None or t != t else t for t in pdf["text"].tolist()]
-            got = [m.predict(t) if m else (UND, 0.0, True) for t in text]
-            yield pdf.assign(lang_pred=[x[0] for x in got], lang_score=[x[1] for x in got], lang_rejected=[x[2] for x in got])
+        for texts in batches:
+            got = [m.predict(None if t is None or t != t else t) if m else (UND, 0.0, True) for t in texts.tolist()]
+            yield pd.DataFrame(got, columns=["lang_pred", "lang_score", "lang_rejected"])
 
+    # Only the text goes to Python, so no other column is changed on the way; "nondeterministic" has it called once a row.
     rest = docs.drop("lang_pred", "lang_score", "lang_rejected")
-    out = T.StructType([*rest.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType()), T.StructField("lang_rejected", T.BooleanType())])
-    return rest.mapInPandas(run, out)
+    found = f"_told_{uuid.uuid4().hex[:8]}"
+    return rest.withColumn(found, told.asNondeterministic()("text")).select(*rest.columns, f"{found}.*")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, SIMILARITY, Spool, WordHashes, maybe_in, mix64, shares, shingle_hashes, texts
+from .common import SHINGLE, SIMILARITY, Spool, WordHashes, id_received, id_sent, maybe_in, mix64, shares, shingle_hashes, texts
 from .components import components
 
 BANDS, ROWS, SIGNATURE, BATCH, BLOCK = 32, 4, 128, 32, 256
@@ -99,11 +99,10 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                 for r in range(ROWS):
                     key = mix64(key + m[:, r])
                 out.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), key.view(np.int64).tolist(), minhash(s, *sig).tobytes()))
-            d = pd.DataFrame(out, columns=["doc_id", "n_shingles", "class_key", "bands", "sig"])
-            d["doc_id"] = d["doc_id"].astype("Int64")
-            yield d
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "class_key", "bands", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_shingles long, class_key binary, bands array<long>, sig binary")
+    out = docs.select(id_sent("doc_id"), "text").mapInPandas(run, "doc_id string, n_shingles long, class_key binary, bands array<long>, sig binary")
+    return out.withColumn("doc_id", id_received("doc_id"))
 
 
 def bottom(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches
+from .common import bounded_batches, id_received, id_sent
 
 WINDOW = 1024
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -203,4 +203,5 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 0, path: str | Non
         yield from flush()
 
     bounded_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA + (", ids array<long>" if with_ids else ""))
+    out = docs.select(id_sent("doc_id"), "text").mapInPandas(run, SCHEMA.replace("doc_id long", "doc_id string") + (", ids array<long>" if with_ids else ""))
+    return out.withColumn("doc_id", id_received("doc_id"))

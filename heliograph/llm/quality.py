@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Spool
+from .common import id_received, id_sent, Spool
 
 BUCKETS = 1 << 17
 MOST = 6000
@@ -138,10 +138,10 @@ def evidence(docs: DataFrame, model: bytes | None, host: str = "source", path: s
                     mean, sd = m.get(f"{name}_norm", (None, None))
                     z = float((_inputs([f], m[f"{name}_odds"])[0] - mean) / sd @ w) if len(w) else 0.0
                     out[f"e_{name}"].append(min(15.0, max(-15.0, z)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "host": pdf["host"], "path": pdf["path"], **out})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "host": pdf["host"], "path": pdf["path"], **out})
 
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"))
-    return cols.mapInPandas(run, "doc_id long, host string, path string, words long, e_quality double, e_toxic double")
+    cols = docs.select(id_sent("doc_id"), "text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"))
+    return cols.mapInPandas(run, "doc_id string, host string, path string, words long, e_quality double, e_toxic double").withColumn("doc_id", id_received("doc_id"))
 
 
 def _p(logit: Column) -> Column:

@@ -39,6 +39,8 @@ LENGTH, GRAM = 400, 128
 #: Offsets in a block, level by level.
 BLOCKS = (64, 8)
 PIECE = 1 << 19
+#: Stands for a null doc_id, and sorts first.
+NO_ID = -(2**63)
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -159,7 +161,7 @@ def _block_rows(texts: DataFrame, length: int, block: int) -> DataFrame:
                     core[k] = roll(hi_full[k] - at, length - block + 1)
                     f = k[full[k]]
                     whole[f] = roll(lo_full[f] - at, need)
-                own = mix64(np.uint64(th & (2**64 - 1)) + mix64(np.uint64((doc or 0) & (2**64 - 1)) + lo.astype(np.uint64)))
+                own = mix64(np.uint64(th & (2**64 - 1)) + mix64(np.uint64(doc & (2**64 - 1)) + lo.astype(np.uint64)))
                 whole[~full] = own[~full]
                 yield pd.DataFrame({"doc_id": doc, "th": th, "fp": fp, "blk": blk, "core": core.view(np.int64), "whole": whole.view(np.int64), "p": p, "lo": lo, "hi": hi})
 
@@ -201,7 +203,7 @@ def _cut(texts: DataFrame, length: int) -> DataFrame:
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).reshape(-1, 2)
                 kept = b[~gone].tobytes()
                 out.append((doc, th, int(gone.sum()), edge.tolist(), kept, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "th", "n_removed", "spans", "kept", "kept_sha256"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "th", "n_removed", "spans", "kept", "kept_sha256"])
 
     return texts.mapInPandas(run, "doc_id long, th long, n_removed long, spans array<array<long>>, kept binary, kept_sha256 string")
 
@@ -212,9 +214,9 @@ def _listed(df: DataFrame, name: str, *columns: str) -> DataFrame:
 
 
 def _on(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
-    """Joined by doc_id (null equal to null) and th."""
+    """Joined by doc_id and th."""
     b = b.withColumnsRenamed({"doc_id": "_doc", "th": "_th"})
-    return a.join(b, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th")), how).drop("_doc", "_th")
+    return a.join(b, (F.col("doc_id") == F.col("_doc")) & (F.col("th") == F.col("_th")), how).drop("_doc", "_th")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -> DataFrame:
@@ -222,17 +224,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
     spool = Spool(docs.sparkSession, "repeats")
     first = keep == "first"
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    d = d.select("doc_id", "text", F.xxhash64("text").alias("th"), F.md5("text").alias("md5"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    # Within, a null doc_id is the least number: a batch of longs with a null in it would reach Python as floats, which round ids.
+    d = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).withColumn("doc_id", F.coalesce("id", F.lit(NO_ID)))
+    d = d.select("id", "doc_id", "text", F.xxhash64("text").alias("th"), F.md5("text").alias("md5"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     small = d.drop("text")
-    same = spool.write(small.groupBy("md5", "th").agg(F.min(F.coalesce(F.col("doc_id"), F.lit(-(2**63)))).alias("rep"), F.count("*").alias("copies")).filter("copies > 1"))
+    same = spool.write(small.groupBy("md5", "th").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1"))
     rows = small.join(same, ["md5", "th"], "left")
-    is_rep = F.col("rep").isNull() | (F.coalesce("doc_id", F.lit(-(2**63))) == F.col("rep"))
+    is_rep = F.col("rep").isNull() | (F.col("doc_id") == F.col("rep"))
     # every distinct text once: those with copies by their smallest doc_id
     texts = d.filter(F.col("n_bytes") >= length).select("doc_id", "th", "text")
-    others = small.join(same.select("md5", "th", "rep"), ["md5", "th"]).filter(F.coalesce("doc_id", F.lit(-(2**63))) != F.col("rep")).select("doc_id", "th").distinct()
-
-    others = spool.write(others)
+    members = spool.write(small.join(same.select("md5", "th", "rep"), ["md5", "th"]).groupBy("doc_id", "th").agg(F.count("*").alias("n"), F.min("rep").alias("rep")))
+    others, twice = members.filter("doc_id <> rep").select("doc_id", "th"), members.filter("n > 1").select("th")
+    if not twice.isEmpty():  # rows that repeat a doc_id and its text
+        again = maybe_in(texts, "th", twice)
+        texts = maybe_in(texts, "th", twice, negate=True).unionByName(again.groupBy("doc_id", "th").agg(F.first("text").alias("text")))
     all_ = spool.write(_anchor_rows(texts, length))
     # only the anchors that may be a copy's are held against the copies
     lone = maybe_in(all_, "th", others.select("th"), negate=True).unionByName(_on(maybe_in(all_, "th", others.select("th")), others, "left_anti"))
@@ -266,11 +271,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
     copy = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
     if first:  # of equal rows with equal doc_ids, which one stays is not told apart: all take the first one's result
         copy = copy & ~is_rep
-    base = rows.select("doc_id", "th", "n_bytes", "sha", copy.alias("copy"))
+    base = rows.select("id", "doc_id", "th", "n_bytes", "sha", copy.alias("copy"))
     out = _on(base, cut, "left")
     gone = F.array(F.array(F.lit(0).cast("long"), F.col("n_bytes")))
     return out.select(
-        "doc_id", "n_bytes",
+        F.col("id").alias("doc_id"), "n_bytes",
         F.when(F.col("copy"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(F.col("copy"), gone).otherwise(F.coalesce("spans", F.array().cast("array<array<bigint>>"))).alias("spans"),
         F.when(F.col("copy"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),

@@ -19,6 +19,7 @@ columns are ignored, whatever their names. Texts of any length are read whole.
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -37,63 +38,102 @@ MASK = (1 << BITS) - 1
 PART, LOT = 4_000_000, 16_000_000
 
 
-def byte_table(path: str | None = None) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
+#: Where a text may be cut before it is tokenized: at a blank after a printable ASCII character, unless only blanks follow. No token of either
+#: default tokenizer has a blank after another character, and neither looks over such a place, so stretches are tokenized alone.
+STRETCH = re.compile(r"(?<=[!-~])(?= +[^ ])")
+#: Stretches remembered by a worker, and characters of one that is.
+MEMO, SHORT = 200_000, 48
+
+
+def byte_table(path: str | None = None) -> tuple[Callable[[str], list[int]], list[bytes]]:
     """(encode, bytes of each id) of the byte-level BPE; special tokens' strings are plain text."""
     import base64
 
-    encode = byte_bpe(path, special={})
     with open(path or vocabulary_path(), "rb") as f:
         ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
-    return lambda s: np.asarray(encode(s), np.int64), [ranks.get(i, b"") for i in range(max(ranks) + 1)]
+    return byte_bpe(path, special={}), [ranks.get(i, b"") for i in range(max(ranks) + 1)]
 
 
-def piece_table(path: str | None = None) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
+def piece_table(path: str | None = None) -> tuple[Callable[[str], list[int]], list[bytes]]:
     """(encode, bytes of each id) of the piece BPE: U+2581 is a blank, <0xHH> the byte HH."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or vocabulary_path("piece_bpe_32k.model"))
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     table = [bytes.fromhex(p[3:5]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-    return lambda s: np.asarray(model.encode(s, num_threads=1), np.int64), table
+    return lambda s: model.encode(s, num_threads=1), table
 
 
 class Vocabulary:
-    """Bytes and lengths of ids, and the type that holds an id."""
+    """Bytes, lengths and decimal names of ids, and the type that holds an id."""
 
     def __init__(self, table: list[bytes]) -> None:
         self.bytes, self.lengths = table, np.array([len(b) for b in table], np.int64)
         self.kind = "<u2" if len(table) <= 1 << 16 else "<u4"
+        self.length, self.name = self.lengths.tolist(), list(map(str, range(len(table))))
 
     def text(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+
+def group_text(x: list[int], y: list[int], va: Vocabulary, vb: Vocabulary) -> str:
+    """`a1,a2|b1;a3|b2,b3`: the ids of each group, in order. x, y: ids of the same bytes, one or more of each."""
+    i = j = 0
+    la, lb, na, nb = va.length, vb.length, va.name, vb.name
+    end_a, end_b, ga, gb, out = la[x[0]], lb[y[0]], [na[x[0]]], [nb[y[0]]], []
+    while True:
+        if end_a < end_b:
+            i += 1
+            end_a += la[x[i]]
+            ga.append(na[x[i]])
+        elif end_b < end_a:
+            j += 1
+            end_b += lb[y[j]]
+            gb.append(nb[y[j]])
+        else:
+            out.append(",".join(ga) + "|" + ",".join(gb))
+            i, j = i + 1, j + 1
+            if i == len(x):
+                return ";".join(out)
+            end_a, end_b, ga, gb = end_a + la[x[i]], end_b + lb[y[j]], [na[x[i]]], [nb[y[j]]]
+
+
+class Aligner:
+    """A text -> (ids of A, ids of B, both packed, text of the groups); None if a tokenizer does not give the text back.
+
+    Both tokenizers end at a stretch's end, so a text's result is its stretches' results in a row, and short ones are remembered.
+    """
 
-def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ends_a and in ends_b of the byte offsets at which tokens of both end."""
-    if not len(ends_a):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.searchsorted(ends_b, ends_a)
-    at[at == len(ends_b)] = 0
-    ia = np.flatnonzero(ends_b[at] == ends_a)
-    return ia, at[ia]
-
-
-def group_text(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, names: list[bytes]) -> bytes:
-    """`a1,a2|b1;a3|b2,b3`: the ids of each group, in order. ia, ib: each group's last token; names: ids below |names| in decimal."""
-    if not len(ia):
-        return b""
-    tokens, after = np.empty(len(a) + len(b), np.int64), np.zeros(len(a) + len(b), np.int64)
-    groups_a, groups_b = np.searchsorted(ia, np.arange(len(a))), np.searchsorted(ib, np.arange(len(b)))
-    before_b = np.concatenate([[0], ib + 1])
-    at_a, at_b = np.arange(len(a)) + before_b[groups_a], np.arange(len(b)) + (ia + 1)[groups_b]
-    tokens[at_a], tokens[at_b] = a, b
-    after[at_a[ia]], after[at_b[ib]] = 1, 2
-    # One lookup a token: the names with each of the three signs that may follow stand one after another.
-    return b"".join(map(names.__getitem__, (3 * tokens + after).tolist()))[:-1]
-
-
-def signed_names(n: int) -> list[bytes]:
-    return [b"%d%c" % (i, sign) for i in range(n) for sign in b",|;"]
+    def __init__(self, a: tuple, b: tuple, stretch: re.Pattern | None = STRETCH) -> None:
+        (self.encode_a, table_a), (self.encode_b, table_b) = a, b
+        self.va, self.vb, self.stretch = Vocabulary(table_a), Vocabulary(table_b), stretch
+        self.memo: dict[str, tuple[bytes, bytes, str] | None] = {}
+
+    def stretch_of(self, s: str) -> tuple[bytes, bytes, str] | None:
+        """s begins with a blank, which the second tokenizer adds itself."""
+        x, y, raw = self.encode_a(s), self.encode_b(s[1:]), s.encode()
+        if self.va.text(x) != raw or self.vb.text(y) != raw:
+            return None
+        return self.va.packed(x), self.vb.packed(y), group_text(x, y, self.va, self.vb)
+
+    def __call__(self, text: str) -> tuple[bytes, bytes, str] | None:
+        s, memo, out = " " + text, self.memo, []
+        for part in self.stretch.split(s) if self.stretch else [s]:
+            r = memo.get(part, 0)
+            if r == 0:
+                r = self.stretch_of(part)
+                if len(part) <= SHORT:
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    memo[part] = r
+            if r is None:
+                return self.stretch_of(s) if self.stretch else None  # what a part does not give back, the whole might
+            out.append(r)
+        x, y, g = zip(*out)
+        return b"".join(x), b"".join(y), ";".join(g)
 
 
 def links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +143,7 @@ def links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray)
     return a[np.searchsorted(ends_a, ends)] << BITS | b[np.searchsorted(ends_b, ends)], ends
 
 
-def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False, stretch: re.Pattern | None = STRETCH) -> DataFrame:
     """part, seq, doc_id (as string), n_a, n_b, n_groups, n_links, groups_sha256, a and b (ids, little-endian 16 or 32 bits), and groups if asked for.
 
     a, b: give (encode, bytes of each id). The first reads a blank and the text; the second adds the blank itself.
@@ -114,9 +154,8 @@ def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        (encode_a, table_a), (encode_b, table_b) = a(), b()
-        va, vb, signed = Vocabulary(table_a), Vocabulary(table_b), signed_names(max(len(table_a), len(table_b)))
-        ka, kb = va.kind, vb.kind
+        align_text = Aligner(a(), b(), stretch)
+        wide_a, wide_b = (np.dtype(v.kind).itemsize for v in (align_text.va, align_text.vb))
         number, seq, held = TaskContext.get().partitionId() << 32, 0, 0
         for pdf, tx in texts(batches):
             out = []
@@ -124,16 +163,10 @@ def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable
                 if held > part:
                     number, held = number + 1, 0
                 seq += 1
-                raw = (" " + t).encode() if t else b""
-                x = encode_a(" " + t) if t else np.empty(0, np.int64)
-                y = encode_b(t) if t else x
-                if not t or va.text(x.tolist()) != raw or vb.text(y.tolist()) != raw:
-                    out.append((number, seq, doc, 0, 0, 0, 0, "", b"", b"", *[""] * with_groups))
-                    continue
-                ia, ib = common_ends(np.cumsum(va.lengths[x]), np.cumsum(vb.lengths[y]))
-                g = group_text(x, y, ia, ib, signed)
-                out.append((number, seq, doc, len(x), len(y), len(ia), len(x) + len(y) - len(ia), hashlib.sha256(g).hexdigest(), x.astype(ka).tobytes(), y.astype(kb).tobytes(), *[g.decode()] * with_groups))
-                held += len(x)
+                x, y, g = align_text(t) or (b"", b"", "") if t else (b"", b"", "")
+                n_a, n_b, n_groups = len(x) // wide_a, len(y) // wide_b, g.count(";") + bool(g)
+                out.append((number, seq, doc, n_a, n_b, n_groups, n_a + n_b - n_groups, hashlib.sha256(g.encode()).hexdigest() if g else "", x, y, *[g] * with_groups))
+                held += n_a
             yield pd.DataFrame(out, columns=names)
 
     return spool.write(docs.select(id_sent("doc_id"), "text").mapInPandas(run, schema))
@@ -252,21 +285,21 @@ class MappedShard:
             f.close()
 
 
-def pair_counts(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table) -> DataFrame:
+def pair_counts(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table, stretch: re.Pattern | None = STRETCH) -> DataFrame:
     """a_id, b_id, n_docs: every pair of ids that some document holds linked, with the number of such documents."""
     spool = Spool(docs.sparkSession, "alignment")
-    totals = run_sums(partial_counts(encoded(docs, spool, a, b), spool, a, b).repartitionByRange("key").sortWithinPartitions("key"))
+    totals = run_sums(partial_counts(encoded(docs, spool, a, b, stretch=stretch), spool, a, b).repartitionByRange("key").sortWithinPartitions("key"))
     return totals.filter("first").select(F.expr(f"CAST(shiftright(key, {BITS}) AS INT)").alias("a_id"), F.expr(f"CAST(key & {MASK} AS INT)").alias("b_id"), F.col("total").alias("n_docs"))
 
 
-def align(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False) -> DataFrame:
+def align(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False, stretch: re.Pattern | None = STRETCH) -> DataFrame:
     """A row per row of docs: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, and groups if asked for.
 
     n_best: links whose count is the highest of their first id in the corpus; count_sum: the sum of the counts of all links.
     """
     spark = docs.sparkSession
     spool = Spool(spark, "alignment")
-    table = encoded(docs, spool, a, b, part, with_groups)
+    table = encoded(docs, spool, a, b, part, with_groups, stretch)
     partial = partial_counts(table, spool, a, b)
     totals = spool.write(run_sums(partial.repartitionByRange("key").sortWithinPartitions("key")))
     best = np.zeros(1 << BITS, np.int64)
