@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliograph.operators.order import running
+from heliograph.operators.cut import cut
 
 
 def qc_metrics(fact: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]:
@@ -17,11 +17,16 @@ def qc_metrics(fact: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]:
     return on.groupBy("cell").agg(F.count("*").alias("n_features"), F.sum("value").alias("total")), on.groupBy(feature).agg(F.count("*").alias("n_cells"))
 
 
+def qc_cells(rna: DataFrame, atac: DataFrame, cell_genes: int = 200, cell_total: float = 100) -> DataFrame:
+    """cell: those that pass. They are all cells from here on, whatever is left of their values when features are filtered."""
+    rc, ac = qc_metrics(rna, "gene")[0], qc_metrics(atac, "peak")[0]
+    return rc.filter(F.col("n_features") >= cell_genes).select("cell").join(ac.filter(F.col("total") >= cell_total).select("cell"), "cell", "left_semi")
+
+
 def qc_filter(rna: DataFrame, atac: DataFrame, gene_cells: int = 3, cell_genes: int = 200, peak_cells: int = 3, cell_total: float = 100) -> tuple[DataFrame, DataFrame]:
     """Both facts for cells and features that pass; all metrics are of the facts as given."""
-    rc, rg = qc_metrics(rna, "gene")
-    ac, ap = qc_metrics(atac, "peak")
-    cells = rc.filter(F.col("n_features") >= cell_genes).select("cell").join(ac.filter(F.col("total") >= cell_total).select("cell"), "cell", "left_semi")
+    rg, ap = qc_metrics(rna, "gene")[1], qc_metrics(atac, "peak")[1]
+    cells = qc_cells(rna, atac, cell_genes, cell_total)
     r = rna.join(cells, "cell", "left_semi").join(rg.filter(F.col("n_cells") >= gene_cells), "gene", "left_semi")
     a = atac.join(cells, "cell", "left_semi").join(ap.filter(F.col("n_cells") >= peak_cells), "peak", "left_semi")
     return r, a
@@ -47,15 +52,31 @@ def normalize(fact: DataFrame) -> DataFrame:
     return fact.join(totals, "cell").withColumn("value", F.log1p(F.col("value") * F.lit(target) / F.col("total"))).drop("total")
 
 
-def median(counts: DataFrame, value: str, n: str) -> float | None:
-    """The median of values with their counts, by running counts over ranges of distinct values."""
-    total = counts.agg(F.sum(n).alias("t")).first()["t"]
-    if not total:
+def median(counts: DataFrame, value: str, n: str, bins: int = 1024) -> float | None:
+    """The median of values with their counts: histograms of the stretch that holds the middle, narrowed until it holds one value.
+
+    Exact; what reaches the driver is one row a bin.
+    """
+    x = cut(counts.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"), F.col(n).alias("n")))
+    every = x.agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not every["n"]:
         return None
-    run = running(counts.select(value, n), n, [value], name="_upto")
-    at = [(total - 1) // 2, total // 2]  # from 0
-    got = run.select(*[F.min(F.when(F.col("_upto") > i, F.col(value))).alias(f"m{k}") for k, i in enumerate(at)]).first()
-    return (got["m0"] + got["m1"]) / 2
+
+    def at(i: int) -> float:
+        """The value at place i, from 0."""
+        lo, hi = every["lo"], every["hi"]
+        while lo < hi:
+            bin_ = F.least(F.floor((F.col("v") - F.lit(lo)) * F.lit(bins / (hi - lo))), F.lit(bins - 1))
+            rows = x.filter(F.col("v").between(lo, hi)).groupBy(bin_.alias("b")).agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").collect()
+            for r in rows:
+                if i < r["n"]:
+                    break
+                i -= r["n"]
+            lo, hi = r["lo"], r["hi"]
+        return lo
+
+    middle = at((every["n"] - 1) // 2)
+    return (middle + at(every["n"] // 2)) / 2 if every["n"] % 2 == 0 else middle
 
 
 def collapse(fact: DataFrame, feature: str, renamed) -> DataFrame:

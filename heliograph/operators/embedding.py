@@ -14,49 +14,6 @@ from heliograph.operators.guards import require_none, require_same_keys, require
 from heliograph.operators.order import numbered
 
 
-def truncated_svd(fact: DataFrame, feature: str, k: int = 50) -> DataFrame:
-    """cell, x: array of k scores, u * s of the uncentred matrix.
-
-    The Gram matrix of features is summed from blocks of rows (features: those selected, some thousands), its eigenvectors are
-    found on the driver, and cells are projected where they are.
-    """
-    names = sorted(r[0] for r in fact.select(feature).distinct().collect())
-    at = {n: i for i, n in enumerate(names)}
-    rows = fact.groupBy("cell").agg(F.collect_list(F.struct(F.col(feature).alias("f"), F.col("value").cast("double").alias("v"))).alias("row"))
-
-    def dense(pdf: pd.DataFrame) -> np.ndarray:
-        m = np.zeros((len(pdf), len(names)))
-        for i, row in enumerate(pdf["row"].tolist()):
-            for x in row:
-                m[i, at[x["f"]]] += x["v"]
-        return m
-
-    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros((len(names), len(names)))
-        for pdf in batches:
-            m = dense(pdf)
-            g += m.T @ m
-        yield pd.DataFrame({"i": np.arange(len(names)), "g": list(g)})
-
-    summed = rows.mapInPandas(gram, "i long, g array<double>").select("i", F.posexplode("g").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
-    g = np.zeros((len(names), len(names)))
-    for r in summed.toLocalIterator():
-        g[r["i"], r["j"]] = r["v"]
-    k = min(k, len(names))
-    if k < 2:
-        raise ValueError("an embedding needs two dimensions or more")
-    w, v = np.linalg.eigh(g)
-    v = v[:, np.argsort(-w)[:k]]
-    v *= np.where(v[np.abs(v).argmax(0), np.arange(k)] < 0, -1.0, 1.0)
-
-    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"cell": pdf["cell"], "x": list(dense(pdf) @ v)})
-
-    cell = fact.schema["cell"].dataType.simpleString()
-    return rows.mapInPandas(project, f"cell {cell}, x array<double>")
-
-
 def knn(vectors: DataFrame, k: int = 15, block: int = 2048) -> DataFrame:
     """src, dst, distance, rank: the k nearest other rows by Euclidean distance, ties to the smaller id; exact.
 

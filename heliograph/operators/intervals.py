@@ -1,7 +1,7 @@
 """Half-open genomic intervals: merging, overlap and nearest joins, annotation.
 
 Overlap joins are equi-joins on (chromosome, bin): both sides are exploded to the bins they touch, and a pair is taken
-in the first bin that they share, so no distinct is needed.
+in the first bin that they share, so no distinct is needed. Unions and nearest points are carried in the order of places.
 """
 
 from __future__ import annotations
@@ -10,26 +10,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.scores import promoter, signed_distance
+from heliograph.operators.order import ranged, scanned
 
 #: Bases in a piece of a contig.
 CHUNK = 1 << 16
 
 
-def _islands(df: DataFrame, by: list[str], slack: int) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy("start", "end")
-    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    x = df.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + slack), 1).otherwise(0))
-    x = x.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return x.groupBy(*by, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
-
-
-def merge(df: DataFrame, slack: int = 0, bin_size: int = 1_000_000) -> DataFrame:
+def merge(df: DataFrame, slack: int = 0) -> DataFrame:
     """chrom, start, end of unions of intervals at most `slack` apart (0: bookended ones merge; -1: only overlapping).
 
-    Intervals are first merged within bins of their start, so that the pass over a chromosome sees only islands.
+    In the order of starts, an interval begins a union if it starts beyond all ends before it; the others belong to the latest that does.
+    Both are carried over ranges of places, so no task holds a chromosome. Intervals hold a position or more.
     """
-    local = _islands(df.select("chrom", "start", "end").withColumn("bin", F.floor(F.col("start") / bin_size)), ["chrom", "bin"], slack)
-    return _islands(local, ["chrom"], slack)
+    order, by = ["start", "end"], ("chrom",)
+    x = scanned(ranged(df.select("chrom", *order), ["chrom", *order]), order, by, _reach=("max", F.col("end")))
+    begins = F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + slack)
+    x = scanned(x.withColumn("_begin", F.when(begins, F.col("start"))), order, by, _union=("last", F.col("_begin")))
+    return x.groupBy("chrom", "_union").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_union")
 
 
 def _binned(df: DataFrame, width: int) -> DataFrame:
@@ -52,18 +49,26 @@ def best_overlap(a: DataFrame, b: DataFrame, key: str, width: int = 10_000) -> D
     return j.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def nearest_join(peaks: DataFrame, points: DataFrame, within: int, width: int | None = None) -> DataFrame:
+def nearest_join(peaks: DataFrame, points: DataFrame, within: int) -> DataFrame:
     """Each peak with the nearest point (tss) of its chromosome, not further than `within`; ties to the smaller tss, then gene.
 
-    The bound makes it an overlap join of peaks grown by `within` with points.
+    Peaks (by their starts) and points in one order of places: only the last point before a peak's start and the first one from it on can be
+    its nearest. Both are carried over ranges of places, so a peak meets two points, however many lie around it.
     """
-    grown = peaks.withColumns({"p_start": F.col("start"), "p_end": F.col("end"), "start": F.greatest(F.col("start") - within, F.lit(0)), "end": F.col("end") + within + 1})
-    at = points.withColumns({"start": F.col("tss"), "end": F.col("tss") + 1})
-    j = overlap_join(grown, at, width or max(2 * within, 1))
-    d = signed_distance(F.col("p_start"), F.col("p_end"), F.col("tss"))
-    j = j.withColumn("distance", d).filter(F.abs("distance") <= within)
-    w = Window.partitionBy("chrom", "p_start", "p_end").orderBy(F.abs("distance"), "tss", "gene")
-    return j.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("chrom", F.col("p_start").alias("start"), F.col("p_end").alias("end"), "gene", "tss", "distance")
+    p = peaks.filter("chrom is not null").select("chrom", "start", "end").distinct()
+    at = points.filter("chrom is not null and tss is not null").groupBy("chrom", "tss").agg(F.min("gene").alias("gene"))
+    point = F.struct("tss", "gene")
+    none = at.select(point.alias("_point")).schema["_point"].dataType
+    place = lambda c: F.col(c).cast("long").alias("_at")
+    both = p.select("chrom", place("start"), F.lit(0).alias("_kind"), "start", "end", F.lit(None).cast(none).alias("_point"))
+    nil = [F.lit(None).cast(p.schema[c].dataType).alias(c) for c in ("start", "end")]
+    both = both.unionByName(at.select("chrom", place("tss"), F.lit(1).alias("_kind"), *nil, point.alias("_point")))
+    order = ["_at", "_kind", "end"]
+    x = scanned(ranged(both, ["chrom", *order]), order, ("chrom",), _left=("last", F.col("_point")), _right=("next", F.col("_point"))).filter("_kind = 0")
+    d = lambda c: signed_distance(F.col("start"), F.col("end"), F.col(f"{c}.tss"))
+    told = lambda c: F.when(F.col(c).isNotNull() & (F.abs(d(c)) <= within), F.struct(F.abs(d(c)).alias("far"), F.col(f"{c}.tss").alias("tss"), F.col(f"{c}.gene").alias("gene"), d(c).alias("distance")))
+    best = x.withColumn("_best", F.least(told("_left"), told("_right"))).filter("_best is not null")
+    return best.select("chrom", "start", "end", "_best.gene", "_best.tss", "_best.distance")
 
 
 def annotate(peaks: DataFrame, genes: DataFrame, bodies: DataFrame, upstream: int = 1000, downstream: int = 100, within: int = 200_000, width: int = 10_000) -> DataFrame:

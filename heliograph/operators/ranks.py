@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.stats import normal_two_sided, t_two_sided
-from heliograph.operators.cut import cut
-from heliograph.operators.order import beside, ranged, running
+from heliograph.operators.order import beside, ranged
 
 
 def average_rank(value: str, *by: str) -> Column:
@@ -54,23 +53,22 @@ def with_p_values(df: DataFrame, n_groups: int, rho: str = "rho", p: str = "pval
 def benjamini_hochberg(df: DataFrame, p: str = "pvalue", q: str = "qvalue_bh", by: tuple[str, ...] = ()) -> DataFrame:
     """q-values over all rows with a p-value (of each `by`); null p, null q.
 
-    Equal p are counted first, so that ties are one row. The distinct p are dealt by ranges; ranks and running minima are
-    taken within ranges and carried over from a table with one row a range, so no window holds all rows.
+    Rows are dealt once by ranges of p, equal p by a hash, so that a very common p lies in many ranges. A row's rank and the least
+    p * n / rank from it on are taken within its range and completed from a table with one row a range. Of equal p the last has the least
+    value, so all of them get it, and nothing is joined by p.
     """
-    x = cut(df)
-    counts = x.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("_c"))
-    up = Window.partitionBy(*by)
-    r = running(counts, "_c", [p], by, "_rank")
-    r = ranged(beside(r, counts.groupBy(*by).agg(F.sum("_c").alias("_n")), list(by)), [*by, p])
-    r = r.withColumn("_v", F.col(p) * F.col("_n") / F.col("_rank"))
-    at = Window.partitionBy("_range", *by).orderBy(p)
+    x = ranged(df.withColumn("_tie", F.xxhash64(*df.columns)), [*by, p, "_tie"])
+    here, every, upto = Window.partitionBy("_range", *by), Window.partitionBy(*by), (Window.unboundedPreceding, Window.currentRow)
+    sums = x.groupBy("_range", *by).agg(F.count(p).alias("_k"))
+    sums = sums.select("_range", *by, (F.sum("_k").over(every.orderBy("_range").rowsBetween(*upto)) - F.col("_k")).alias("_before"), F.sum("_k").over(every).alias("_n"))
+    r = beside(x.withColumn("_rank", F.count(p).over(here.orderBy(p, "_tie").rowsBetween(*upto))), sums, ["_range", *by])
+    r = r.withColumn("_rank", F.col("_rank") + F.col("_before")).withColumn("_v", F.col(p) * F.col("_n") / F.col("_rank"))
     least = r.groupBy("_range", *by).agg(F.min("_v").alias("_l"))
-    after = F.min("_l").over(up.orderBy("_range").rowsBetween(1, Window.unboundedFollowing))
-    r = r.withColumn("_m", F.min("_v").over(at.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    after = F.min("_l").over(every.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1))
+    r = r.withColumn("_m", F.min("_v").over(here.orderBy(F.desc("_rank"), F.desc("_tie")).rowsBetween(*upto)))
     r = beside(r, least.select("_range", *by, after.alias("_after")), ["_range", *by])
-    r = r.select(*by, p, F.least(F.lit(1.0), "_m", F.coalesce("_after", F.lit(1.0))).alias(q))
-    told = beside(x.filter(F.col(p).isNotNull()), r, [*by, p])
-    return told.unionByName(x.filter(F.col(p).isNull()).withColumn(q, F.lit(None).cast("double")))
+    value = F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), "_m", F.coalesce("_after", F.lit(1.0))))
+    return r.select(*df.columns, value.alias(q))
 
 
 def percentiles(means: DataFrame, feature: str, n_groups: int) -> DataFrame:

@@ -33,12 +33,11 @@ def merge_samples(rna: DataFrame, atac: DataFrame) -> tuple[DataFrame, DataFrame
     return rna.join(everywhere, "gene", "left_semi"), moved
 
 
-def filter_annotate(rna: DataFrame, atac: DataFrame, genes: DataFrame, bodies: DataFrame, fraction: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def filter_annotate(rna: DataFrame, atac: DataFrame, genes: DataFrame, bodies: DataFrame, fraction: float, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rna, atac, annotation): detected features, peak names normalised, annotated peaks only, both facts normalised.
 
-    annotation: peak, gene, distance, peak_type.
+    annotation: peak, gene, distance, peak_type. n: all cells, with values left or not.
     """
-    n = rna.select("cell").distinct().count()
     rna = rna.join(cell_ops.detected(rna, "gene", n, fraction).select("gene"), "gene", "left_semi")
     atac = atac.join(cell_ops.detected(atac, "peak", n, fraction).select("peak"), "peak", "left_semi")
     atac = cut(cell_ops.collapse(atac, "peak", normalize_peak(F.col("peak"))))

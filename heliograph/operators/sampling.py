@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from heliograph.operators.cut import cut
+
 
 def allocation(sizes: DataFrame, most: int, minimum: int, keys: list[str]) -> DataFrame:
     """keys, size, allocated: how many rows each stratum gives.
@@ -29,11 +31,34 @@ def allocation(sizes: DataFrame, most: int, minimum: int, keys: list[str]) -> Da
     return out.select(*keys, "size", F.when(F.col("total") <= most, F.col("size")).when(F.col("strata") > most, F.col("few").cast("long")).otherwise(F.col("some") + F.col("won")).alias("allocated"))
 
 
-def stratified(cells: DataFrame, most: int, minimum: int, keys: list[str], seed: int = 0, order=None) -> DataFrame:
-    """cells with selected: a fixed draw by hash within strata; rows with a null key are never drawn."""
-    sizes = cells.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("size"))
-    a = allocation(sizes, most, minimum, keys)
-    o = [F.xxhash64(F.lit(seed), "cell"), F.col("cell")] if order is None else order
-    ranked = cells.dropna(subset=keys).withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*o))).join(a, keys)
-    drawn = ranked.filter(F.col("_n") <= F.col("allocated")).select("cell", F.lit(True).alias("selected"))
-    return cells.join(drawn, "cell", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+def stratified(cells: DataFrame, most: int, minimum: int, keys: list[str], seed: int = 0, order: list[Column] | None = None, share: Column | None = None) -> DataFrame:
+    """cells with selected: a fixed draw by hash within strata; rows with a null key are never drawn.
+
+    order: that of the draw, by a hash if not given; share: the same as a number from 0 to 1, spread evenly over the rows. Of a stratum only
+    the rows with a small share can be drawn: those below a bound that holds the allocated number with room to spare. They alone are
+    ranked, so a window holds about as many rows as are drawn, however large the stratum is. Where a bound holds too few, its stratum
+    is ranked as a whole. Cells that share a name are drawn together.
+    """
+    known = cells.dropna(subset=keys)
+    a = cut(allocation(known.groupBy(*keys).agg(F.count("*").alias("size")), most, minimum, keys).filter("allocated > 0"))
+    if order is None:
+        hashed = F.xxhash64(F.lit(seed), "cell")
+        order, share = [hashed, F.col("cell")], hashed / F.lit(2.0**64) + 0.5
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    take = lambda rows: rows.withColumn("_n", rank).filter(F.col("_n") <= F.col("allocated")).select("cell", F.lit(True).alias("selected"))
+    placed = known.select("cell", *keys).join(a, keys)
+    if share is None:
+        drawn = take(placed)
+    else:
+        low = cut(placed.filter(share <= enough(F.col("allocated"), F.col("size"))))
+        held = low.groupBy(*keys).agg(F.count("*").alias("n"))
+        short = cut(a.join(held, keys, "left").filter("coalesce(n, 0) < allocated").select(*keys))
+        drawn = take(low.join(short, keys, "left_anti"))
+        if not short.isEmpty():
+            drawn = drawn.unionByName(take(placed.join(short, keys, "left_semi")))
+    return cells.join(drawn.distinct(), "cell", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+
+
+def enough(wanted: Column, size: Column) -> Column:
+    """The share of a stratum that holds the wanted number of rows but for six standard deviations."""
+    return F.least(F.lit(1.0), (wanted + 6 * F.sqrt(wanted) + 20) / size)

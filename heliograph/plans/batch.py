@@ -8,9 +8,12 @@ import logging
 import sys
 import time
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field, replace
 from pathlib import Path
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,7 @@ class PipelineConfig:
     export_max_cells: int = 100_000
     export_min_per_stratum: int = 20
     random_seed: int = 0
+    cluster_resolution: float = 1.0
     log_level: str = "INFO"
     min_genes: int = 200
     min_cells: int = 3
@@ -75,21 +79,41 @@ class PipelineConfig:
         return self.genome_fasta_by_dataset.get(dataset) or self.genome_fasta_by_organism[organism]
 
 
-def run_datasets(datasets: list[str], work: Callable[[str], str | None], on_row: Callable[[list[dict]], None] | None = None) -> list[dict]:
-    """One dataset after another, each on the whole cluster; a failure is a row, not the end. work returns a reason to skip."""
-    rows: list[dict] = []
-    for d in datasets:
+def run_datasets(datasets: list[str], work: Callable[[str], str | None], on_row: Callable[[list[dict]], None] | None = None, workers: int = 1, spark: SparkSession | None = None) -> list[dict]:
+    """Rows of status in the order given; a failure is a row, not the end. work returns a reason to skip.
+
+    workers: so many datasets at a time, each from a thread of its own; with fair scheduling each has a pool of its own, so that a large
+    dataset's jobs do not hold up the others'. on_row gets the rows so far, one call at a time.
+    """
+    rows: dict[str, dict] = {}
+    lock = Lock()
+
+    def one(d: str) -> None:
         began = time.time()
         try:
+            if spark is not None:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", d)
             skipped = work(d)
             row = {"dataset": d, "status": "skipped" if skipped else "ok", "detail": skipped or ""}
         except Exception as e:  # noqa: BLE001
             LOG.exception("dataset %s", d)
             row = {"dataset": d, "status": "failed", "detail": f"{type(e).__name__}: {e}"}
-        rows.append(row | {"seconds": round(time.time() - began, 1)})
-        if on_row:
-            on_row(rows)
-    return rows
+        finally:
+            if spark is not None:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        with lock:
+            rows[d] = row | {"seconds": round(time.time() - began, 1)}
+            if on_row:
+                on_row([rows[x] for x in datasets if x in rows])
+
+    if workers <= 1:
+        for d in datasets:
+            one(d)
+    else:
+        with ThreadPoolExecutor(workers) as pool:
+            for f in [pool.submit(inheritable_thread_target(spark)(one) if spark is not None else one, d) for d in datasets]:
+                f.result()
+    return [rows[d] for d in datasets]
 
 
 def covered_datasets(coverage: DataFrame, minimum: int = 100) -> DataFrame:
@@ -98,11 +122,24 @@ def covered_datasets(coverage: DataFrame, minimum: int = 100) -> DataFrame:
     return coverage.filter(F.col("unique_tf_gene_pairs").try_cast("double") >= minimum).select("dataset")
 
 
-def active_fraction(spark: SparkSession, folder: str, output: str) -> None:
-    """folder: cells, rna, atac and triplet_active_scores as Parquet."""
-    of = lambda n: spark.read.parquet(f"{folder}/{n}.parquet")
-    scores = require_columns(of("triplet_active_scores"), "tf", "peak", "gene", *GROUP)
-    sinks.publish(activity.add_active_fraction(scores, of("rna"), of("atac"), of("cells")), output)
+def matrices(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells with their labels, rna, atac) of a dataset's work folder as the run leaves it, or of cells, rna and atac .parquet files."""
+    ran = sinks.is_complete(spark, f"{folder}/labelled")
+    return tuple(spark.read.parquet(f"{folder}/{n}" if ran else f"{folder}/{'cells' if n == 'labelled' else n}.parquet") for n in ("labelled", "rna", "atac"))
+
+
+def active_fraction(spark: SparkSession, folder: str, output: str, work: str | None = None) -> str | None:
+    """The scores of a dataset with the share of each group's cells that hold TF, peak and gene; a reason if it has no scores.
+
+    folder: where triplet_active_scores.parquet lies; work: where the matrices are, the same folder if not given.
+    """
+    path = f"{folder}/triplet_active_scores.parquet"
+    if not sinks.is_complete(spark, path):
+        return "no scores"
+    scores = require_columns(spark.read.parquet(path), "tf", "peak", "gene", *GROUP)
+    cells, rna, atac = matrices(spark, work or folder)
+    sinks.publish(activity.add_active_fraction(scores, rna, atac, cells), output)
+    return None
 
 
 def main(args: list[str] | None = None) -> int:
@@ -112,6 +149,8 @@ def main(args: list[str] | None = None) -> int:
     a.add_argument("--backend-root", required=True)
     a.add_argument("--coverage-tsv")
     a.add_argument("--minimum-pairs", type=int, default=100)
+    a.add_argument("--work-root", help="where the run left its matrices, a folder a dataset; --backend-root if not given")
+    a.add_argument("--workers", type=int, default=1)
     f = sub.add_parser("dataset-filter")
     f.add_argument("--backend-root", required=True)
     f.add_argument("--summary", required=True)
@@ -121,20 +160,24 @@ def main(args: list[str] | None = None) -> int:
     r = sub.add_parser("pipeline")
     r.add_argument("--config", required=True)
     r.add_argument("--datasets", nargs="*", help="some of the configuration's datasets")
+    r.add_argument("--workers", type=int, help="datasets at a time; the configuration's number if not given")
     o = p.parse_args(args)
-    spark = SparkSession.builder.getOrCreate()
+    spark = SparkSession.builder.config("spark.scheduler.mode", "FAIR").getOrCreate()
     if o.command == "pipeline":
         from heliograph.plans import run
 
         config = PipelineConfig.from_json(o.config)
+        if o.workers:
+            config = replace(config, workers=o.workers)
         LOG.setLevel(config.log_level)
         rows = run.run(spark, config, o.datasets or None)
     elif o.command == "active-fraction":
-        names = readers.names_in(spark, o.backend_root)
+        names = [n for n in readers.names_in(spark, o.backend_root) if not n.endswith(".json")]
         if o.coverage_tsv:
             good = {r[0] for r in covered_datasets(readers.read_strings(spark, o.coverage_tsv, "\t"), o.minimum_pairs).collect()}
             names = [n for n in names if n in good]
-        rows = run_datasets(names, lambda d: active_fraction(spark, f"{o.backend_root}/{d}", f"{o.backend_root}/{d}/triplet_active_scores.with_active_cells.parquet"))
+        work = o.work_root or o.backend_root
+        rows = run_datasets(names, lambda d: active_fraction(spark, f"{o.backend_root}/{d}", f"{o.backend_root}/{d}/triplet_active_scores.with_active_cells.parquet", f"{work}/{d}"), workers=o.workers, spark=spark)
     else:
         if "/" in o.output_name or not o.output_name.endswith(".parquet"):
             p.error("--output-name must be a plain .parquet name")
@@ -146,7 +189,7 @@ def main(args: list[str] | None = None) -> int:
             sinks.publish(activity.dataset_filter(spark.read.parquet(path), o.score_threshold, o.count_threshold), f"{o.backend_root}/{d}/{o.output_name}")
             return None
 
-        rows = run_datasets(readers.names_in(spark, o.backend_root), one, lambda r: sinks.write_report(spark, r, o.summary))
+        rows = run_datasets([n for n in readers.names_in(spark, o.backend_root) if not n.endswith(".json")], one, lambda r: sinks.write_report(spark, r, o.summary))
     return int(any(r["status"] == "failed" for r in rows))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions import names, scores
-from heliograph.operators import activity, cells, embedding, guards, intervals, metadata, motif, order, pseudobulk, ranks, regulatory, sampling
+from heliograph.operators import activity, cells, communities, embedding, factor, guards, intervals, metadata, motif, neighbours, order, pseudobulk, ranks, regulatory, sampling
+from heliograph.operators.cut import cut
 from heliograph.plans import batch, views
 from heliograph.sources import readers
 
@@ -297,11 +298,14 @@ def ag10_filter_summary(s, d):
     return activity.filter_summary(w, activity.dataset_filter(w, 0.001, 2)).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
 
 
-@query("SELECT chrom, contig FROM (VALUES ('1', 'chr1'), ('chr2', '2'), ('chrX', 'chrX'), ('M', NULL), ('chr9', NULL)) t(chrom, contig)", base=False)
+@query("""WITH w AS (SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN 'chr' ELSE '' END || (c_custkey * 7 % 40) AS chrom FROM customer),
+k AS (SELECT DISTINCT CASE WHEN s_suppkey % 3 = 0 THEN 'chr' ELSE '' END || (s_suppkey * 11 % 31) AS contig FROM supplier)
+SELECT chrom, coalesce(e.contig, o.contig) AS contig FROM w LEFT JOIN k e ON e.contig = chrom LEFT JOIN k o ON o.contig = CASE WHEN chrom LIKE 'chr%' THEN chrom[4:] ELSE 'chr' || chrom END""", base=False)
 def jn19_contigs(s, d):
-    one = T(s, d, "region").limit(1)
-    wanted = one.select(F.explode(F.array(*map(F.lit, ("1", "chr2", "chrX", "M", "chr9")))).alias("chrom"))
-    return intervals.resolve_contigs(wanted, one.select(F.explode(F.array(*map(F.lit, ("chr1", "2", "chrX", "chrMT")))).alias("contig")))
+    """Names that customers ask for, among contigs that suppliers have."""
+    name = lambda key, every, times, of: F.concat(F.when(F.col(key) % every == 0, "chr").otherwise(""), (F.col(key) * times % of).cast("string"))
+    wanted = T(s, d, "customer").select(name("c_custkey", 2, 7, 40).alias("chrom"))
+    return intervals.resolve_contigs(wanted, T(s, d, "supplier").select(name("s_suppkey", 3, 11, 31).alias("contig")))
 
 
 @query("SELECT cell, cell IN (SELECT cell FROM rna WHERE value > 40) AS selected FROM cells")
@@ -367,7 +371,7 @@ def ag5_collapse(s, d):
 i AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" > reach THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM p)
 SELECT chrom, min("start") AS "start", max("end") AS "end" FROM i GROUP BY chrom, island""")
 def ag7_interval_merge(s, d):
-    return intervals.merge(views.peaks(s, d), 0, 1000)
+    return intervals.merge(views.peaks(s, d), 0)
 
 
 @query("""WITH p AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM peaks),
@@ -377,7 +381,7 @@ SELECT q.chrom, q."start", q."end", lo AS b_start, hi AS b_end, q."end" - q."sta
 def wn6_best_overlap(s, d):
     """WN6, JN11: each original in the merged interval it overlaps most, which holds it whole."""
     p = views.peaks(s, d).distinct().withColumn("key", F.concat_ws(":", "chrom", "start", "end"))
-    return intervals.best_overlap(p, intervals.merge(views.peaks(s, d), 0, 1000), "key", 64).drop("key")
+    return intervals.best_overlap(p, intervals.merge(views.peaks(s, d), 0), "key", 64).drop("key")
 
 
 @query("WITH t AS (SELECT cell, sum(value) AS total FROM rna GROUP BY 1) SELECT cell, gene, round(ln(1 + value * (SELECT median(total) FROM t) / total), 6) AS value FROM rna JOIN t USING (cell)")
@@ -515,7 +519,7 @@ def sm1_allocation(s, d):
 def sm1_stratified_sample(s, d):
     """SM1, JN20: with an order that SQL has too."""
     order = [(F.col("cell") * 2654435761) % 1000003, F.col("cell")]
-    return sampling.stratified(views.cells(s, d), 5000, 10, ["sample_id", "gpt_cell_type"], order=order).select("cell", "selected")
+    return sampling.stratified(views.cells(s, d), 5000, 10, ["sample_id", "gpt_cell_type"], order=order, share=order[0] / 1000003).select("cell", "selected")
 
 
 @query()
@@ -556,10 +560,14 @@ def fn1_parse_peak(s, d):
     return n.withColumn("p", names.parse_peak(F.col("name"))).select("name", "p.*")
 
 
-@query("SELECT * FROM (VALUES ('1', 'chr1'), ('chrx', 'chrX'), ('MT', 'chrM'), ('chrM', 'chrM'), ('GL000.1', 'GL000.1'), ('2L', '2L'), ('CHR7', 'chr7'), ('y', 'chrY')) t(name, chrom)", base=False)
+@query("""WITH n AS (SELECT c_custkey, ['', 'chr', 'CHR', 'Chr'][c_custkey % 4 + 1] || CASE WHEN c_custkey % 13 < 5 THEN ['x', 'Y', 'mt', 'M', 'GL000.1'][c_custkey % 13 + 1] WHEN c_custkey % 13 = 5 THEN '2L' ELSE CAST(c_custkey % 23 AS VARCHAR) END AS name FROM customer)
+SELECT c_custkey, name, CASE WHEN b IN ('M', 'MT') THEN 'chrM' WHEN regexp_full_match(b, '[0-9]+|X|Y') THEN 'chr' || b ELSE name END AS chrom FROM (SELECT *, upper(regexp_replace(name, '^[cC][hH][rR]', '')) AS b FROM n)""", base=False)
 def fn2_normalize_chrom(s, d):
-    x = T(s, d, "region").limit(1).select(F.explode(F.array(*map(F.lit, ("1", "chrx", "MT", "chrM", "GL000.1", "2L", "CHR7", "y")))).alias("name"))
-    return x.select("name", names.normalize_chrom(F.col("name")).alias("chrom"))
+    """Names of every kind, one a customer."""
+    k, pick = F.col("c_custkey"), lambda names_, n: F.element_at(F.array(*map(F.lit, names_)), (n + 1).cast("int"))
+    body = F.when(k % 13 < 5, pick(("x", "Y", "mt", "M", "GL000.1"), F.least(k % 13, F.lit(4)))).when(k % 13 == 5, "2L").otherwise((k % 23).cast("string"))
+    x = T(s, d, "customer").select("c_custkey", F.concat(pick(("", "chr", "CHR", "Chr"), k % 4), body).alias("name"))
+    return x.withColumn("chrom", names.normalize_chrom(F.col("name")))
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment || '#' || c_name ELSE c_mktsegment || '#' || c_name END AS cell, c_mktsegment AS sample FROM customer", base=False)
@@ -672,8 +680,8 @@ def ml4_knn(s, d):
 
 @query()
 def ml3_truncated_svd(s, d):
-    """Share of the squares that ten dimensions hold, by cell type."""
-    x = embedding.truncated_svd(views.rna(s, d), "gene", 10)
+    """Scores on the first three of ten components."""
+    x = factor.truncated_svd(views.rna(s, d), "gene", 10)
     return x.select("cell", F.slice(F.transform("x", lambda v: F.round(v, 4)), 1, 3).alias("x"))
 
 
@@ -689,6 +697,36 @@ def ml6_layout(s, d):
     return embedding.layout(v, embedding.connectivities(embedding.knn(v, 10)), 10)
 
 
+@query("SELECT cell, round(sum(value * value), 3) AS squares FROM rna GROUP BY 1")
+def ml3_svd_lengths(s, d):
+    """With as many components as genes, scores keep every cell's length."""
+    x = factor.truncated_svd(views.rna(s, d), "gene", 25)
+    return x.select("cell", F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v), 3).alias("squares"))
+
+
+@query("SELECT count(*) AS vectors, 10 * count(*) AS edges, true AS found FROM embeddings", base=False)
+def ml4_approximate_knn(s, d):
+    """The approximate neighbours of all vectors: how many, and whether 95 of 100 are among the exact ones."""
+    v = _vectors(s, d)
+    near = neighbours.approximate_knn(v, 10, trees=64, leaf=256)
+    both = near.join(embedding.knn(v, 10).select("src", "dst", F.lit(1).alias("hit")), ["src", "dst"], "left")
+    return both.agg(F.count_distinct("src").alias("vectors"), F.count("*").alias("edges"), (F.sum("hit") >= 0.95 * F.count("*")).alias("found"))
+
+
+@query("SELECT count(*) AS vertices, 0 AS apart, true AS as_good FROM embeddings", base=False)
+def ml5_modularity(s, d):
+    """Communities of all vectors: vertices, communities in several parts, and whether modularity is that of label propagation or more."""
+    e = cut(embedding.connectivities(embedding.knn(_vectors(s, d), 10)))
+    found = cut(communities.communities(e))
+    good = communities.modularity(e, found) >= communities.modularity(e, embedding.clusters(e, 5)) - 1e-9
+    own = e
+    for c in ("src", "dst"):
+        own = own.join(found.withColumnsRenamed({"id": c, "cluster": f"c_{c}"}), c)
+    parts = communities.connected(own.filter("c_src = c_dst").select("src", "dst"), found.select("id")).join(found, "id")
+    apart = parts.groupBy("cluster").agg(F.count_distinct("part").alias("n"))
+    return found.agg(F.count("*").alias("vertices")).crossJoin(apart.agg(F.count_if(F.col("n") > 1).alias("apart"))).withColumn("as_good", F.lit(bool(good)))
+
+
 @query("SELECT page_id, substr(h, page_id % 50 + 1, 20) AS sequence FROM (SELECT page_id, repeat('ACGTTGCA', 20) AS h FROM pages)", base=False)
 def ml10_sequences(s, d):
     p = T(s, d, "pages").select("page_id", F.lit("c").alias("chrom"), (F.col("page_id") % 50).alias("start"), (F.col("page_id") % 50 + 20).alias("end"))

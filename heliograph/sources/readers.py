@@ -22,8 +22,12 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
 
 def is_hdf5(spark: SparkSession, path: str) -> bool:
     """By the first 8 bytes."""
-    got = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 8).alias("c")).take(1)
-    return bool(got) and bytes(got[0]["c"]) == HDF5_MAGIC
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(b for b in (stream.read() for _ in HDF5_MAGIC) if b >= 0) == HDF5_MAGIC
+    finally:
+        stream.close()
 
 
 def is_10x_dir(spark: SparkSession, path: str) -> bool:
@@ -134,6 +138,8 @@ def read_strings(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 def read_motif_output(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated scan results under their names here; comments and empty files are passed over."""
     raw = spark.read.csv(path, header=True, sep="\t", comment="#", schema=None)
+    if not raw.columns:
+        return spark.createDataFrame([], "sequence_id string, Motif_ID string, motif_pvalue double")
     return rename_motif_output(raw)
 
 

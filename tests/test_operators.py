@@ -56,9 +56,9 @@ def test_merge_is_idempotent_and_slack_counts(spark):
     rng = np.random.default_rng(3)
     df = spark.createDataFrame([("c", int(a), int(a + w)) for a, w in zip(rng.integers(0, 3000, 300), rng.integers(1, 30, 300))], "chrom string, start long, end long")
     for slack in (-1, 0, 1):
-        one = intervals.merge(df, slack, 100)
-        assert sorted(map(tuple, intervals.merge(one, slack, 100).collect())) == sorted(map(tuple, one.collect()))
-    n = [intervals.merge(df, s, 100).count() for s in (-1, 0, 1)]
+        one = intervals.merge(df, slack)
+        assert sorted(map(tuple, intervals.merge(one, slack).collect())) == sorted(map(tuple, one.collect()))
+    n = [intervals.merge(df, s).count() for s in (-1, 0, 1)]
     assert n[0] >= n[1] >= n[2]
 
 

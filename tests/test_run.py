@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from heliograph.operators.guards import ContractError
 from heliograph.plans import batch, run
@@ -25,10 +26,13 @@ def folder(tmp_path_factory):
         both = np.vstack([rng.poisson(rate), rng.poisson(rate)])
         shift = 20 if s == "s2" else 0  # overlapping, not equal, peaks
         names = [f"{g}\t{g}\tGene Expression" for g in genes] + [f"p{i}\tchr1:{a + shift}-{b + shift}\tPeaks" for i, (a, b) in enumerate(peaks)]
+        # cell c60 passes quality control by genes and a peak that no other cell has, so it loses all its values when features are filtered
+        names += [f"Own{i}\tOwn{i}\tGene Expression" for i in range(3)] + ["own\tchr1:100-200\tPeaks"]
+        both = np.vstack([np.hstack([both, np.zeros((28, 1), int)]), np.hstack([np.zeros((4, 60), int), [[5], [5], [5], [9]]])])
         (at / "features.tsv").write_text("\n".join(names) + "\n")
-        (at / "barcodes.tsv").write_text("\n".join(f"c{i}" for i in range(60)) + "\n")
+        (at / "barcodes.tsv").write_text("\n".join(f"c{i}" for i in range(61)) + "\n")
         f, c = np.nonzero(both)
-        (at / "matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n%\n" + f"28 60 {len(f)}\n" + "\n".join(f"{i + 1} {j + 1} {both[i, j]}" for i, j in zip(f, c)) + "\n")
+        (at / "matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n%\n" + f"32 61 {len(f)}\n" + "\n".join(f"{i + 1} {j + 1} {both[i, j]}" for i, j in zip(f, c)) + "\n")
     (d / "genes.gtf").write_text("".join(f'chr1\tx\tgene\t{2100 + 1000 * i}\t{2600 + 1000 * i}\t.\t+\t.\tgene_id "{g}"; gene_name "{g}"; gene_type "protein_coding";\nchr1\tx\ttranscript\t{2100 + 1000 * i}\t{2600 + 1000 * i}\t.\t+\t.\tgene_id "{g}"; gene_name "{g}"; gene_type "protein_coding";\n' for i, g in enumerate(genes)))
     seq = rng.choice(list("ACGT"), 20_000)
     for a, _ in peaks:
@@ -61,7 +65,9 @@ def test_end_to_end(spark, folder, monkeypatch):
     c = config(folder, annotation_response=f"{folder}/answer.json")
     assert run.run(spark, c)[0]["status"] == "ok"
     cells, member = read(out / "meta/cells.parquet"), read(out / "meta/downsampling_membership.parquet")
-    assert cells.columns[:2] == ["dataset", "cell_id"] and cells.count() == 50 == member.filter("selected").count() and member.count() == 120
+    assert cells.columns[:2] == ["dataset", "cell_id"] and cells.count() == 50 == member.filter("selected").count() and member.count() == 122  # with the cells that have no value left
+    assert {r[0] for r in read(work / "cells").select("cell").collect()} >= {"s1#c60", "s2#c60"} and read(work / "rna").filter("cell = 's1#c60'").count() == 0
+    assert read(work / "umap_atac").count() == 122 == read(work / "umap_rna").count()
     drawn = {r[0] for r in cells.select("cell_id").collect()}
     for p in ("embedding/umap_rna", "embedding/umap_atac"):
         assert read(out / f"{p}.parquet").columns == ["cell_id", "x", "y"] and {r[0] for r in read(out / f"{p}.parquet").select("cell_id").collect()} == drawn
@@ -79,12 +85,71 @@ def test_end_to_end(spark, folder, monkeypatch):
     assert sinks.read_report(spark, f"{out}/meta/downsampling.json")["exported_cells"] == 50
     assert set(payload["clusters"]) == found and payload["dataset"] == name
     assert run.run(spark, c)[0]["status"] == "skipped" and sinks.read_report(spark, f"{folder}/out/run.latest.json")[0]["detail"] == "complete"
+    stamp = (work / "peak_gene_links" / "_MANIFEST.json").stat().st_mtime_ns
+    assert run.run(spark, config(folder, annotation_response=f"{folder}/answer.json", export_max_cells=40))[0]["status"] == "ok"
+    assert read(out / "meta/cells.parquet").count() == 40 and (work / "peak_gene_links" / "_MANIFEST.json").stat().st_mtime_ns == stamp
+    # the steps after the run work on what it left
+    args = ["--backend-root", f"{folder}/out"]
+    assert batch.main(["active-fraction", *args, "--work-root", f"{folder}/work"]) == 0
+    active = read(out / "triplet_active_scores.with_active_cells.parquet")
+    assert active.count() == read(out / "triplet_active_scores.parquet").count() > 0 and {"active_cell_count", "group_total_cells"} <= set(active.columns)
+    total = {tuple(r)[:3]: r["n"] for r in read(work / "labelled").groupBy("project_id", "sample_id", "gpt_cell_type").agg(F.count("*").alias("n")).collect()}
+    assert all(r["group_total_cells"] == total[r["project_id"], r["sample_id"], r["gpt_cell_type"]] for r in active.select("project_id", "sample_id", "gpt_cell_type", "group_total_cells").distinct().collect())
+    assert batch.main(["dataset-filter", *args, "--summary", f"{folder}/summary.json", "--score-threshold", "0.0", "--count-threshold", "0"]) == 0
+    assert read(out / "triplet_active_scores.dataset_active.parquet").count() > 0
     with pytest.raises(ValueError):
         run.run(spark, c, ["other"])
     with pytest.raises(ContractError):
         run.load(spark, c, "none_Homo_sapiens", read(work / "metadata"))
 
 
+def test_stale_tables_are_made_again(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("1")
+    made = []
+
+    def stages(seed, fail=False):
+        c = batch.PipelineConfig(data_root="x", datasets=["d"], random_seed=seed)
+        s = run.Stages(spark, c, "d")
+        n = lambda name: lambda: made.append((name, seed)) or {"t": spark.createDataFrame([(name, seed)], "a string, b int")}
+        a = s("a", {"t": str(tmp_path / "a")}, n("a"), ("random_seed",), (), [str(tmp_path / "in.txt")])["t"]
+        if fail:
+            raise RuntimeError("lost")
+        b = s("b", {"t": str(tmp_path / "b")}, n("b"), (), ("a",))["t"]
+        return a.first()["b"], b.first()["b"]
+
+    assert stages(1) == (1, 1) and stages(1) == (1, 1) and made == [("a", 1), ("b", 1)]
+    with pytest.raises(RuntimeError):
+        stages(2, fail=True)
+    assert stages(2) == (2, 2)  # b, whose own settings are the same, was made from the other a
+    assert made[2:] == [("a", 2), ("b", 2)]
+    (tmp_path / "in.txt").write_text("22")
+    assert stages(2) == (2, 2) and made[4:] == [("a", 2), ("b", 2)]
+
+
+def test_answers_are_asked_again(spark):
+    from heliograph.operators import metadata
+
+    cl = spark.createDataFrame([(1, "0")], "cell int, old_cluster string")
+    good = {"old_cluster": "0", "cell_type": "T", "cell_ontology_id": "CL:0000084", "confidence": "high", "tissue_consistent": True, "reason": ""}
+    asked = []
+
+    def ask(i):
+        asked.append(i)
+        return metadata.parse_annotations(spark.createDataFrame([(json.dumps({"annotations": [good | ({} if i else {"confidence": "sure"})]}),)], "json string"))
+
+    assert metadata.annotate_with_retries(cl, ask).first()["gpt_cell_type"] == "T" and asked == [0, 1]
+
+
+def test_empty_motif_output(spark, tmp_path):
+    from heliograph.sources import readers
+
+    (tmp_path / "e.tsv").write_text("")
+    assert readers.read_motif_output(spark, str(tmp_path / "e.tsv")).count() == 0
+    (tmp_path / "x.h5").write_bytes(readers.HDF5_MAGIC + b"rest")
+    (tmp_path / "y.h5").write_bytes(b"no")
+    assert readers.is_hdf5(spark, str(tmp_path / "x.h5")) and not readers.is_hdf5(spark, str(tmp_path / "y.h5"))
+
+
 def test_publish_keeps_the_old_on_failure(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     sinks.publish(spark.range(3), path)
