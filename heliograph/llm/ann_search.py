@@ -9,6 +9,7 @@
    partial distance of a random rotation is a Beta-distributed share of the whole, so a candidate whose partial distance would be too
    large for the query's bound with probability `alpha` at most is abandoned. The bound begins at the k-th best score in the
    sample and falls as candidates are found; what is left after all columns is scored exactly on the original vectors.
+4. A query that is left with fewer than k looks again in all lists, where only certain tests count.
 
 Neighbours are lost only in lists not probed (1 - target) or by a test's error; all that is returned has its exact score.
 
@@ -32,7 +33,8 @@ from .topk_search import usable
 
 #: Vectors in the sample, candidates in a list and in a part of a list, queries that meet a part in one group.
 SAMPLE, LIST, PART, GROUP = 16_384, 512, 4_096, 8_192
-COLUMNS, BLOCK = 8, 2_048
+#: Columns read of every candidate, then of those that are left; candidates and queries that are compared at once.
+OPENING, COLUMNS, BLOCK, QUERIES = 24, 8, 2_048, 512
 
 
 def beta_quantile(a: float, b: float, p: float, steps: int = 20_000) -> float:
@@ -43,9 +45,9 @@ def beta_quantile(a: float, b: float, p: float, steps: int = 20_000) -> float:
     return float((np.searchsorted(total / total[-1], p) + 1) / steps)
 
 
-def bars(d: int, columns: int, alpha: float) -> dict[int, float]:
+def bars(d: int, alpha: float) -> dict[int, float]:
     """Columns read -> the share of a squared distance that they hold at most, but for probability alpha."""
-    return {m: beta_quantile(m / 2, (d - m) / 2, 1 - alpha) for m in range(columns, d, columns)}
+    return {m: beta_quantile(m / 2, (d - m) / 2, 1 - alpha) for m in range(min(OPENING, COLUMNS * (d // 2 // COLUMNS) or d), d, COLUMNS)}
 
 
 @dataclass
@@ -90,11 +92,11 @@ def _means(points: np.ndarray, n: int, rounds: int, rng: np.random.Generator) ->
     return c
 
 
-def fit(x: np.ndarray, ids: np.ndarray, size: float, rows: int, k: int = 20, target: float = 0.96, alpha: float = 0.003, seed: int = 0, list_rows: int = LIST) -> Index:
+def fit(x: np.ndarray, ids: np.ndarray, size: float, rows: int, k: int = 20, target: float = 0.95, alpha: float = 0.003, seed: int = 0, list_rows: int = LIST) -> Index:
     """An index for `rows` vectors, fitted on a sample x of them. size: the largest norm of all."""
     rng = np.random.default_rng(seed)
     n, d = x.shape
-    index = Index(np.zeros((1, d + 1)), np.linalg.qr(rng.standard_normal((d + 1, d + 1)))[0], bars(d + 1, COLUMNS, alpha), 1, size, x, ids)
+    index = Index(np.zeros((1, d + 1)), np.linalg.qr(rng.standard_normal((d + 1, d + 1)))[0], bars(d + 1, alpha), 1, size, x, ids)
     points = index.lift(x)
     index.centroids = _means(points, max(1, min(-(-rows // list_rows), n // 8)), 12, rng)
     # How many lists hold `target` of the nearest: by the sample's own. The whole table is denser, so its nearest lie closer.
@@ -119,58 +121,67 @@ def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 class Scan:
     """The best candidates of some queries, over blocks of candidates. bound: the score that the k-th best reaches at least."""
 
-    def __init__(self, index: Index, q: np.ndarray, bound: np.ndarray, k: int) -> None:
-        self.index, self.k, self.q, self.bound = index, k, q, bound.copy()
+    def __init__(self, index: Index, q: np.ndarray, bound: np.ndarray, k: int, bars: dict[int, float] | None = None) -> None:
+        self.index, self.k, self.q, self.bound, self.bars = index, k, q, bound.copy(), index.bars if bars is None else bars
         self.points = index.aim(q) @ index.rotation
         self.norm = np.sqrt((q**2).sum(1))
-        self.found: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[] for _ in q]
-        self.held = np.zeros(len(q), np.int64)
+        self.held: list[tuple[np.ndarray, ...]] = []  # query, score, smallest id, key
+        self.n_held = 0
         self.read = self.could = 0  # components
 
     def block(self, x: np.ndarray, first: np.ndarray, key: np.ndarray) -> None:
         """first: the smallest id of each candidate; key: what the caller calls it by."""
         r = self.index.lift(x) @ self.index.rotation
-        d = r.shape[1]
-        edges = [*self.index.bars, d]
+        for at in range(0, len(self.q), QUERIES):
+            qi, cj = self._left(r, slice(at, at + QUERIES))
+            if len(qi):
+                self.held.append((qi, exact_scores(x[cj], self.q[qi]), first[cj], key[cj]))
+                self.n_held += len(qi)
+        if self.n_held > 4 * self.k * len(self.q):
+            self._settle()
+
+    def _left(self, r: np.ndarray, some: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of some queries with candidates that no test abandons, block of columns by block of columns."""
+        p, d = self.points[some], r.shape[1]
+        edges = [*self.bars, d]
         c = edges[0]
-        opening = (self.points[:, :c] ** 2).sum(1)[:, None] + (r[:, :c] ** 2).sum(1)[None] - 2 * self.points[:, :c] @ r[:, :c].T
         # Distance 2 - 2 score / (norm * size); the room is for rounding.
-        reach = 2 - 2 * self.bound / (self.norm * self.index.size) + 1e-9
-        self.could += len(self.q) * len(x) * d
-        self.read += len(self.q) * len(x) * c
-        for i in range(len(self.q)):
-            far = opening[i]
-            left = np.flatnonzero(far <= reach[i] * self.index.bars.get(c, 1.0))
-            part = far[left]
-            for a, b in zip(edges, edges[1:]):
-                if not len(left):
-                    break
-                self.read += len(left) * (b - a)
-                part = part + ((r[left, a:b] - self.points[i, a:b]) ** 2).sum(1)
-                keep = part <= reach[i] * self.index.bars.get(b, 1.0)
-                left, part = left[keep], part[keep]
-            if len(left):
-                self._add(i, exact_scores(x[left], self.q[i]), first[left], key[left])
-
-    def _add(self, i: int, score: np.ndarray, first: np.ndarray, key: np.ndarray) -> None:
-        self.found[i].append((score, first, key))
-        self.held[i] += len(score)
-        if self.held[i] > 4 * self.k:
-            self._settle(i)
-
-    def _settle(self, i: int) -> None:
-        """Keeps the k + 1 best candidates (one may be the query's own row) and raises the bound."""
-        s, f, key = (np.concatenate(c) for c in zip(*self.found[i]))
-        o = np.lexsort((f, -s))[: self.k + 1]
-        self.found[i], self.held[i] = [(s[o], f[o], key[o])], len(o)
-        if len(o) > self.k:
-            self.bound[i] = max(self.bound[i], s[o[-1]])
-
-    def best(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for i, found in enumerate(self.found):
-            if found:
-                self._settle(i)
-                yield i, self.found[i][0][0], self.found[i][0][2]
+        reach = 2 - 2 * self.bound[some] / (self.norm[some] * self.index.size) + 1e-9
+        opening = (p[:, :c] ** 2).sum(1)[:, None] + (r[:, :c] ** 2).sum(1)[None] - 2 * p[:, :c] @ r[:, :c].T
+        qi, cj = np.nonzero(opening <= (reach * self.bars.get(c, 1.0))[:, None])
+        part = opening[qi, cj]
+        self.could += opening.size * d
+        self.read += opening.size * c
+        for a, b in zip(edges, edges[1:]):
+            if not len(qi):
+                break
+            self.read += len(qi) * (b - a)
+            step = r[cj, a:b] - p[qi, a:b]
+            part = part + np.einsum("ij,ij->i", step, step)
+            keep = part <= reach[qi] * self.bars.get(b, 1.0)
+            qi, cj, part = qi[keep], cj[keep], part[keep]
+        return qi + some.start, cj
+
+    def _settle(self) -> None:
+        """Keeps each query's k + 1 best candidates (one may be its own row) and raises the bounds."""
+        if not self.held:
+            return
+        qi, score, first, key = (np.concatenate(c) for c in zip(*self.held))
+        o = np.lexsort((first, -score, qi))
+        qi, score, first, key = qi[o], score[o], first[o], key[o]
+        begin = np.flatnonzero(np.diff(qi, prepend=-1))
+        rank = np.arange(len(qi)) - np.repeat(begin, np.diff(np.append(begin, len(qi))))
+        last = rank == self.k
+        self.bound[qi[last]] = np.maximum(self.bound[qi[last]], score[last])
+        top = rank <= self.k
+        self.held, self.n_held = [(qi[top], score[top], first[top], key[top])], int(top.sum())
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries (by their places), scores and keys of the best."""
+        self._settle()
+        if not self.held:
+            return np.empty(0, np.int64), np.empty(0), np.empty(0, object)
+        return self.held[0][0], self.held[0][1], self.held[0][3]
 
 
 def _candidates(df: DataFrame, id_col: str, vector: str, spool: Spool, keep: int) -> DataFrame:
@@ -229,7 +240,7 @@ def _sizes(candidates: DataFrame) -> tuple[int, int, float]:
     return r[0] or 0, r[1] or 0, r[2] or 0.0
 
 
-def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, target: float = 0.96, alpha: float = 0.003, list_rows: int = LIST) -> DataFrame:
+def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, target: float = 0.95, alpha: float = 0.003, list_rows: int = LIST) -> DataFrame:
     """query_id, rank, id_col, score: about the k rows of df with the largest inner products with each row of queries, best first."""
     spark = df.sparkSession
     spool = Spool(spark, "ann")
@@ -260,71 +271,87 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
 
     q = queries.filter(F.col(id_col).isNotNull() & usable(F.col(vector))).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     groups = max(1, -(-queries.count() // GROUP))
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Queries packed by the part and group that they go to, each with the score that its k-th best has at least."""
-        ix = sent.value
-        for pdf in batches:
-            x = _matrix([np.asarray(v, "<f8")[:d].tobytes() for v in pdf["v"].tolist()], d)
-            ids = pdf["id"].to_numpy(np.int64)
-            fine = (x != 0).any(1)
-            x, ids = x[fine], ids[fine]
-            if not len(ids):
-                continue
-            score = x @ ix.x.T
-            score[ids[:, None] == ix.ids[None]] = -np.inf
-            n = score.shape[1]
-            # A query's own row may hide behind a smaller id of an equal vector: one more is asked for.
-            bound = np.partition(score, n - k - 1, axis=1)[:, n - k - 1] - 1e-9 * ix.size * np.sqrt((x**2).sum(1)) if n > k else np.full(len(x), -np.inf)
-            visits = ix.lists(ix.aim(x))[:, : ix.probe]
-            group = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(groups)
-            for g in np.unique(group):
-                for to in np.unique(visits[group == g]):
-                    at = np.flatnonzero((group == g) & (visits == to).any(1))
-                    raw = (ids[at].astype("<i8").tobytes(), bound[at].astype("<f8").tobytes(), x[at].astype("<f8").tobytes())
-                    for p in range(number[to], number[to + 1]):
-                        yield pd.DataFrame({"part": [p], "group": [int(g)], "q": [raw[0]], "bound": [raw[1]], "x": [raw[2]]})
-
-    packed = q.mapInPandas(route, "part long, group int, q binary, bound binary, x binary").withColumns({"kind": F.lit(0), "ids": F.lit(None).cast("array<long>")})
     own = F.element_at(F.lit(number[:-1].tolist()), F.col("list") + 1) + F.pmod(F.xxhash64("x"), F.element_at(F.lit(parts.tolist()), F.col("list") + 1))
-    dealt = placed.select(own.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(None).cast("binary").alias("q"), F.lit(None).cast("binary").alias("bound"), "x", F.lit(1).alias("kind"), "ids")
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Per part and group: the queries, then the candidates in blocks."""
-        of, asked, it, qid, rows = None, [], None, None, []
-
-        def flush() -> None:
-            if it is not None and rows:
-                it.block(_matrix([r[0] for r in rows], d), np.array([r[1][0] for r in rows]), np.array([r[1] for r in rows] + [None], object)[:-1])
-            rows.clear()
-
-        def out() -> Iterator[pd.DataFrame]:
-            flush()
-            if it is not None:
-                for i, score, lists in it.best():
-                    yield pd.DataFrame({"query_id": qid[i], "score": score, "ids": list(lists)})
-
-        for pdf in batches:
-            for part, group, kind, q_, bound, x, ids in zip(*(pdf[c].tolist() for c in ("part", "group", "kind", "q", "bound", "x", "ids"))):
-                if of != (part, group):
-                    yield from out()
-                    of, asked, it = (part, group), [], None
-                if kind == 0:
-                    asked.append((q_, bound, x))
+    columns = ["part", "group", "kind", "q", "bound", "x", "ids"]
+    none = lambda kind: F.lit(None).cast(kind)
+
+    def look(q: DataFrame, careful: bool) -> DataFrame:
+        """query_id, id, score of what the queries find in the lists they probe.
+
+        careful: in all lists and without a bound to begin with; a candidate goes only when its partial distance alone is too large.
+        """
+
+        def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Queries packed by the part and group that they go to, each with the score that its k-th best has at least."""
+            ix = sent.value
+            for pdf in batches:
+                x = _matrix([np.asarray(v, "<f8")[:d].tobytes() for v in pdf["v"].tolist()], d)
+                ids = pdf["id"].to_numpy(np.int64)
+                fine = (x != 0).any(1)
+                x, ids = x[fine], ids[fine]
+                if not len(ids):
                     continue
-                if it is None:
-                    if not asked:  # a part that no query of the group probes
+                bound = np.full(len(x), -np.inf)
+                if not careful and len(ix.x) > k:
+                    score = x @ ix.x.T
+                    score[ids[:, None] == ix.ids[None]] = -np.inf
+                    n = score.shape[1]
+                    # A query's own row may hide behind a smaller id of an equal vector: one more is asked for.
+                    bound = np.partition(score, n - k - 1, axis=1)[:, n - k - 1] - 1e-9 * ix.size * np.sqrt((x**2).sum(1))
+                visits = ix.lists(ix.aim(x))[:, : None if careful else ix.probe]
+                group = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(groups)
+                for g in np.unique(group):
+                    for to in np.unique(visits[group == g]):
+                        at = np.flatnonzero((group == g) & (visits == to).any(1))
+                        raw = (ids[at].astype("<i8").tobytes(), bound[at].astype("<f8").tobytes(), x[at].astype("<f8").tobytes())
+                        for p in range(number[to], number[to + 1]):
+                            yield pd.DataFrame({"part": [p], "group": [int(g)], "q": [raw[0]], "bound": [raw[1]], "x": [raw[2]]})
+
+        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Per part and group: the queries, then the candidates in blocks."""
+            of, asked, it, qid, rows = None, [], None, None, []
+            bars_ = dict.fromkeys(sent.value.bars, 1.0) if careful else sent.value.bars
+
+            def flush() -> None:
+                if it is not None and rows:
+                    it.block(_matrix([r[0] for r in rows], d), np.array([r[1][0] for r in rows]), np.array([r[1] for r in rows] + [None], object)[:-1])
+                rows.clear()
+
+            def out() -> Iterator[pd.DataFrame]:
+                flush()
+                if it is not None:
+                    at, score, lists = it.best()
+                    if len(at):
+                        yield pd.DataFrame({"query_id": qid[at], "score": score, "ids": list(lists)})
+
+            for pdf in batches:
+                for part, group, kind, q_, bound, x, ids in zip(*(pdf[c].tolist() for c in ("part", "group", "kind", "q", "bound", "x", "ids"))):
+                    if of != (part, group):
+                        yield from out()
+                        of, asked, it = (part, group), [], None
+                    if kind == 0:
+                        asked.append((q_, bound, x))
                         continue
-                    qid, b, x_ = (np.frombuffer(b"".join(a[j] for a in asked), t) for j, t in ((0, "<i8"), (1, "<f8"), (2, "<f8")))
-                    it, asked = Scan(sent.value, x_.reshape(len(qid), d), b, k), [None]
-                rows.append((x, ids))
-                if len(rows) == BLOCK:
-                    flush()
-        yield from out()
-
-    columns = ["part", "group", "kind", "q", "bound", "x", "ids"]
-    both = packed.select(columns).unionByName(dealt.select(columns)).repartition("part", "group").sortWithinPartitions("part", "group", "kind")
-    found = both.mapInPandas(scan, "query_id long, score double, ids array<long>")
-    one = found.select("query_id", "score", F.explode("ids").alias("id")).filter("id <> query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
+                    if it is None:
+                        if not asked:  # a part that no query of the group probes
+                            continue
+                        qid, b, x_ = (np.frombuffer(b"".join(a[j] for a in asked), t) for j, t in ((0, "<i8"), (1, "<f8"), (2, "<f8")))
+                        it = Scan(sent.value, x_.reshape(len(qid), d), b, k, bars_)
+                    rows.append((x, ids))
+                    if len(rows) == BLOCK:
+                        flush()
+            yield from out()
+
+        packed = q.mapInPandas(route, "part long, group int, q binary, bound binary, x binary").withColumns({"kind": F.lit(0), "ids": none("array<long>")})
+        dealt = placed.select(own.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), none("binary").alias("q"), none("binary").alias("bound"), "x", F.lit(1).alias("kind"), "ids")
+        both = packed.select(columns).unionByName(dealt.select(columns)).repartition("part", "group").sortWithinPartitions("part", "group", "kind")
+        found = both.mapInPandas(scan, "query_id long, score double, ids array<long>")
+        return found.select("query_id", "score", F.explode("ids").alias("id")).filter("id <> query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
+
+    found = spool.write(look(q, False))
+    full = found.groupBy("query_id").count().filter(F.col("count") >= k)
+    short = spool.write(q.join(full, F.col("id") == F.col("query_id"), "left_anti").select("id", "v"))
+    if not short.isEmpty():  # errors of the tests can leave a query fewer than k: it looks again, without them
+        found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(look(short, True))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return one.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")

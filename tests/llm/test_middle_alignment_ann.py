@@ -200,13 +200,14 @@ def test_ann_scan_abandons(spark):
     x = rng.standard_normal((4000, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
     ids = np.arange(4000)
-    index = ann_search.fit(x, ids, 1.0, 4000, target=0.96)
+    index = ann_search.fit(x, ids, 1.0, 4000)
     q = x[:40]
     exact = np.sort(q @ x.T, axis=1)[:, -22]
     scan = ann_search.Scan(index, q, exact, 20)
     for i in range(0, 4000, 1000):
         scan.block(x[i : i + 1000], ids[i : i + 1000], ids[i : i + 1000])
-    found = [set(key[:21].tolist()) for _, _, key in scan.best()]
+    at, _, key = scan.best()
+    found = [set(key[at == i].tolist()) for i in range(40)]
     top = np.argsort(-(q @ x.T), axis=1)[:, :21]
     assert np.mean([len(f & set(t.tolist())) / 21 for f, t in zip(found, top)]) >= 0.95
     assert scan.read < 0.75 * scan.could  # components read, of all
