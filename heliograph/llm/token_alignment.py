@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers share bytes of the same texts, and how often in the corpus.
 
-1. Each text is cut by both tokenizers. Where tokens of both end at the same byte, a group ends. Every stretch between neighbouring
-   ends, of either side, lies in one token of each, so stretches and links (pairs of tokens that overlap) are the same.
+1. Each text is cut by both tokenizers. Where tokens of both end at the same byte, a group ends. What lies between neighbouring
+   ends, of either side, is part of one token of each, so such stretches and links (pairs of tokens that overlap) are the same.
    The ids go, as bytes, to a written table; its rows are dealt into parts of bounded tokens.
 2. A pair of ids is one 64-bit number. np.unique gives each part's pairs with the number of its documents that hold them.
 3. These partial counts are sorted by ranges over the cluster; equal pairs are neighbours, and a run's sum is the pair's count.
@@ -19,7 +19,6 @@ columns are ignored, whatever their names. Texts of any length are read whole.
 from __future__ import annotations
 
 import hashlib
-import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -38,13 +37,6 @@ MASK = (1 << BITS) - 1
 PART, LOT = 4_000_000, 16_000_000
 
 
-#: Where a text may be cut before it is tokenized: at a blank after a printable ASCII character, unless only blanks follow. No token of either
-#: default tokenizer has a blank after another character, and neither looks over such a place, so stretches are tokenized alone.
-STRETCH = re.compile(r"(?<=[!-~])(?= +[^ ])")
-#: Stretches remembered by a worker, and characters of one that is.
-MEMO, SHORT = 200_000, 48
-
-
 def byte_table(path: str | None = None) -> tuple[Callable[[str], list[int]], list[bytes]]:
     """(encode, bytes of each id) of the byte-level BPE; special tokens' strings are plain text."""
     import base64
@@ -65,85 +57,81 @@ def piece_table(path: str | None = None) -> tuple[Callable[[str], list[int]], li
 
 
 class Vocabulary:
-    """Bytes, lengths and decimal names of ids, and the type that holds an id."""
+    """Bytes and lengths of ids, and the type that holds an id."""
 
     def __init__(self, table: list[bytes]) -> None:
         self.bytes, self.lengths = table, np.array([len(b) for b in table], np.int64)
         self.kind = "<u2" if len(table) <= 1 << 16 else "<u4"
-        self.length, self.name = self.lengths.tolist(), list(map(str, range(len(table))))
 
     def text(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
-    def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-
-def group_text(x: list[int], y: list[int], va: Vocabulary, vb: Vocabulary) -> str:
-    """`a1,a2|b1;a3|b2,b3`: the ids of each group, in order. x, y: ids of the same bytes, one or more of each."""
-    i = j = 0
-    la, lb, na, nb = va.length, vb.length, va.name, vb.name
-    end_a, end_b, ga, gb, out = la[x[0]], lb[y[0]], [na[x[0]]], [nb[y[0]]], []
-    while True:
-        if end_a < end_b:
-            i += 1
-            end_a += la[x[i]]
-            ga.append(na[x[i]])
-        elif end_b < end_a:
-            j += 1
-            end_b += lb[y[j]]
-            gb.append(nb[y[j]])
-        else:
-            out.append(",".join(ga) + "|" + ",".join(gb))
-            i, j = i + 1, j + 1
-            if i == len(x):
-                return ";".join(out)
-            end_a, end_b, ga, gb = end_a + la[x[i]], end_b + lb[y[j]], [na[x[i]]], [nb[y[j]]]
-
-
-class Aligner:
-    """A text -> (ids of A, ids of B, both packed, text of the groups); None if a tokenizer does not give the text back.
-
-    Both tokenizers end at a stretch's end, so a text's result is its stretches' results in a row, and short ones are remembered.
-    """
 
-    def __init__(self, a: tuple, b: tuple, stretch: re.Pattern | None = STRETCH) -> None:
-        (self.encode_a, table_a), (self.encode_b, table_b) = a, b
-        self.va, self.vb, self.stretch = Vocabulary(table_a), Vocabulary(table_b), stretch
-        self.memo: dict[str, tuple[bytes, bytes, str] | None] = {}
-
-    def stretch_of(self, s: str) -> tuple[bytes, bytes, str] | None:
-        """s begins with a blank, which the second tokenizer adds itself."""
-        x, y, raw = self.encode_a(s), self.encode_b(s[1:]), s.encode()
-        if self.va.text(x) != raw or self.vb.text(y) != raw:
-            return None
-        return self.va.packed(x), self.vb.packed(y), group_text(x, y, self.va, self.vb)
-
-    def __call__(self, text: str) -> tuple[bytes, bytes, str] | None:
-        s, memo, out = " " + text, self.memo, []
-        for part in self.stretch.split(s) if self.stretch else [s]:
-            r = memo.get(part, 0)
-            if r == 0:
-                r = self.stretch_of(part)
-                if len(part) <= SHORT:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[part] = r
-            if r is None:
-                return self.stretch_of(s) if self.stretch else None  # what a part does not give back, the whole might
-            out.append(r)
-        x, y, g = zip(*out)
-        return b"".join(x), b"".join(y), ";".join(g)
+class Names:
+    """The decimal names of ids below n, each followed by a comma, a bar or a semicolon, as rows of bytes."""
 
+    def __init__(self, n: int) -> None:
+        names = np.array([b"%d%c" % (i, sign) for i in range(n) for sign in b",|;"])
+        self.width = names.dtype.itemsize
+        self.rows = names.view(np.uint8).reshape(len(names), self.width)
+        self.lengths = (self.rows != 0).sum(1)
 
-def links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs of ids, packed; byte offset at which each stretch ends) of all links, in order of bytes."""
-    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
-    ends = ends[np.flatnonzero(np.diff(ends, prepend=-1))]
-    return a[np.searchsorted(ends_a, ends)] << BITS | b[np.searchsorted(ends_b, ends)], ends
+    def text(self, tokens: np.ndarray, signs: np.ndarray) -> bytes:
+        """The names in a row; signs: 0, 1 or 2 after each."""
+        out, at = [], 3 * tokens + signs
+        for i in range(0, len(at), 1 << 20):
+            part = self.rows[at[i : i + (1 << 20)]]
+            out.append(part[part != 0].tobytes())
+        return b"".join(out)
+
+
+def aligned(x: list[np.ndarray], y: list[np.ndarray], va: Vocabulary, vb: Vocabulary, names: Names) -> tuple[np.ndarray, list[bytes]]:
+    """(number of groups, text of the groups) of each document: `a1,a2|b1;a3|b2,b3`, ids in order.
+
+    x, y: ids of the same bytes, document by document; all of them are read as one sequence, as both sides end where a document ends.
+    """
+    n = [np.array([len(d) for d in side], np.int64) for side in (x, y)]
+    if not n[0].sum():
+        return np.zeros(len(x), np.int64), [b""] * len(x)
+    a, b = (np.concatenate(side).astype(np.int64) for side in (x, y))
+    ends_a, ends_b = np.cumsum(va.lengths[a]), np.cumsum(vb.lengths[b])
+    at = np.searchsorted(ends_b, ends_a)
+    ia = np.flatnonzero(ends_b[at] == ends_a)  # the last tokens of the groups
+    ib = at[ia]
+    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    last_a[ia] = last_b[ib] = 1
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    at_a = np.arange(len(a)) + np.concatenate([[0], ib + 1])[group_a]  # after its group's earlier ones come the tokens of B
+    at_b = np.arange(len(b)) + (ia + 1)[group_b]
+    tokens, signs = np.empty(len(a) + len(b), np.int64), np.zeros(len(a) + len(b), np.int64)
+    tokens[at_a], tokens[at_b] = a, b
+    signs[at_a[ia]], signs[at_b[ib]] = 1, 2
+    text = names.text(tokens, signs)
+    stop = np.concatenate([[0], np.cumsum(names.lengths[3 * tokens + signs])])[np.cumsum(n[0] + n[1])]
+    start = np.concatenate([[0], stop[:-1]])
+    groups = np.diff(np.concatenate([[0], np.cumsum(last_a)])[np.cumsum(n[0])], prepend=0)
+    return groups, [text[s : e - 1] if e > s else b"" for s, e in zip(start.tolist(), stop.tolist())]
 
 
-def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False, stretch: re.Pattern | None = STRETCH) -> DataFrame:
+def links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs of ids, packed, of all links in order of bytes; place among them of the last link of each token of A).
+
+    Links are the stretches between the ends of either side, so a link's tokens are those whose ends are counted before its own end.
+    """
+    if not len(a):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.searchsorted(ends_b, ends_a)
+    both = ends_b[at] == ends_a
+    place = np.arange(len(a)) + at - (np.cumsum(both) - both)
+    of_a = np.zeros(len(a) + len(b) - int(both.sum()), bool)
+    of_a[place] = True
+    of_b = ~of_a
+    of_b[place[both]] = True
+    before = lambda ends: np.cumsum(ends) - ends
+    return a[before(of_a)] << BITS | b[before(of_b)], place
+
+
+def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False) -> DataFrame:
     """part, seq, doc_id (as string), n_a, n_b, n_groups, n_links, groups_sha256, a and b (ids, little-endian 16 or 32 bits), and groups if asked for.
 
     a, b: give (encode, bytes of each id). The first reads a blank and the text; the second adds the blank itself.
@@ -154,19 +142,25 @@ def encoded(docs: DataFrame, spool: Spool, a: Callable = byte_table, b: Callable
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        align_text = Aligner(a(), b(), stretch)
-        wide_a, wide_b = (np.dtype(v.kind).itemsize for v in (align_text.va, align_text.vb))
+        (encode_a, table_a), (encode_b, table_b) = a(), b()
+        va, vb, decimal = Vocabulary(table_a), Vocabulary(table_b), Names(max(len(table_a), len(table_b)))
         number, seq, held = TaskContext.get().partitionId() << 32, 0, 0
         for pdf, tx in texts(batches):
+            xs, ys = [], []
+            for t in tx:
+                x, y = (encode_a(" " + t), encode_b(t)) if t else ([], [])
+                raw = (" " + t).encode() if t else b""
+                same = va.text(x) == raw == vb.text(y)
+                xs.append(np.array(x if same else [], va.kind))
+                ys.append(np.array(y if same else [], vb.kind))
+            groups, text = aligned(xs, ys, va, vb, decimal)
             out = []
-            for doc, t in zip(pdf["doc_id"].tolist(), tx):
+            for doc, x, y, n, g in zip(pdf["doc_id"].tolist(), xs, ys, groups.tolist(), text):
                 if held > part:
                     number, held = number + 1, 0
                 seq += 1
-                x, y, g = align_text(t) or (b"", b"", "") if t else (b"", b"", "")
-                n_a, n_b, n_groups = len(x) // wide_a, len(y) // wide_b, g.count(";") + bool(g)
-                out.append((number, seq, doc, n_a, n_b, n_groups, n_a + n_b - n_groups, hashlib.sha256(g.encode()).hexdigest() if g else "", x, y, *[g] * with_groups))
-                held += n_a
+                held += len(x)
+                out.append((number, seq, doc, len(x), len(y), n, len(x) + len(y) - n, hashlib.sha256(g).hexdigest() if g else "", x.tobytes(), y.tobytes(), *[g.decode()] * with_groups))
             yield pd.DataFrame(out, columns=names)
 
     return spool.write(docs.select(id_sent("doc_id"), "text").mapInPandas(run, schema))
@@ -176,10 +170,9 @@ def _batch_links(frames: list[tuple[bytes, bytes]], va: Vocabulary, vb: Vocabula
     """(packed pairs, number of links up to the end of each document) of some documents, read as one sequence of bytes."""
     a, b = (np.frombuffer(b"".join(f[i] for f in frames), v.kind).astype(np.int64) for i, v in ((0, va), (1, vb)))
     ends_a, ends_b = np.cumsum(va.lengths[a]), np.cumsum(vb.lengths[b])
-    last = np.cumsum([len(f[0]) // np.dtype(va.kind).itemsize for f in frames])
-    stop = np.concatenate([[0], ends_a])[last]
-    keys, ends = links(a, b, ends_a, ends_b)
-    return keys, np.searchsorted(ends, stop, side="right")
+    last = np.cumsum([len(f[0]) // np.dtype(va.kind).itemsize for f in frames])  # tokens of A up to the end of each document
+    keys, place = links(a, b, ends_a, ends_b)
+    return keys, np.concatenate([[0], place + 1])[last]
 
 
 def _lots(pdf: pd.DataFrame) -> Iterator[tuple[slice, list[tuple[bytes, bytes]]]]:
@@ -285,21 +278,21 @@ class MappedShard:
             f.close()
 
 
-def pair_counts(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table, stretch: re.Pattern | None = STRETCH) -> DataFrame:
+def pair_counts(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table) -> DataFrame:
     """a_id, b_id, n_docs: every pair of ids that some document holds linked, with the number of such documents."""
     spool = Spool(docs.sparkSession, "alignment")
-    totals = run_sums(partial_counts(encoded(docs, spool, a, b, stretch=stretch), spool, a, b).repartitionByRange("key").sortWithinPartitions("key"))
+    totals = run_sums(partial_counts(encoded(docs, spool, a, b), spool, a, b).repartitionByRange("key").sortWithinPartitions("key"))
     return totals.filter("first").select(F.expr(f"CAST(shiftright(key, {BITS}) AS INT)").alias("a_id"), F.expr(f"CAST(key & {MASK} AS INT)").alias("b_id"), F.col("total").alias("n_docs"))
 
 
-def align(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False, stretch: re.Pattern | None = STRETCH) -> DataFrame:
+def align(docs: DataFrame, a: Callable = byte_table, b: Callable = piece_table, part: int = PART, with_groups: bool = False) -> DataFrame:
     """A row per row of docs: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, and groups if asked for.
 
     n_best: links whose count is the highest of their first id in the corpus; count_sum: the sum of the counts of all links.
     """
     spark = docs.sparkSession
     spool = Spool(spark, "alignment")
-    table = encoded(docs, spool, a, b, part, with_groups, stretch)
+    table = encoded(docs, spool, a, b, part, with_groups)
     partial = partial_counts(table, spool, a, b)
     totals = spool.write(run_sums(partial.repartitionByRange("key").sortWithinPartitions("key")))
     best = np.zeros(1 << BITS, np.int64)
