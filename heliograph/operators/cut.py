@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one beside the warehouse's tables where that is unset."""
+    told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    at = told or spark.sparkContext.getCheckpointDir()
+    if not at:
+        at = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_heliograph"
+        spark.sparkContext.setCheckpointDir(at)
+    return at.rstrip("/")
+
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that executors share (spark.checkpoint.dir; one beside the warehouse's tables where that is unset).
+    """A reliable checkpoint in the folder that executors share (see shared_dir).
 
     It is made from a cached copy, so that the plan runs once, and so that the size it is planned with from here on is the one it has. A
     checkpoint made of the plan itself would keep the plan's estimate, which joins multiply: in a loop its digits grow by powers.
     """
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_heliograph")
+    shared_dir(df.sparkSession)
     if df.is_cached:
         return df.checkpoint()
     df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from heliograph.functions import names, scores
 from heliograph.operators import activity, cells, communities, embedding, factor, guards, intervals, metadata, motif, neighbours, order, pseudobulk, ranks, regulatory, sampling
-from heliograph.operators.cut import cut
+from heliograph.operators.cut import cut, shared_dir
 from heliograph.plans import batch, views
-from heliograph.sources import readers
+from heliograph.sources import matrix, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,6 +97,15 @@ def sc11_fasta_contigs(s, d):
     return readers.fasta_contigs(lines)
 
 
+@query("SELECT CAST(cell AS VARCHAR) AS cell, gene, value FROM rna")
+def sc9_matrix_slice(s, d):
+    """SC1, SC9: both facts as a matrix folder, of which one modality is read back; the other is left out where entries are parsed."""
+    facts = [x.select("cell", F.col(f).cast("string").alias("feature"), F.lit(kind).alias("feature_type"), "value") for x, f, kind in ((views.rna(s, d), "gene", "Gene Expression"), (views.atac(s, d), "peak", "Peaks"))]
+    path = f"{shared_dir(s)}/matrix-{uuid.uuid4().hex}"
+    matrix.write_folder(facts[0].unionByName(facts[1]), path)
+    return matrix.read_slice(s, path, "feature_type = 'Gene Expression'").select("cell", F.col("feature").alias("gene"), "value")
+
+
 _SAMPLE = "'S' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0')"
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heliograph.sources.matrix import cell_names, numbered_lines
+
 HDF5_MAGIC = b"\x89HDF\r\n\x1a\n"
 
 
@@ -51,15 +53,15 @@ def read_mtx(spark: SparkSession, path: str) -> DataFrame:
     """cell, feature, feature_type, position, value of a 10x folder; zero entries are not stored."""
     n = names_in(spark, path)
     of = lambda k: f"{path}/{next(x for x in n if x.startswith(k))}"
-    numbered = lambda k: spark.read.text(of(k), wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("i", "line")).withColumn("i", F.col("i") + 1)
-    cells = numbered("barcodes").select(F.col("i").alias("c"), F.element_at(F.split("line", "\t"), 1).alias("cell"))
+    cells = cell_names(spark, path).withColumnRenamed("cell_number", "c")
     parts = F.split("line", "\t")
-    features = numbered("features").select(F.col("i").alias("f"), F.coalesce(F.get(parts, 1), F.get(parts, 0)).alias("feature"), F.get(parts, 2).alias("feature_type"))
+    features = numbered_lines(spark, of("features")).select(F.col("i").cast("int").alias("f"), F.coalesce(F.get(parts, 1), F.get(parts, 0)).alias("feature"), F.get(parts, 2).alias("feature_type"))
     row = F.split(F.trim("value"), r"\s+")
-    # the first line that is no comment holds the dimensions; lines are numbered as they stand in the file
-    lines = spark.read.text(of("matrix")).withColumn("line", F.monotonically_increasing_id()).filter(~F.startswith("value", F.lit("%")) & (F.size(row) == 3))
-    head = lines.agg(F.min("line")).first()[0]
-    body = lines.filter(F.col("line") != F.lit(head)).select(row[0].cast("int").alias("f"), row[1].cast("int").alias("c"), row[2].cast("double").alias("value"))
+    # the first line that is no comment holds the dimensions; lines are numbered as they stand in the file (of several parts: the first by name)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(of("matrix")).select("value", place.alias("place")).filter(~F.startswith("value", F.lit("%")) & (F.size(row) == 3))
+    head = lines.agg(F.min("place")).first()[0]
+    body = lines.filter(F.col("place.line") != F.lit(head["line"])).select(row[0].cast("int").alias("f"), row[1].cast("int").alias("c"), row[2].cast("double").alias("value"))
     return body.filter("value <> 0").join(cells, "c").join(features, "f").select("cell", "feature", "feature_type", F.col("f").alias("position"), "value")
 
 

@@ -92,15 +92,19 @@ def write_small(df: DataFrame, path: str, kind: str = "csv", sep: str = ",") ->
     one.json(path) if kind == "json" else one.csv(path, header=True, sep=sep)
 
 
-def write_report(spark: SparkSession, rows: list | dict, path: str) -> None:
+def write_text(spark: SparkSession, text: str, path: str) -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(json.dumps(rows, indent=2, default=str).encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
+def write_report(spark: SparkSession, rows: list | dict, path: str) -> None:
+    write_text(spark, json.dumps(rows, indent=2, default=str), path)
+
+
 def read_report(spark: SparkSession, path: str) -> list | dict | None:
     """What write_report wrote; None where nothing is."""
     fs, p = _fs(spark, path)
