@@ -49,6 +49,15 @@ def dataset_filter(scores: DataFrame, fraction: float = 0.10, count: int = 20) -
     return scores.join(ok, list(KEYS))
 
 
+def filter_summaries(scores: DataFrame, kept: DataFrame) -> DataFrame:
+    """dataset, source_rows, source_keys, kept_rows, kept_keys: a row for each dataset of scores; 0 where nothing was kept."""
+    def of(df: DataFrame, x: str) -> DataFrame:
+        return df.groupBy("dataset").agg(F.count("*").alias(f"{x}_rows"), F.count_distinct(F.concat_ws("\x1f", *KEYS)).alias(f"{x}_keys"))
+
+    both = of(scores, "source").join(of(kept, "kept"), "dataset", "left")
+    return both.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("kept_rows", "kept_keys")})
+
+
 def filter_summary(scores: DataFrame, kept: DataFrame) -> DataFrame:
     """One row: rows and distinct key sets before and after, and the shares kept."""
     def of(df: DataFrame, x: str) -> DataFrame:

@@ -22,6 +22,7 @@ from heliograph.operators.guards import require_columns
 from heliograph.operators.pseudobulk import GROUP
 from heliograph.operators.regulatory import Thresholds
 from heliograph.sources import readers, sinks
+from heliograph.sources.keyed import STATUS, KeyedTable, run_name
 
 LOG = logging.getLogger("heliograph")
 #: Keys of a configuration for programs and services that have no part here; they are read and passed over. Fixed values.
@@ -142,6 +143,48 @@ def active_fraction(spark: SparkSession, folder: str, output: str, work: str | N
     return None
 
 
+#: What a dataset's scores must have for the filter.
+_SCORES = ("dataset", "tf", "peak", "gene", "gpt_cell_type", "active_cell_count", "group_total_cells")
+
+
+def filter_datasets(spark: SparkSession, root: str, names: list[str], table: str, fraction: float = 0.10, count: int = 20) -> list[dict]:
+    """The dataset filter over all these datasets as one job, into one keyed table; a status row for each, in the order given.
+
+    A dataset without scores is skipped and one whose scores lack columns, or are of other datasets, has failed; neither touches what the
+    table holds of it. Only footers are read one by one.
+    """
+    rows, frames = {}, []
+    for d in names:
+        path = f"{root}/{d}/triplet_active_scores.with_active_cells.parquet"
+        try:
+            if not sinks.is_complete(spark, path):
+                rows[d] = {"status": "skipped", "detail": "no scores"}
+                continue
+            df = require_columns(spark.read.parquet(path), *_SCORES)
+            frames.append((d, df.withColumn("_folder", F.lit(d))))
+        except Exception as e:  # noqa: BLE001
+            LOG.exception("dataset %s", d)
+            rows[d] = {"status": "failed", "detail": f"{type(e).__name__}: {e}"}
+    keyed, run = KeyedTable(spark, table), run_name()
+    if frames:
+        every = frames[0][1]
+        for _, df in frames[1:]:
+            every = every.unionByName(df, allowMissingColumns=True)
+        strange = {r[0] for r in every.filter(~F.col("dataset").eqNullSafe(F.col("_folder"))).select("_folder").distinct().collect()}
+        rows |= {d: {"status": "failed", "detail": "rows of another dataset"} for d in strange}
+        scores = every.filter(~F.col("_folder").isin(sorted(strange))).drop("_folder") if strange else every.drop("_folder")
+        good = [d for d, _ in frames if d not in strange]
+        kept = activity.dataset_filter(scores, fraction, count)
+        keyed.put(kept, good)
+        there = keyed.get(kept.schema).filter(F.col("dataset").isin(good))
+        found = {r["dataset"]: r.asDict() for r in activity.filter_summaries(scores, there).collect()}  # a row a dataset
+        nothing = {k: 0 for k in ("source_rows", "kept_rows", "source_keys", "kept_keys")}
+        rows |= {d: {"status": "ok", "detail": ""} | nothing | {k: v for k, v in found.get(d, {}).items() if k != "dataset"} for d in good}
+    out = [{"dataset": d} | rows[d] | {"run": run} for d in names]
+    keyed.append(spark.createDataFrame([{k: r.get(k) for k in (f.split()[0] for f in STATUS.split(", "))} for r in out], STATUS))
+    return out
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="heliograph")
     sub = p.add_subparsers(dest="command", required=True)
@@ -157,6 +200,7 @@ def main(args: list[str] | None = None) -> int:
     f.add_argument("--score-threshold", type=float, default=0.10)
     f.add_argument("--count-threshold", type=int, default=20)
     f.add_argument("--output-name", default="triplet_active_scores.dataset_active.parquet")
+    f.add_argument("--one-table", help="one table over all datasets, partitioned by dataset, in place of a file in each folder")
     r = sub.add_parser("pipeline")
     r.add_argument("--config", required=True)
     r.add_argument("--datasets", nargs="*", help="some of the configuration's datasets")
@@ -189,7 +233,12 @@ def main(args: list[str] | None = None) -> int:
             sinks.publish(activity.dataset_filter(spark.read.parquet(path), o.score_threshold, o.count_threshold), f"{o.backend_root}/{d}/{o.output_name}")
             return None
 
-        rows = run_datasets([n for n in readers.names_in(spark, o.backend_root) if not n.endswith(".json")], one, lambda r: sinks.write_report(spark, r, o.summary))
+        names = [n for n in readers.names_in(spark, o.backend_root) if not n.endswith(".json")]
+        if o.one_table:
+            rows = filter_datasets(spark, o.backend_root, names, o.one_table, o.score_threshold, o.count_threshold)
+            sinks.write_report(spark, rows, o.summary)
+        else:
+            rows = run_datasets(names, one, lambda r: sinks.write_report(spark, r, o.summary))
     return int(any(r["status"] == "failed" for r in rows))
 
 
