@@ -305,7 +305,7 @@ SELECT a.n AS source_rows, a.k AS source_keys, b.n AS kept_rows, b.k AS kept_key
 def ag10_filter_summary(s, d):
     """AG10, AG13."""
     w = _joint(s, d).withColumn("dataset", F.lit("ds"))
-    return activity.filter_summary(w, activity.dataset_filter(w, 0.001, 2)).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
+    return activity.filter_summary(w, 0.001, 2).withColumns(r6("kept_rows_fraction", "kept_keys_fraction"))
 
 
 @query("""WITH w AS (SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN 'chr' ELSE '' END || (c_custkey * 7 % 40) AS chrom FROM customer),

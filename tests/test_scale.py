@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heliograph.operators import cells, communities, embedding, factor, intervals, neighbours, order, ranks, sampling
+from heliograph.operators import activity, cells, communities, embedding, factor, intervals, neighbours, order, ranks, sampling
 from heliograph.plans import batch
 
 
@@ -236,3 +236,42 @@ def test_workers_overlap_and_fail_alone(spark):
     assert sorted(seen) == ["a", "b", "bad", "c"] and len(told) == 4
     began = time.time()
     assert [r["status"] for r in batch.run_datasets(["a"], lambda d: "x")] == ["skipped"] and time.time() - began < 5
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_joint_detection_from_either_side(spark, dense):
+    rng = np.random.default_rng(11)
+    cells_n, trips = (60, 300) if dense else (12, 6)
+    fact = lambda f, n: {(int(c), f"{f}{x}") for c, x in zip(rng.integers(0, cells_n, n), rng.integers(0, 8, n))}
+    rna, atac = fact("g", 150), fact("p", 120)
+    trip = {(f"g{a}", f"p{b}", f"g{c}") for a, b, c in rng.integers(0, 8, (trips, 3))}
+    of = {c: ("x", f"s{c % 2}", f"t{c % 3}") for c in range(cells_n)}
+    want = {}
+    for c, key in of.items():
+        for t, p, g in trip:
+            if (c, t) in rna and (c, p) in atac and (c, g) in rna:
+                want[key, t, p, g] = want.get((key, t, p, g), 0) + 1
+    group = "project_id string, sample_id string, gpt_cell_type string"
+    table = spark.createDataFrame([(c, *k) for c, k in of.items()], f"cell long, {group}")
+    df = lambda x, f: spark.createDataFrame([(*r, 1.0) for r in x] + [(0, f"{f[0]}7", 0.0)], f"cell long, {f} string, value double")
+    got = activity.joint_counts(spark.createDataFrame(list(trip) * 2, "tf string, peak string, gene string"), df(rna, "gene"), df(atac, "peak"), table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("array_intersect" in plan) == dense
+    if dense:  # what triplets and cells multiply to is not dealt again
+        assert "hashpartitioning(tf#" not in plan and "hashpartitioning(gene#" not in plan
+        w = got.withColumn("dataset", F.lit("d"))
+        for out in (activity.dataset_filter(w, 0.01, 1), activity.filter_summary(w, 0.01, 1)):
+            assert "hashpartitioning(dataset#" not in (text := out._jdf.queryExecution().executedPlan().toString()) and "hashpartitioning(tf#" not in text
+        kept = activity.dataset_filter(w, 0.01, 1)
+        summary = activity.filter_summary(w, 0.01, 1).first()
+        assert (summary["source_rows"], summary["kept_rows"], summary["kept_keys"]) == (len(want), kept.count(), kept.select(*activity.KEYS).distinct().count())
+    assert {((r["project_id"], r["sample_id"], r["gpt_cell_type"]), r["tf"], r["peak"], r["gene"]): r["active_cell_count"] for r in got.collect()} == want
+
+
+def test_gene_activity_carries_arrays(spark):
+    a = spark.createDataFrame([(1, "p", 2.0), (1, "q", 3.0), (2, "p", 4.0), (3, None, 1.0)], "cell long, peak string, value double")
+    links = spark.createDataFrame([("p", "g"), ("p", "h"), ("q", "g"), ("q", "g"), ("q", None)], "peak string, gene string")
+    out = activity.gene_activity(a, links)
+    assert {(r["gene"], r["cell"]): r["activity"] for r in out.collect()} == {("g", 1): 8.0, ("h", 1): 2.0, ("g", 2): 4.0, ("h", 2): 4.0, (None, 1): 3.0}
+    assert "hashpartitioning(gene#" not in out._jdf.queryExecution().executedPlan().toString()
+    assert activity.gene_activity(a.limit(0), links).count() == 0 and activity.gene_activity(a, links.limit(0)).count() == 0
