@@ -84,10 +84,15 @@ def annotate(peaks: DataFrame, genes: DataFrame, bodies: DataFrame, upstream: in
     near = overlap_join(p, windows, width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("promoter").alias("peak_type"), F.lit(0).alias("_o"))
     far = nearest_join(p, genes.select("gene", "chrom", "tss"), within).select("chrom", "start", "end", "gene", "distance", F.lit("distal").alias("peak_type"), F.lit(1).alias("_o"))
     body = overlap_join(p, bodies.select("gene", "chrom", "start", "end"), width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("distal").alias("peak_type"), F.lit(2).alias("_o"))
-    every = near.unionByName(far).unionByName(body)
-    w = Window.partitionBy("chrom", "start", "end", "gene").orderBy("_o", F.abs("distance"))
-    first = F.row_number().over(w)
-    return every.withColumn("_n", first).filter("_o = 0 or _n = 1").drop("_o", "_n")
+    # promoter rows are all kept, so only the few others are dealt by (peak, gene): those without a window of their gene that meets them
+    key = ["chrom", "start", "end", "gene"]
+    w = Window.partitionBy(*key).orderBy("_o", F.abs("distance"))
+    rest = far.unionByName(body).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_o")
+    own = windows.select("chrom", "gene", F.col("start").alias("_lo"), F.col("end").alias("_hi"))
+    # null names are one name, and null ends meet nothing, as in the rows' own window
+    x, y = rest.alias("x"), own.alias("y")
+    meets = F.col("x.gene").eqNullSafe(F.col("y.gene")) & (F.col("x.chrom") == F.col("y.chrom")) & (F.col("x.start") < F.col("y._hi")) & (F.col("y._lo") < F.col("x.end"))
+    return near.drop("_o").unionByName(x.join(y, meets, "left_anti"))
 
 
 def resolve_contigs(wanted: DataFrame, contigs: DataFrame) -> DataFrame:
