@@ -15,6 +15,8 @@ BACKGROUND = 0.25
 #: Ladder of (mean, maximum) expression thresholds after the configured one. Fixed values.
 LADDER = ((0.25, 0.5), (0.25, 0.25), (0.1, 0.25))
 ENOUGH = 3
+#: Places of a sequence that are scored at once, and hits that a task holds before it hands them on.
+PLACES, HELD = 1 << 14, 10_000
 
 
 def valid_matrices(rows: DataFrame) -> DataFrame:
@@ -103,25 +105,31 @@ def scan(sequences: DataFrame, matrices: dict[str, np.ndarray], threshold: float
     for i, b in enumerate(b"ACGT"):
         code[b] = code[b + 32] = i
 
+    columns = ["peak", "motif_id", "start", "stop", "strand", "score", "motif_pvalue"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for peak, seq in zip(pdf["peak"].tolist(), pdf["sequence"].tolist()):
+            for peak, seq in zip(pdf["peak"], pdf["sequence"]):
+                if len(out) >= HELD:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
                 s = code[np.frombuffer((seq or "").encode("latin-1", "replace"), np.uint8)]
                 for m, both in tables.items():
                     width = len(both[0])
                     if len(s) < width:
                         continue
-                    at = np.lib.stride_tricks.sliding_window_view(s, width)
                     low, step, tail = tails[m]
-                    for strand, t in zip("+-", both):
-                        t5 = np.concatenate([t, np.full((width, 1), -1e9)], 1)
-                        score = t5[np.arange(width), at].sum(1)
-                        k = np.rint((score - low) / step).astype(np.int64)
-                        p = np.where(score < -1e8, 1.0, tail[np.clip(k, 0, len(tail) - 1)])
-                        for i in np.flatnonzero(p < threshold):
-                            out.append((peak, m, int(i), int(i + width), strand, float(score[i]), float(p[i])))
-            yield pd.DataFrame(out, columns=["peak", "motif_id", "start", "stop", "strand", "score", "motif_pvalue"])
+                    for first in range(0, len(s) - width + 1, PLACES):
+                        at = np.lib.stride_tricks.sliding_window_view(s[first : first + PLACES + width - 1], width)
+                        for strand, t in zip("+-", both):
+                            t5 = np.concatenate([t, np.full((width, 1), -1e9)], 1)
+                            score = t5[np.arange(width), at].sum(1)
+                            k = np.rint((score - low) / step).astype(np.int64)
+                            p = np.where(score < -1e8, 1.0, tail[np.clip(k, 0, len(tail) - 1)])
+                            for i in np.flatnonzero(p < threshold):
+                                out.append((peak, m, first + int(i), first + int(i + width), strand, float(score[i]), float(p[i])))
+            yield pd.DataFrame(out, columns=columns)
 
     return sequences.select("peak", "sequence").mapInPandas(run, "peak string, motif_id string, start long, stop long, strand string, score double, motif_pvalue double")
 

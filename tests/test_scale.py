@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heliograph.operators import activity, cells, communities, embedding, factor, intervals, neighbours, order, ranks, sampling
+from heliograph.operators import activity, cells, communities, embedding, factor, intervals, motif, neighbours, order, ranks, sampling
 from heliograph.plans import batch
 
 
@@ -275,3 +275,26 @@ def test_gene_activity_carries_arrays(spark):
     assert {(r["gene"], r["cell"]): r["activity"] for r in out.collect()} == {("g", 1): 8.0, ("h", 1): 2.0, ("g", 2): 4.0, ("h", 2): 4.0, (None, 1): 3.0}
     assert "hashpartitioning(gene#" not in out._jdf.queryExecution().executedPlan().toString()
     assert activity.gene_activity(a.limit(0), links).count() == 0 and activity.gene_activity(a, links.limit(0)).count() == 0
+
+
+def test_annotation_deals_no_promoter_rows(spark):
+    peaks = spark.createDataFrame([("c", 10, 20), ("c", 30, 35)], "chrom string, start long, end long")
+    genes = spark.createDataFrame([("g", "c", 12, "+"), ("h", "c", 40, "+"), ("h", "c", 500, "+"), (None, "c", 33, "-")], "gene string, chrom string, tss long, strand string")
+    bodies = spark.createDataFrame([("g", "c", 12, 40), ("k", "c", 11, 12), (None, "c", 30, 34)], "gene string, chrom string, start long, end long")
+    out = intervals.annotate(peaks, genes, bodies, 5, 2, 100)
+    near = {("c", 10, 20, "g", 0, "promoter"), ("c", 30, 35, None, 0, "promoter"), ("c", 30, 35, "g", 0, "distal"), ("c", 10, 20, "k", 0, "distal"), ("c", 30, 35, "h", 0, "promoter")}
+    assert {tuple(r) for r in out.collect()} == near - {("c", 30, 35, "h", 0, "promoter")}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union")  # the window is below one side only
+
+
+def test_motif_hits_across_pieces(spark, monkeypatch):
+    p = np.full((6, 4), 0.01)
+    p[np.arange(6), [0, 1, 2, 3, 0, 2]] = 0.97
+    text = "".join(np.random.default_rng(12).choice(list("ACGTN"), 3000)) + "ACGTAG"
+    seq = spark.createDataFrame([(f"p{i}", text[i:]) for i in range(3)], "peak string, sequence string")
+    want = {tuple(r) for r in motif.scan(seq, {"m": p}, 1e-2).collect()}
+    monkeypatch.setattr(motif, "PLACES", 7)
+    monkeypatch.setattr(motif, "HELD", 3)
+    got = [tuple(r) for r in motif.scan(seq, {"m": p}, 1e-2).collect()]
+    assert set(got) == want and len(got) == len(want) > 5
