@@ -26,6 +26,8 @@ FAN = 32
 MORE, ROUNDS = 10, 4
 #: Of the largest singular value: directions below it are no more than rounding.
 TINY = 1e-12
+#: Bytes of arrays that one task reads: Spark hands Python up to 10,000 rows at once, whatever their size.
+HELD = 32 << 20
 
 
 def tiles(fact: DataFrame, feature: str, cells: DataFrame, features: DataFrame) -> DataFrame:
@@ -41,7 +43,7 @@ def _dense(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, "<f8").reshape(-1, width)
 
 
-def _summed(parts: DataFrame, width: int) -> DataFrame:
+def _summed(parts: DataFrame, width: int, tasks: int) -> DataFrame:
     """block, m: the sums of a block's matrices, read one after another."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,31 +59,43 @@ def _summed(parts: DataFrame, width: int) -> DataFrame:
         if block is not None:
             yield pd.DataFrame({"block": [block], "m": [total.tobytes()]})
 
-    return cut(parts.repartition("block").sortWithinPartitions("block").mapInPandas(run, "block int, m binary"))
+    return cut(parts.repartition(tasks, "block").sortWithinPartitions("block").mapInPandas(run, "block int, m binary"))
 
 
 def product(t: DataFrame, thin: DataFrame, width: int, rows: dict[str, int], transposed: bool = False) -> DataFrame:
     """block, m: tiles times a thin matrix (block, m) of features, or the transposed tiles times one of cells.
 
-    rows: how many cells and features there are, so that the last blocks are not padded.
+    rows: how many cells and features there are, so that the last blocks are not padded, and of how many tasks each reads little. A task adds up
+    what it makes of a block before it is dealt.
     """
     left, right, size, most = ("fb", "cb", FEATURES, rows["features"]) if transposed else ("cb", "fb", CELLS, rows["cells"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made, held = {}, 0
+
+        def out() -> Iterator[pd.DataFrame]:
+            for b, x in made.items():
+                yield pd.DataFrame({"block": [b], "m": [x.tobytes()]})
+
         for pdf in batches:
-            out = []
             for block, i, j, v, m in zip(*(pdf[c].tolist() for c in (left, "i", "j", "v", "m"))):
                 m, v = _dense(m, width), np.asarray(v)
                 to, of = (j, i) if transposed else (i, j)
                 o = np.argsort(to, kind="stable")
                 to, terms = np.asarray(to)[o], m[np.asarray(of)[o]] * v[o, None]
                 first = np.flatnonzero(np.diff(to, prepend=-1))
-                total = np.zeros((min(size, most - block * size), width))
-                total[to[first]] = np.add.reduceat(terms, first, axis=0)
-                out.append((block, total.tobytes()))
-            yield pd.DataFrame(out, columns=["block", "m"])
+                if block not in made:
+                    if held > HELD:
+                        yield from out()
+                        made, held = {}, 0
+                    made[block] = np.zeros((min(size, most - block * size), width))
+                    held += made[block].nbytes
+                made[block][to[first]] += np.add.reduceat(terms, first, axis=0)
+        yield from out()
 
-    return _summed(t.join(thin.withColumnRenamed("block", right), right).select(left, "i", "j", "v", "m").mapInPandas(run, "block int, m binary"), width)
+    if transposed:  # a tile and a block of cells are one row; the features' blocks are few, so they would not spread tiles
+        t = t.repartition(rows["tasks"], right)
+    return _summed(t.join(thin.withColumnRenamed("block", right), right).select(left, "i", "j", "v", "m").mapInPandas(run, "block int, m binary"), width, rows["tasks"])
 
 
 def _triangle(thin: DataFrame, width: int, blocks: int) -> np.ndarray:
@@ -162,7 +176,9 @@ def svd(fact: DataFrame, feature: str, k: int = 50, seed: int = 0, rounds: int =
     if min(k, least) < 2:
         raise ValueError("an embedding needs two dimensions or more")
     k, width = min(k, least), min(k + MORE, least)
-    t = cut(tiles(fact, feature, cells, features))
+    bytes_ = 16 * fact.count() + 8 * width * (rows["cells"] + rows["features"])
+    rows["tasks"] = max(-(-bytes_ // HELD), min(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-bytes_ // (1 << 20))))
+    t = cut(tiles(fact, feature, cells, features).repartition(rows["tasks"], "cb", "fb"))
     cb, fb = -(-rows["cells"] // CELLS), -(-rows["features"] // FEATURES)
     steps = 0 if width == least else rounds  # as many columns as the matrix can fill span all of it at once
     basis, w = orthonormal(product(t, _start(features, rows["features"], width, seed), width, rows), width, cb, 1 if steps else 2)

@@ -298,3 +298,12 @@ def test_motif_hits_across_pieces(spark, monkeypatch):
     monkeypatch.setattr(motif, "HELD", 3)
     got = [tuple(r) for r in motif.scan(seq, {"m": p}, 1e-2).collect()]
     assert set(got) == want and len(got) == len(want) > 5
+
+
+def test_svd_tasks_hold_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(factor, "HELD", 2000)
+    monkeypatch.setattr(factor, "CELLS", 8)
+    few = spark.createDataFrame([(c, f, float(c * f % 5 + (c == f))) for c in range(1, 41) for f in range(1, 4)], "cell long, f long, value double").filter("value <> 0")
+    x = {r["cell"]: r["x"] for r in factor.truncated_svd(few, "f", 3).collect()}
+    for c in x:  # of full rank: lengths are kept
+        assert abs(sum(v * v for v in x[c]) - sum((c * f % 5 + (c == f)) ** 2 for f in range(1, 4))) < 1e-6
