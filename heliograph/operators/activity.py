@@ -7,20 +7,12 @@ from pyspark.sql import functions as F
 
 from heliograph.operators.cut import cut
 from heliograph.operators.guards import many_to_one
+from heliograph.operators.order import tasks
 from heliograph.operators.pseudobulk import GROUP
 
 KEYS = ("dataset", "tf", "peak", "gene", "gpt_cell_type")
 
 
-#: Rows that one task makes of a table which a join multiplies: they stay in memory.
-ROWS = 1_000_000
-
-
-def _parts(df: DataFrame, rows: int | None) -> int:
-    """Partitions for so many rows, and no fewer than the session's."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // ROWS))
-
-
 def gene_activity(atac: DataFrame, links: DataFrame) -> DataFrame:
     """gene, cell, activity: accessibility summed over all links of a gene.
 
@@ -30,7 +22,7 @@ def gene_activity(atac: DataFrame, links: DataFrame) -> DataFrame:
     genes = links.filter("peak is not null").groupBy("peak").agg(F.collect_list(F.struct("gene")).alias("genes"))
     many = genes.agg(F.avg(F.size("genes"))).first()[0]
     rows = atac.count()
-    x = atac.join(genes, "peak").select("cell", "value", "genes").repartition(_parts(atac, int(rows * (many or 0))), "cell")
+    x = atac.join(genes, "peak").select("cell", "value", "genes").repartition(tasks(atac, int(rows * (many or 0))), "cell")
     return x.select("cell", "value", F.explode("genes").alias("g")).select("cell", "value", "g.gene").groupBy("gene", "cell").agg(F.sum("value").alias("activity"))
 
 
@@ -68,7 +60,7 @@ def joint_counts(trip: DataFrame, rna: DataFrame, atac: DataFrame, cells: DataFr
     carried, pairs = each.agg(F.sum(p * g), F.sum(p * g * g)).first()
     of_peak = of.select("peak", F.size(F.flatten(F.map_values("of"))).alias("triplets"))
     begun = each.select(F.explode("peaks").alias("peak")).groupBy("peak").count().join(of_peak, "peak").agg(F.sum(F.col("count") * F.col("triplets"))).first()[0]
-    met = _by_cells(each, of, _parts(of, pairs)) if (carried or 0) < (begun or 0) else _by_triplets(each, of)
+    met = _by_cells(each, of, tasks(of, pairs)) if (carried or 0) < (begun or 0) else _by_triplets(each, of)
     counted = met.groupBy("tf", "peak", "gene", "_group").agg(F.count("*").alias("active_cell_count"))
     out = counted.join(F.broadcast(groups), "_group").select(*GROUP, "tf", "peak", "gene", "active_cell_count", "group_total_cells")
     return out.withColumn("active_cell_fraction", F.col("active_cell_count") / F.col("group_total_cells"))

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.scores import promoter, signed_distance
-from heliograph.operators.order import ranged, scanned
+from heliograph.operators import order as orders
+from heliograph.operators.cut import cut
+from heliograph.operators.order import ranged, scanned, tasks
 
 #: Bases in a piece of a contig.
 CHUNK = 1 << 16
@@ -34,11 +36,34 @@ def _binned(df: DataFrame, width: int) -> DataFrame:
     return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(last / width))))
 
 
+def _dealt(x: DataFrame, y: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """x and y dealt by bins, in as many tasks as their pairs ask for, and the key on which they meet.
+
+    Intervals are few bytes and their pairs many rows, so the number of tasks must not follow the bytes. A bin of more pairs than a task should make is
+    sliced: a row of its larger side lies in one slice, a row of the other in each.
+    """
+    key = ["chrom", "_bin"]
+    n, m = (df.groupBy(*key).agg(F.count("*").alias(c)) for df, c in ((x, "_x"), (y, "_y")))
+    met = cut(n.join(m, key).withColumn("_pairs", F.col("_x") * F.col("_y")))
+    parts = tasks(x, met.agg(F.sum("_pairs")).first()[0])
+    wide = met.filter(F.col("_pairs") > orders.ROWS).select(*key, F.ceil(F.col("_pairs") / orders.ROWS).cast("int").alias("_slices"), (F.col("_x") >= F.col("_y")).alias("_of_x"))
+    if not wide.isEmpty():
+
+        def sliced(df: DataFrame, own: Column) -> DataFrame:
+            one = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_slices").cast("long")).cast("int")
+            each = F.when(F.col("_slices").isNull(), F.array(F.lit(0))).when(own, F.array(one)).otherwise(F.sequence(F.lit(0), F.col("_slices") - 1))
+            return df.join(F.broadcast(wide), key, "left").withColumn("_slice", F.explode(each)).drop("_slices", "_of_x")
+
+        x, y, key = sliced(x, F.col("_of_x")), sliced(y, ~F.col("_of_x")), [*key, "_slice"]
+    return x.repartition(parts, *key), y.repartition(parts, *key), key
+
+
 def overlap_join(a: DataFrame, b: DataFrame, width: int = 10_000) -> DataFrame:
     """Pairs of rows that share a position. b's chrom, start and end come as b_start, b_end."""
     x = _binned(a, width)
     y = _binned(b.withColumnsRenamed({"start": "b_start", "end": "b_end"}).withColumns({"start": F.col("b_start"), "end": F.col("b_end")}), width).drop("start", "end")
-    j = x.join(y, ["chrom", "_bin"]).filter((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
+    x, y, key = _dealt(x, y)
+    j = x.join(y, key).drop("_slice").filter((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
     return j.filter(F.col("_bin") == F.floor(F.greatest("start", "b_start") / width)).drop("_bin")
 
 

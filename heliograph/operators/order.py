@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 from heliograph.operators.cut import cut
 
+#: Rows that one task makes of a table which a join multiplies: they stay in memory.
+ROWS = 1_000_000
+
+
+def tasks(df: DataFrame, rows: int | None) -> int:
+    """Partitions for so many rows, and no fewer than the session's."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // ROWS))
+
 
 def beside(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     """a with b's other columns, by null-safe equality."""

@@ -54,6 +54,21 @@ def test_nearest_meets_two_points_a_peak(spark):
     assert intervals.nearest_join(p, many, 200_000).count() == len({x for x in peaks if x[0] == "c"})
 
 
+@pytest.mark.parametrize("many", ["a", "b"])
+def test_overlaps_are_dealt_by_their_pairs(spark, monkeypatch, many):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(order, "ROWS", 50)
+    made = lambda n, at: [(i, "c" if i % 9 else "d", int(s), int(s + w)) for i, (s, w) in enumerate(zip(rng.integers(0, at, n), rng.integers(1, 20, n)))]
+    a, b = made(200 if many == "a" else 40, 60), made(40 if many == "a" else 200, 60)
+    df = lambda rows, i: spark.createDataFrame(rows, f"{i} long, chrom string, start long, end long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")  # as users have it: tables of few bytes come to one task
+    out = intervals.overlap_join(df(a, "i"), df(b, "j"), 30).select("i", "j")
+    want = sorted((i, j) for i, c, s, e in a for j, d, f, g in b if c == d and s < g and f < e)
+    assert sorted(map(tuple, out.collect())) == want
+    rows = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert out.rdd.getNumPartitions() >= len(want) / 50 and max(rows) < len(want) / 4
+
+
 def test_merge_against_a_loop(spark):
     rng = np.random.default_rng(3)
     rows = [("c" if i % 4 else "d", int(a), int(a + w)) for i, (a, w) in enumerate(zip(rng.integers(0, 4000, 500), rng.integers(1, 40, 500)))] + [("c", 0, 4100)] * 2
