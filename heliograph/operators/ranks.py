@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.functions.stats import normal_two_sided, t_two_sided
+from heliograph.operators.cut import cut
 from heliograph.operators.order import beside, ranged
 
 
@@ -31,6 +32,25 @@ def sparse_ranks(means: DataFrame, feature: str, n_groups: int) -> tuple[DataFra
     return ranks.drop("c"), stats
 
 
+def listed(df: DataFrame, feature: str, at: DataFrame, **columns: str) -> DataFrame:
+    """feature, and for each name=column an array of {i, v}: the feature's values with the numbers i that `at` (group_id, i: few rows) gives their groups, by i."""
+    x = df.join(F.broadcast(at), "group_id").groupBy(feature)
+    return x.agg(*[F.sort_array(F.collect_list(F.struct("i", F.col(c).alias("v")))).alias(n) for n, c in columns.items()])
+
+
+def placed(x: str) -> Column:
+    """An array of listed() with the value of i at place i (from 1), null where there is none; it ends with its last value."""
+    a = F.col(x)
+    none = F.lit(None).cast("double")
+    gap = lambda e, k: F.array_repeat(none, (e["i"] - F.coalesce(F.get(a, k - 1)["i"], F.lit(0)) - 1).cast("int"))
+    return F.flatten(F.transform(a, lambda e, k: F.concat(gap(e, k), F.array(e["v"]))))
+
+
+def group_numbers(ids: DataFrame) -> DataFrame:
+    """group_id, i: groups numbered from 1 on; groups are few rows."""
+    return cut(ids.select("group_id").distinct().withColumn("i", F.row_number().over(Window.partitionBy().orderBy("group_id"))))
+
+
 def spearman(pairs: DataFrame, x: DataFrame, y: DataFrame, fx: str, fy: str, n_groups: int) -> DataFrame:
     """pairs with rho: Spearman over all groups, by a sparse equi-join on group; null where a side is constant.
 

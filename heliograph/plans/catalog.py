@@ -624,8 +624,12 @@ def fn12_marker_payload(s, d):
 # ---- regulatory chain, embedding, motif scan
 
 
-def _links(s, d):
-    return regulatory.peak_gene_links(views.rna(s, d), views.atac(s, d), views.cells(s, d), views.links(s, d), LOOSE)
+def _links(s, d, means=None):
+    return regulatory.peak_gene_links(views.rna(s, d), views.atac(s, d), views.cells(s, d), views.links(s, d), LOOSE, means=means)
+
+
+def _means(s, d):
+    return regulatory.means_of(views.rna(s, d), views.atac(s, d), views.cells(s, d), LOOSE)
 
 
 _LINKS_SQL = _DENSE + _TAIL + """, bh AS (SELECT *, pvalue * count(pvalue) OVER () / row_number() OVER (ORDER BY pvalue, peak, gene) AS x FROM pv),
@@ -645,7 +649,8 @@ def pf6_selected_links(s, d):
 @query(f"WITH {_TRIPLETS_SQL} SELECT tf, peak, gene, round(spearman, 6) AS spearman, motif_pvalue, round(tf_gene_spearman, 6) AS tf_gene_spearman, 'activating' AS regulation_direction FROM tr")
 def ml13_triplets(s, d):
     """ML13, JN3, JN4, PF7, PF9, PJ3."""
-    out = regulatory.triplets(_links(s, d), views.hits(s, d), views.rna(s, d), views.cells(s, d), regulatory.Thresholds(**{**LOOSE.__dict__, "tf_gene_r": 1e-12}))
+    m = _means(s, d)
+    out = regulatory.triplets(_links(s, d, m), views.hits(s, d), views.rna(s, d), views.cells(s, d), regulatory.Thresholds(**{**LOOSE.__dict__, "tf_gene_r": 1e-12}), means=m)
     return out.select("tf", "peak", "gene", F.round("spearman", 6).alias("spearman"), "motif_pvalue", F.round("tf_gene_spearman", 6).alias("tf_gene_spearman"), "regulation_direction")
 
 
@@ -656,8 +661,9 @@ def ml12_active_scores(s, d):
     """ML12, JN16, WN9, FN4, FN5: scores of the top of the chain, links to triplets to scores."""
     c, r, a = views.cells(s, d), views.rna(s, d), views.atac(s, d)
     t = regulatory.Thresholds(**{**LOOSE.__dict__, "tf_gene_r": 1e-12})
-    trip = regulatory.triplets(_links(s, d), views.hits(s, d), r, c, t)
-    out = regulatory.active_scores(trip, r, a, c, "ds", t)
+    m = _means(s, d)
+    trip = regulatory.triplets(_links(s, d, m), views.hits(s, d), r, c, t, means=m)
+    out = regulatory.active_scores(trip, r, a, c, "ds", t, means=m)
     return out.select("tf", "peak", "gene", "project_id", "sample_id", "gpt_cell_type", F.round("active_score", 5).alias("active_score"), F.round("weighted_active_score", 5).alias("weighted_active_score"))
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heliograph.operators import activity, cells, communities, embedding, factor, intervals, motif, neighbours, order, ranks, sampling
+from heliograph.operators import activity, cells, communities, embedding, factor, intervals, motif, neighbours, order, ranks, regulatory, sampling
 from heliograph.plans import batch
 
 
@@ -69,6 +69,38 @@ def test_overlaps_are_dealt_by_their_pairs(spark, monkeypatch, many):
     assert out.rdd.getNumPartitions() >= len(want) / 50 and max(rows) < len(want) / 4
 
 
+def test_scores_of_shared_means_are_dealt_by_their_rows(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    monkeypatch.setattr(order, "ROWS", 40)
+    c = spark.createDataFrame([(i, "p", f"s{i % 5}", "t") for i in range(100)], "cell long, project_id string, sample_id string, gpt_cell_type string")
+    fact = lambda f, n: spark.createDataFrame([(i, f"{f[0]}{j}", float(rng.integers(1, 9))) for i in range(100) for j in range(n) if rng.random() < 0.06], f"cell long, {f} string, value double")
+    r, a = fact("gene", 6).localCheckpoint(), fact("peak", 8).localCheckpoint()
+    rows = [(f"g{k % 5}", f"p{k % 8}", f"g{k % 6}", 0.5, 0.01, 0.5, 1e-6) for k in range(60)] + [("none", "p0", "g1", 0.5, 0.01, 0.5, 1e-6)]
+    trip = spark.createDataFrame(rows, "tf string, peak string, gene string, spearman double, qvalue_bh double, tf_gene_spearman double, motif_pvalue double")
+    m = regulatory.means_of(r, a, c)
+    assert m.mode == "biological" and m.n == 5
+    out = regulatory.active_scores(trip, r, a, c, means=m)
+    got = out.collect()
+    mean = {(f, x[f], x["group_id"]): x["value"] for f, d in (("gene", m.gene), ("peak", m.peak)) for x in d.collect()}
+    share = {}
+    for f, k, g in mean:
+        v = [mean.get((f, k, f"p\x1fs{i}\x1ft\x1f0"), 0.0) for i in range(5)]
+        share[f, k, g] = (sum(x < mean[f, k, g] for x in v) + (sum(x == mean[f, k, g] for x in v) + 1) / 2) / 5
+    assert len(got) == 5 * len(rows)
+    for x in got:
+        g = f"p\x1f{x['sample_id']}\x1ft\x1f0"
+        at = [("gene", x["tf"], g), ("peak", x["peak"], g), ("gene", x["gene"], g)]
+        assert [x["tf_pseudobulk_mean"], x["peak_pseudobulk_mean"], x["gene_pseudobulk_mean"]] == pytest.approx([mean.get(k, 0.0) for k in at])
+        assert x["active_score"] == pytest.approx(np.prod([share.get(k, 0.0) for k in at]) ** (1 / 3))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(group_id" not in plan and out.rdd.getNumPartitions() >= len(got) / 40
+    key = lambda x: tuple(map(str, x))
+    assert sorted(got, key=key) == sorted(regulatory.active_scores(trip, r, a, c).collect(), key=key)
+    pairs = spark.createDataFrame([(f"p{i}", f"g{j}") for i in range(8) for j in range(6)], "peak string, gene string")
+    links = [regulatory.peak_gene_links(r, a, c, pairs, means=x).collect() for x in (None, m)]
+    assert sorted(links[0], key=key) == sorted(links[1], key=key) and len(links[0]) == 48
+
+
 def test_merge_against_a_loop(spark):
     rng = np.random.default_rng(3)
     rows = [("c" if i % 4 else "d", int(a), int(a + w)) for i, (a, w) in enumerate(zip(rng.integers(0, 4000, 500), rng.integers(1, 40, 500)))] + [("c", 0, 4100)] * 2
