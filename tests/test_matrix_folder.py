@@ -93,3 +93,17 @@ def test_written_folders_are_read_back(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.read_mtx(spark, path).drop("position").collect()) == sorted(rows)
     lines = matrix.numbered_lines(spark, f"{path}/barcodes.tsv").orderBy("i").collect()
     assert [r["i"] for r in lines] == list(range(1, 71)) and [r["line"] for r in lines] == sorted(r["line"] for r in lines)
+
+
+def test_the_writers_tasks_take_few_bytes(spark, tmp_path, monkeypatch):
+    from heliograph.operators import cut
+
+    key, seen, real = "spark.sql.adaptive.advisoryPartitionSizeInBytes", [], cut.cut
+    before = spark.conf.get(key)
+    monkeypatch.setattr(cut, "cut", lambda df: seen.append(spark.conf.get(key)) or real(df))
+    fact = spark.createDataFrame([("c", "f", "Peaks", 1.0)], "cell string, feature string, feature_type string, value double")
+    matrix.write_folder(fact, str(tmp_path / "w"))
+    assert set(seen) == {str(16 << 20)} and spark.conf.get(key) == before
+    with pytest.raises(Exception):
+        matrix.write_folder(fact.drop("value"), str(tmp_path / "v"))
+    assert spark.conf.get(key) == before
