@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliograph.llm import chat_format, components, decontaminate, language_id, line_dedup, minhash_dedup, packing, quality, secrets, suffix_dedup, topk_search
-from heliograph.llm.common import maybe_in
+from heliograph.llm.common import Spool, maybe_in
 
 RNG = np.random.default_rng(5)
 VOCAB = [f"w{i}" for i in range(400)]
@@ -245,6 +245,29 @@ def test_line_dedup(spark):
     assert got[3]["text"].split("\n")[0] == "" and line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_sides(spark):
+    """Lines offer fewer tokens than they look for, and all similar pairs of any sizes are met, whichever line is the earlier."""
+    rng, texts = np.random.default_rng(6), []
+    prose = lambda n: " ".join(rng.choice(VOCAB, n))
+    for n in (3, 4, 7, 15, 24, 31, 33, 60, 97, 126, 130, 200):
+        base = list(dict.fromkeys(prose(6 * n).split()))[:n]
+        some = [base[: max(1, n - k)] for k in (0, n // 8, n // 4, n // 3)] + [base + prose(max(1, n // k)).split() for k in (3, 5, 9)] + [base[n // 9 :] + prose(max(1, n // 9)).split()]
+        texts += some if n % 2 else some[::-1]
+    sets = [frozenset(t) for t in texts]
+    df = spark.createDataFrame([(i, 0, " ".join(t)) for i, t in enumerate(texts)], "_id long, _seat long, text string")
+    spool = Spool(spark, "test-lines")
+    for percent in (60, 75, 90):
+        lines = line_dedup._tokens(df, percent, spool).withColumn("open", F.lit(1))
+        every, offered = line_dedup._sides(lines, percent)
+        assert offered.count() < 0.8 * every.count()
+        met = {(r["a_id"], r["b_id"]) for r in line_dedup._sharing(every, offered, percent).collect()}
+        near = {(i, j) for j in range(len(sets)) for i in range(j) if 0 < len(sets[i] & sets[j]) and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+        assert near and near <= met and all(i < j for i, j in met)
+        gone = {r["_id"] for r in line_dedup.removed_lines(df, percent, spool).collect()}
+        assert gone == {j for _, j in near}
+    spool.close()
+
+
 def test_line_dedup_repeated_ids(spark):
     dup = "this line is a dup of another one"
     long_text = "\n".join(f"w{i} w{i + 1} w{i + 2} w{i + 3}" for i in range(0, 20_000, 4)) + "\r\n" + "z" * 300_000
