@@ -5,7 +5,7 @@ its hash below, so sorting puts rare tokens first. Rarity counts cover all docum
 Two lines with Jaccard >= t share a token among the first size - ceil(t*size) + 1 of each (prefix filter), at positions
 that leave room for the overlap they need (positional filter), and t*size <= other size <= size/t (length filter).
 Of two lines the one with no more tokens needs only its first size - ceil(2t*size/(1+t)) + 1 tokens for that, so only these are
-offered to the others. A parity sketch (each token flips one of 64 bits, of 128 in lines of MID tokens or more, of 256 from WIDE on)
+offered to the others. A parity sketch (each token flips one of 128 bits, of 256 in lines of WIDE tokens or more)
 bounds the symmetric difference from below and drops nearly all other pairs within the join. What is left is verified on the tokens.
 
 A line goes if an earlier line matches it, judged on the input. Lines with the same tokens are one class: all but the first
@@ -30,8 +30,8 @@ from .common import Spool, maybe_in, shares
 PERCENT = 75
 #: Buckets of token hashes in which rarity is counted, and the part of a key that is hash (the rest is the rarity class).
 RARITY, HASH = 1 << 18, (1 << 56) - 1
-#: Tokens from which a line's sketch has 128 and 256 bits.
-MID, WIDE = 32, 128
+#: Tokens from which a line's sketch has 256 bits.
+WIDE = 64
 LINE = ["_id", "_seat", "line"]
 SKETCH = ["y0", "y1", "y2", "y3"]
 
@@ -81,9 +81,8 @@ def _tokens(rows: DataFrame, percent: int, spool: Spool) -> DataFrame:
     keys = _lines(rows).withColumn("m", rarity.scalar())
     keys = keys.select(*LINE, F.expr(f"sort_array(transform({_TOKENS}, h -> m[h & {RARITY - 1}L] | (h & {HASH}L)))").alias("t")).withColumn("n", F.size("t"))
     prefix = f"transform(slice(t, 1, greatest(0, n - CAST(ceil(n * {percent} / 100) AS INT) + 1)), x -> CAST((x & 4294967295L) - 2147483648L AS INT))"
-    word = lambda of: f"aggregate({of}, 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
-    part = lambda mask, i: word(f"filter(t, x -> (x & {mask}L) = {64 * i}L)")
-    words = [f"CASE WHEN n < {MID} THEN {word('t') if i == 0 else '0L'} WHEN n < {WIDE} THEN {part(64, i) if i < 2 else '0L'} ELSE {part(192, i)} END" for i in range(4)]
+    word = "aggregate(filter(t, x -> (x & {}L) = {}L), 0L, (a, x) -> a ^ shiftleft(1L, CAST(x & 63L AS INT)))"
+    words = [f"IF(n < {WIDE}, {word.format(64, 64 * i) if i < 2 else '0L'}, {word.format(192, 64 * i)})" for i in range(4)]
     wide = keys.select(*LINE, "n", F.expr("xxhash64(t)").alias("k1"), F.expr("hash(t)").alias("k2"), F.expr(prefix).alias("p"), *[F.expr(x).alias(y) for x, y in zip(words, SKETCH, strict=True)])
     # q: of the pairs of neighbouring prefix tokens the four of least hash
     least = "IF(size(p) > 1, slice(sort_array(transform(sequence(0, greatest(0, size(p) - 2)), i -> xxhash64(p[i], p[i + 1]))), 1, 4), CAST(array() AS ARRAY<BIGINT>))"
@@ -96,11 +95,10 @@ _BEFORE = "(a._id < b._id OR (a._id = b._id AND (a._seat < b._seat OR (a._seat =
 
 def _close(an: str, bn: str, percent: int) -> str:
     """SQL: whether sizes and sketches of a and b leave them the similarity."""
-    x = [f"a.{y} ^ b.{y}" for y in SKETCH]
-    wide = " + ".join(f"bit_count({w})" for w in x)
-    mid, narrow = f"bit_count({x[0]} ^ {x[2]}) + bit_count({x[1]} ^ {x[3]})", f"bit_count({' ^ '.join(x)})"
+    wide = " + ".join(f"bit_count(a.{y} ^ b.{y})" for y in SKETCH)
+    narrow = "bit_count(a.y0 ^ a.y2 ^ b.y0 ^ b.y2) + bit_count(a.y1 ^ a.y3 ^ b.y1 ^ b.y3)"
     return f"""{an} * 100 >= {bn} * {percent} AND {bn} * 100 >= {an} * {percent}
-      AND CASE WHEN least({an}, {bn}) < {MID} THEN {narrow} WHEN least({an}, {bn}) < {WIDE} THEN {mid} ELSE {wide} END * {100 + percent} <= ({an} + {bn}) * {100 - percent}"""
+      AND IF(least({an}, {bn}) >= {WIDE}, {wide}, {narrow}) * {100 + percent} <= ({an} + {bn}) * {100 - percent}"""
 
 
 _PAIR = [f"{side}.{x} AS {side}{x}" for side in "ab" for x in LINE]
