@@ -103,21 +103,38 @@ def annotate(peaks: DataFrame, genes: DataFrame, bodies: DataFrame, upstream: in
     genes: gene, chrom, tss, strand. bodies: gene, chrom, start, end. A (peak, gene) is taken with its best type; promoter rows
     are all kept.
     """
-    p = peaks.select("chrom", "start", "end").distinct()
+    p = cut(peaks.select("chrom", "start", "end").distinct())
     lo, hi = promoter(F.col("tss"), F.col("strand"), upstream, downstream)
     windows = genes.select("gene", "chrom", "tss", lo.alias("start"), hi.alias("end")).filter("start < end")
-    near = overlap_join(p, windows, width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("promoter").alias("peak_type"), F.lit(0).alias("_o"))
-    far = nearest_join(p, genes.select("gene", "chrom", "tss"), within).select("chrom", "start", "end", "gene", "distance", F.lit("distal").alias("peak_type"), F.lit(1).alias("_o"))
-    body = overlap_join(p, bodies.select("gene", "chrom", "start", "end"), width).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), F.lit("distal").alias("peak_type"), F.lit(2).alias("_o"))
-    # promoter rows are all kept, so only the few others are dealt by (peak, gene): those without a window of their gene that meets them
-    key = ["chrom", "start", "end", "gene"]
-    w = Window.partitionBy(*key).orderBy("_o", F.abs("distance"))
-    rest = far.unionByName(body).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_o")
-    own = windows.select("chrom", "gene", F.col("start").alias("_lo"), F.col("end").alias("_hi"))
-    # null names are one name, and null ends meet nothing, as in the rows' own window
-    x, y = rest.alias("x"), own.alias("y")
+    far = cut(nearest_join(p, genes.select("gene", "chrom", "tss"), within).select("chrom", "start", "end", "gene", "distance"))
+    # a peak takes its nearest gene along, and the body of a gene with one body and one window at most takes that window along, so that both are told
+    # within the pair, and promoters and bodies are met at once: no row of them is dealt. Null names are one name
+    told = p.join(far.select("chrom", "start", "end", F.col("gene").alias("_near"), F.lit(True).alias("_told")), ["chrom", "start", "end"], "left")
+    nearest = F.coalesce("_told", F.lit(False)) & F.col("gene").eqNullSafe(F.col("_near"))
+    own = cut(_with_windows(bodies.filter("chrom is not null"), windows))
+    single = (F.col("_bodies") == 1) & (F.coalesce("_windows", F.lit(1)) == 1)
+    w = windows.select("chrom", "start", "end", "gene", F.lit(True).alias("_window"))
+    both = w.unionByName(own.filter(single).select("chrom", "start", "end", "gene", F.lit(False).alias("_window"), "_lo", "_hi"), allowMissingColumns=True)
+    mine = F.coalesce((F.col("start") < F.col("_hi")) & (F.col("_lo") < F.col("end")), F.lit(False))
+    kind = F.when(F.col("_window"), "promoter").otherwise("distal").alias("peak_type")
+    met = overlap_join(told, both, width).filter(F.col("_window") | ~(nearest | mine)).select("chrom", "start", "end", "gene", F.lit(0).cast("long").alias("distance"), kind)
+    rest = far.withColumn("peak_type", F.lit("distal"))
+    several = own.filter(~single).select("chrom", "gene")
+    if not several.isEmpty():  # of these a peak may meet several bodies, and any window
+        x, y = bodies.select("gene", "chrom", "start", "end").alias("x"), several.alias("y")
+        x = x.join(y, (F.col("x.chrom") == F.col("y.chrom")) & F.col("x.gene").eqNullSafe(F.col("y.gene")), "left_semi")
+        more = overlap_join(told, x, width).filter(~nearest).select("chrom", "start", "end", "gene").distinct()
+        rest = rest.unionByName(more.select("*", F.lit(0).cast("long").alias("distance"), F.lit("distal").alias("peak_type")))
+    x, y = rest.alias("x"), windows.select("chrom", "gene", F.col("start").alias("_lo"), F.col("end").alias("_hi")).alias("y")
     meets = F.col("x.gene").eqNullSafe(F.col("y.gene")) & (F.col("x.chrom") == F.col("y.chrom")) & (F.col("x.start") < F.col("y._hi")) & (F.col("y._lo") < F.col("x.end"))
-    return near.drop("_o").unionByName(x.join(y, meets, "left_anti"))
+    return met.unionByName(x.join(y, meets, "left_anti"))
+
+
+def _with_windows(bodies: DataFrame, windows: DataFrame) -> DataFrame:
+    """chrom, gene, start, end, _bodies, _lo, _hi, _windows: the hulls of a gene's bodies and of its windows, and how many there are."""
+    hull = lambda df, lo, hi, n: df.groupBy("chrom", "gene").agg(F.min("start").alias(lo), F.max("end").alias(hi), F.count("*").alias(n))
+    x, y = hull(bodies, "start", "end", "_bodies").alias("x"), hull(windows, "_lo", "_hi", "_windows").alias("y")
+    return x.join(y, (F.col("x.chrom") == F.col("y.chrom")) & F.col("x.gene").eqNullSafe(F.col("y.gene")), "left").select("x.*", "_lo", "_hi", "_windows")
 
 
 def resolve_contigs(wanted: DataFrame, contigs: DataFrame) -> DataFrame:

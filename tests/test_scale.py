@@ -335,6 +335,35 @@ def test_annotation_deals_no_promoter_rows(spark):
     assert plan.lstrip().startswith("Union")  # the window is below one side only
 
 
+@pytest.mark.parametrize("names", [400, 12])
+def test_annotation_against_a_loop(spark, names):
+    """Promoters and bodies are met in one join; nothing is dealt by (peak, gene) but the nearest genes and genes of several bodies or windows."""
+    rng = np.random.default_rng(13)
+    peaks = [("c" if i % 3 else "d", int(a), int(a + w)) for i, (a, w) in enumerate(zip(rng.integers(0, 600, 90), rng.integers(1, 25, 90)))] + [(None, 1, 9)]
+    name = (lambda i: f"g{i}") if names == 400 else (lambda i: f"g{i % names}" if i % names else None)
+    chrom = lambda i: "d" if i % 5 == 0 else "c"
+    genes = [(name(i), chrom(i), int(t), "+" if i % 2 else "-") for i, t in enumerate(rng.integers(0, 640, 70))] + [("n", "c", None, "+"), ("m", None, 9, "+")]
+    bodies = [(name(i), chrom(i), max(0, g[2] - 30), g[2] + int(w)) for i, (g, w) in enumerate(zip(genes, rng.integers(1, 60, 60)))] + [("b", "c", 5, 300), ("m", None, 0, 99), ("v", "c", None, 3)]
+    wide = [(g, c, max(0, t - (20 if s == "+" else 3)), t + (3 if s == "+" else 20)) for g, c, t, s in genes if c and t is not None]
+    want = []
+    for c, s, e in {p for p in peaks if None not in p}:
+        near = [g for g, k, a, b in wide if k == c and s < b and a < e]
+        want += [(c, s, e, g, 0, "promoter") for g in near]
+        d = lambda t: s - t if s > t else e - t if e < t else 0  # noqa: B023,E731
+        rest = {g: 0 for g, k, a, b in bodies if k == c and a is not None and s < b and a < e}
+        point = min(((abs(d(t)), t, g is None, g or "", d(t)) for g, k, t, _ in genes if k == c and t is not None and abs(d(t)) <= 40), default=None)
+        if point:
+            at = [g for g, k, t, _ in genes if k == c and t == point[1] and g is not None]
+            rest[min(at, default=None)] = point[4]
+        want += [(c, s, e, g, x, "distal") for g, x in rest.items() if g not in near]
+    df = lambda rows, t: spark.createDataFrame(rows, t)
+    out = intervals.annotate(df([*peaks, *peaks[:9]], "chrom string, start long, end long"), df(genes, "gene string, chrom string, tss long, strand string"), df(bodies, "gene string, chrom string, start long, end long"), 20, 3, 40, 64)
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(want, key=key)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join Inner") == (1 if names == 400 else 2)
+
+
 def test_motif_hits_across_pieces(spark, monkeypatch):
     p = np.full((6, 4), 0.01)
     p[np.arange(6), [0, 1, 2, 3, 0, 2]] = 0.97
