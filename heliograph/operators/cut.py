@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the folder that executors share (see shared_dir).
 
@@ -30,3 +33,10 @@ def cut(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint()
     finally:
         df.unpersist()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df as Parquet in the folder that executors share. For large tables that are read in several passes: columns are packed, and nothing is cached before."""
+    at = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)

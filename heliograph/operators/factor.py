@@ -4,6 +4,9 @@ The matrix is kept as sparse tiles of bounded cells and features. Products with
 blocks of the thin matrix's rows, summed by block; thin matrices are made orthonormal by tall-skinny QR: the blocks' triangles are
 stacked and reduced by a tree until one is left. Only such triangles, `k` by `k` with some more columns, reach the driver; a task holds a
 tile and a block, whatever the numbers of cells and features.
+
+Where features are few, a cell's row is narrow: each task reduces its cells to a triangle, the triangles' triangle has the matrix's own singular
+values and loadings, and scores are made in a second pass over the cells. That is exact, and nothing as long as the cells is written or shuffled.
 """
 
 from __future__ import annotations
@@ -12,14 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from heliograph.operators.cut import cut
+from heliograph.operators.cut import cut, kept
 from heliograph.operators.order import numbered
 
 #: Rows of a block of cells and of features.
 CELLS, FEATURES = 4096, 1024
+#: Features that are few: their rows are made dense, CELLS at once.
+FEW = 256
 #: Triangles that one task of a level of the tree stacks.
 FAN = 32
 #: Columns beyond k, and rounds of power iteration.
@@ -105,12 +114,17 @@ def _triangle(thin: DataFrame, width: int, blocks: int) -> np.ndarray:
         for pdf in batches:
             yield pd.DataFrame({"block": pdf["block"], "m": [np.linalg.qr(_dense(m, width), mode="r").tobytes() for m in pdf["m"].tolist()]})
 
+    return _stacked(thin.mapInPandas(own, "block int, m binary"), width, blocks)
+
+
+def _stacked(level: DataFrame, width: int, blocks: int) -> np.ndarray:
+    """The triangle of triangles (block, m), numbered below `blocks`."""
+
     def stack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             whole = [np.concatenate([_dense(x, width) for x in ms]) for ms in pdf["ms"].tolist()]
             yield pd.DataFrame({"block": pdf["block"], "m": [np.linalg.qr(x, mode="r").tobytes() for x in whole]})
 
-    level = thin.mapInPandas(own, "block int, m binary")
     while blocks > FAN:
         level = level.groupBy(F.expr(f"CAST(block div {FAN} AS INT)").alias("block")).agg(F.collect_list("m").alias("ms")).mapInPandas(stack, "block int, m binary")
         blocks = -(-blocks // FAN)
@@ -169,8 +183,14 @@ def svd(fact: DataFrame, feature: str, k: int = 50, seed: int = 0, rounds: int =
 
     Cells and features without a value have no row. With k + MORE columns or fewer in the matrix the result is exact.
     """
-    fact = cut(fact.select("cell", feature, "value").filter("value <> 0"))
-    cells, features = (cut(numbered(fact.select(c).distinct(), [c])) for c in ("cell", feature))
+    fact = fact.select("cell", F.struct(F.col(feature).alias("f"), F.col("value").cast("double").alias("v")).alias("x")).filter("x.v <> 0")
+    listed = kept(fact.groupBy("cell").agg(F.collect_list("x").alias("x")))
+    names = listed.select(F.explode("x.f").alias(feature)).distinct()
+    few = names.orderBy(feature).limit(FEW + 1).collect()
+    if len(few) <= FEW:
+        return _svd_of_few(listed, names.schema[feature], [r[0] for r in few], k)
+    fact = listed.select("cell", F.explode("x").alias("x")).select("cell", F.col("x.f").alias(feature), F.col("x.v").alias("value"))
+    cells, features = (cut(numbered(df, [c])) for df, c in ((listed.select("cell"), "cell"), (names, feature)))
     rows = {"cells": cells.count(), "features": features.count()}
     least = min(rows.values())
     if min(k, least) < 2:
@@ -195,6 +215,46 @@ def svd(fact: DataFrame, feature: str, k: int = 50, seed: int = 0, rounds: int =
     return _named(scores, k, cells, "cell", CELLS), s[:k], _named(_times(loadings, k, np.diag(signs)), k, features, feature, FEATURES)
 
 
+def _svd_of_few(listed: DataFrame, feature: T.StructField, names: list, k: int) -> tuple[DataFrame, np.ndarray, DataFrame]:
+    """As svd, exact. listed: cell, x: array of (f, v); names: the different f, in their order."""
+    width, least = len(names), min(listed.count(), len(names))
+    if min(k, least) < 2:
+        raise ValueError("an embedding needs two dimensions or more")
+
+    def rows(x: pa.ListArray) -> np.ndarray:
+        flat = x.flatten()
+        j = pc.index_in(flat.field("f"), value_set=pa.array(names, flat.type.field("f").type)).to_numpy()
+        i = np.repeat(np.arange(len(x)), pc.list_value_length(x).to_numpy())
+        return np.bincount(i * width + j, flat.field("v").to_numpy(), len(x) * width).reshape(-1, width)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in range(0, batch.num_rows, CELLS):
+                yield batch.slice(s, CELLS)
+
+    def triangle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = np.zeros((0, width))
+        for batch in parts(batches):
+            r = np.linalg.qr(np.concatenate([r, rows(batch.column("x"))]), mode="r")
+        if len(r):
+            yield pa.RecordBatch.from_pydict({"block": pa.array([TaskContext.get().partitionId()], pa.int32()), "m": pa.array([r.tobytes()], pa.binary())})
+
+    x = listed.select("x")
+    _, s, vt = np.linalg.svd(_stacked(x.mapInArrow(triangle, "block int, m binary"), width, x.rdd.getNumPartitions()))
+    k = min(k, least, int((s > TINY * s.max(initial=0)).sum()))
+    v = vt[:k].T
+    v = v * np.where(v[np.abs(v).round(9).argmax(0), np.arange(k)] < 0, -1.0, 1.0)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            u = rows(batch.column("x")) @ v
+            yield pa.RecordBatch.from_arrays([batch.column("cell"), pa.ListArray.from_arrays(pa.array(np.arange(len(u) + 1) * k, pa.int32()), pa.array(u.ravel()))], ["cell", "x"])
+
+    of = lambda key: T.StructType([key, T.StructField("x", T.ArrayType(T.DoubleType()))])
+    loadings = listed.sparkSession.createDataFrame([(n, r) for n, r in zip(names, v.tolist())], of(feature))
+    return listed.mapInArrow(scored, of(listed.schema["cell"])), s[:k], loadings
+
+
 def _named(thin: DataFrame, width: int, names: DataFrame, key: str, size: int) -> DataFrame:
     """key, x: the rows of a thin matrix with their names."""
 

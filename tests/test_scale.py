@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heliograph.operators import activity, cells, communities, embedding, factor, intervals, motif, neighbours, order, ranks, regulatory, sampling
+from heliograph.operators import activity, cells, communities, cut, embedding, factor, intervals, motif, neighbours, order, ranks, regulatory, sampling
 from heliograph.plans import batch
 
 
@@ -183,6 +183,31 @@ def test_svd_of_many_features_and_of_few(spark):
         factor.svd(few.filter("f = 1"), "f", 5)
 
 
+def test_svd_of_few_features_is_exact_and_keeps_no_thin_matrix(spark, monkeypatch):
+    monkeypatch.setattr(factor, "CELLS", 16)
+    monkeypatch.setattr(factor, "FAN", 2)
+    written = []
+    monkeypatch.setattr(factor, "cut", lambda df: written.append(df) or cut.cut(df))
+    rng = np.random.default_rng(14)
+    dense = rng.integers(0, 3, (300, 25)).astype(float)  # a flat spectrum
+    dense[7] = 0
+    name = lambda j: None if j == 4 else f"g{j:02}"
+    rows = [(None if i == 9 else int(i), name(j), float(dense[i, j])) for i, j in np.ndindex(dense.shape)]  # zeros too
+    fact = spark.createDataFrame(rows, "cell long, gene string, value double").repartition(7, "cell")
+    scores, s, loadings = factor.svd(fact, "gene", 5)
+    u, w, vt = np.linalg.svd(dense, full_matrices=False)
+    sign = np.sign(vt[np.arange(5), np.abs(vt[:5]).argmax(1)])
+    assert np.allclose(s, w[:5], rtol=1e-12)
+    got = {r["cell"]: r["x"] for r in scores.collect()}
+    want = {None if i == 9 else i: u[i, :5] * w[:5] * sign for i in range(300) if i != 7}
+    assert scores.dtypes == [("cell", "bigint"), ("x", "array<double>")] and got.keys() == want.keys()
+    assert np.allclose([got[c] for c in want], list(want.values()), atol=1e-8)
+    load = {r["gene"]: r["x"] for r in loadings.collect()}
+    assert np.allclose([load[name(j)] for j in range(25)], vt[:5].T * sign, atol=1e-8)
+    assert not written
+    assert factor.truncated_svd(fact.filter("cell < 3"), "gene", 5).first()["x"].__len__() == 3  # no more than there are cells
+
+
 def test_approximate_neighbours(spark):
     rng = np.random.default_rng(6)
     x = (rng.standard_normal((40, 30)) * 2)[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 30))
