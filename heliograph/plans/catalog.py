@@ -724,8 +724,9 @@ def ml3_svd_lengths(s, d):
 def ml4_approximate_knn(s, d):
     """The approximate neighbours of all vectors: how many, and whether 95 of 100 are among the exact ones."""
     v = _vectors(s, d)
-    near = neighbours.approximate_knn(v, 10, trees=64, leaf=256, recall=0.97)
-    both = near.join(embedding.knn(v, 10).select("src", "dst", F.lit(1).alias("hit")), ["src", "dst"], "left")
+    exact = embedding.knn(v, 10)
+    near = neighbours.approximate_knn(v, 10, trees=64, leaf=256, recall=0.97, exact=exact)
+    both = near.join(exact.select("src", "dst", F.lit(1).alias("hit")), ["src", "dst"], "left")
     return both.agg(F.count_distinct("src").alias("vectors"), F.count("*").alias("edges"), (F.sum("hit") >= 0.95 * F.count("*")).alias("found"))
 
 

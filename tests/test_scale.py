@@ -255,6 +255,37 @@ def test_approximate_neighbours_of_noise_are_measured(spark):
     assert abs(neighbours.share_found(v, exact.filter("rank <= 5"), 10) - 0.5) < 1e-9
 
 
+def test_approximate_neighbours_of_copies(spark):
+    """Equal vectors are compared once, so that of a class larger than a block the smallest ids are found."""
+    x = np.random.default_rng(15).standard_normal((60, 8)) * 3
+    v = spark.createDataFrame([(i, x[i % 60].tolist()) for i in range(6000)], "id long, x array<double>")
+    found = neighbours.approximate_knn(v, 5, leaf=32)
+    rows = lambda df: {(r["src"], r["dst"], r["rank"]) for r in df.collect()}
+    assert rows(found) == rows(embedding.knn(v, 5))
+    few = v.filter("id < 120")  # two of each: the others come from other vectors
+    hit = neighbours.approximate_knn(few, 5, leaf=32).join(embedding.knn(few, 5), ["src", "dst"]).count()
+    assert hit >= 0.9 * 600
+
+
+def test_noise_is_told_before_blocks_are_compared(spark, monkeypatch):
+    x = np.random.default_rng(16).standard_normal((2500, 40))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, x array<double>")
+    exact = embedding.knn(v, 10)
+
+    def fail(*_):
+        raise AssertionError
+
+    with monkeypatch.context() as m:
+        m.setattr(neighbours, "_within", fail)
+        m.setattr(embedding, "knn", fail)  # it is at hand
+        assert neighbours.approximate_knn(v, 10, trees=2, leaf=64, exact=exact) is exact
+    # the sample tells of all rows what their blocks hold
+    placed = neighbours.blocks(v, 2, 64, 0)
+    drawn = neighbours._drawn(v, 256, 0)
+    near = neighbours._within(placed, v, 10)
+    assert abs(neighbours.share_found(v, neighbours._met(placed, v, drawn), 10) - neighbours.share_found(v, near, 10)) < 1e-9
+
+
 def rings(spark, groups, size, seed):
     rng = np.random.default_rng(seed)
     e = []
